@@ -11,8 +11,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kbvec.functions.topk import as_matrix
 from kbvec.functions.vectors import cosine
@@ -41,7 +42,7 @@ class HyperplaneHash:
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c) for c in keep], lists], names=[*keep, "buckets"])
 
-        schema = df.select(*keep).schema.add("buckets", "array<int>")
+        schema = df.select(*keep).schema.add("buckets", T.ArrayType(T.IntegerType()))
         return df.filter(F.col("embedding").isNotNull()).select(*keep).mapInArrow(attach, schema)
 
 

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kbvec.functions.topk import (ROWS_PER_BLOCK, RunningTop, as_matrix, block_scores, strings,
-                                  unit_rows)
+from kbvec.functions.topk import (ROWS_PER_BLOCK, RunningTop, as_lists, as_matrix, block_scores,
+                                  strings, unit_rows)
 from kbvec.operators.search import best_first
 from kbvec.session import broadcast_if_small, scratch_path
 

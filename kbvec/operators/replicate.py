@@ -59,15 +59,21 @@ def apply_change_log(replica: DataFrame, log: DataFrame, **options) -> DataFrame
     return upsert(replica.join(gone, "vector_id", "left_anti").select(*replica.columns), fresh, **options)
 
 
-def drain_step(pending: DataFrame, ok: Column, cap: int = DRAIN_CAP) -> DataFrame:
+def drain_step(pending: DataFrame, ok: Column, cap: int | None = DRAIN_CAP) -> DataFrame:
     """One pass over the retry queue ``(seq, payload, queued_at, retries)``, oldest ``cap`` entries.
 
+    ``cap=None`` takes the whole frame, for callers that bound their input themselves.
+
     Every entry comes back with a ``state``: done, dropped (empty payload), retry (one more try
     spent), quarantine (tries used up) or waiting (beyond this pass). ``ok`` tells whether replaying
     an entry succeeds.
     """
-    head = broadcast_if_small(pending.select("queued_at", "seq").orderBy("queued_at", "seq")
-                              .limit(_clamp(cap, DRAIN_MAX)).withColumn("_due", F.lit(True)))
+    if cap is None:
+        marked = pending.withColumn("_due", F.lit(True))
+    else:
+        head = (pending.select("queued_at", "seq").orderBy("queued_at", "seq")
+                .limit(_clamp(cap, DRAIN_MAX)).withColumn("_due", F.lit(True)))
+        marked = pending.join(F.broadcast(head), ["queued_at", "seq"], "left")
     tries = F.col("retries") + 1
     due = F.coalesce("_due", F.lit(False))
     failed = due & (F.coalesce("payload", F.lit("")) != "") & ~F.coalesce(ok, F.lit(False))
@@ -76,8 +82,7 @@ def drain_step(pending: DataFrame, ok: Column, cap: int = DRAIN_CAP) -> DataFram
              .when(~failed, "done")
              .when(tries >= RETRY_LIMIT, "quarantine")
              .otherwise("retry"))
-    return (pending.join(head, ["queued_at", "seq"], "left")
-            .withColumn("state", state)
+    return (marked.withColumn("state", state)
             .withColumn("retries", F.when(failed, tries).otherwise(F.col("retries")))
             .drop("_due"))
 

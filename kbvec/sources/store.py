@@ -11,8 +11,10 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kbvec.operators.mutate import last_per_id
+from kbvec.operators.replicate import latest_changes
 from kbvec.schema import conform, vector_schema
 from kbvec.session import broadcast_if_small
 
@@ -67,7 +69,7 @@ class VectorStore:
         for part, base in folders.items():
             if only is None or part in only:
                 paths.setdefault(base, []).append(f"{base}/{part}")
-        schema = vector_schema(self.storage).add("bucket", "int")
+        schema = vector_schema(self.storage).add("bucket", T.IntegerType())
         out = None
         for base, below in sorted(paths.items()):
             df = self.spark.read.schema(schema).option("basePath", base).parquet(*below)
@@ -101,16 +103,19 @@ class VectorStore:
         return version
 
     def upsert(self, rows: DataFrame, seq: str | None = None) -> int:
-        """Replace or insert by id; of several input rows with one id the last (by ``seq``) wins.
-
-        An id that moves to another tenant is removed from its old one.
-        """
-        fresh = conform(last_per_id(rows, seq), self.storage)
-        incoming = self._touched(fresh)
-        current = self.read()
-        ids = broadcast_if_small(fresh.select("vector_id"))
-        displaced = self._touched(current.join(ids, "vector_id", "left_semi"))
-        touched = incoming | displaced
+        """Replace or insert by id; of several input rows with one id the last (by ``seq``) wins."""
+        return self._swap(rows.select("vector_id").distinct(), conform(last_per_id(rows, seq), self.storage))
+
+    def apply_changes(self, log: DataFrame) -> int:
+        """Replay ``log(seq, vector_id, op, ...)``: the last entry per id is put in or taken out."""
+        last = latest_changes(log)
+        fresh = conform(last.filter(F.col("op") == "upsert"), self.storage)
+        return self._swap(last.select("vector_id"), fresh)
+
+    def _swap(self, ids: DataFrame, fresh: DataFrame) -> int:
+        """Take ``ids`` out, in whatever tenant they are, and put ``fresh`` in."""
+        ids = broadcast_if_small(ids)
+        touched = self._touched(fresh) | self._touched(self.read().join(ids, "vector_id", "left_semi"))
         rest = self.read(only=touched).join(ids, "vector_id", "left_anti")
         return self._replace(touched, rest.unionByName(fresh))
 
