@@ -21,7 +21,8 @@ METRICS = ("cosine", "l2sq", "ip")
 
 
 def literal_vector(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """A constant array, parsed at once instead of built number by number."""
+    return F.expr(f"array({','.join(repr(float(v)) + 'D' for v in values)})")
 
 
 def _sum(arr: Column) -> Column:

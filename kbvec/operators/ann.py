@@ -68,8 +68,7 @@ def ann_search(index: DataFrame, queries: DataFrame, hashing: HyperplaneHash, k:
     earlier = F.exists(F.zip_with(F.slice("buckets", 1, F.col("tbl")), F.slice("_b", 1, F.col("tbl")),
                                   lambda x, y: x == y), lambda same: same)
     scored = (pairs.filter(~earlier)
-              .select("query_id", "vector_id", cosine(F.col("embedding"), F.col("_q")).alias("score"))
-              .filter(F.col("score").isNotNull()))
+              .select("query_id", "vector_id", cosine(F.col("embedding"), F.col("_q")).alias("score")))
     return best_per_query(scored, k)
 
 

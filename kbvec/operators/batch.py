@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from kbvec.functions.topk import (ROWS_PER_BLOCK, RunningTop, as_lists, as_matrix, block_scores,
                                   strings, unit_rows)
 from kbvec.operators.search import best_first
-from kbvec.session import broadcast_if_small, scratch_path
+from kbvec.session import broadcast_if_small, materialize, scratch_path
 
 BLOCK = 2048
 RESULT = "query_id string, vector_id string, score double"
@@ -27,7 +27,8 @@ RESULT = "query_id string, vector_id string, score double"
 def best_per_query(partial: DataFrame, k: int) -> DataFrame:
     """Merge local winners: best ``k`` per query, with their rank."""
     w = Window.partitionBy("query_id").orderBy(*best_first())
-    return partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    ranked = partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked.filter(F.col("score").isNotNull())
 
 
 def _prepared(matrix: np.ndarray, metric: str) -> np.ndarray:
@@ -266,19 +267,18 @@ def knn_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosi
 # --- equal queries -----------------------------------------------------------------------------
 
 def query_key(k: int, spec_json: str = "{}", generation: int = 0):
-    """One key per distinct (vector, k, tenant, filter, table generation)."""
-    vector = F.array_join(F.transform(F.col("embedding").cast("array<float>"),
-                                      lambda x: x.cast("string")), ",")
-    return F.md5(F.concat_ws("|", vector, F.lit(str(k)), F.col("bot_id"), F.lit(spec_json),
-                             F.lit(str(generation))))
+    """A 128-bit key per distinct (vector, k, tenant, filter, table generation)."""
+    parts = [F.col("embedding").cast("array<float>"), F.lit(k), F.col("bot_id"), F.lit(spec_json),
+             F.lit(generation)]
+    return F.concat(F.hex(F.xxhash64(*parts)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *parts)))
 
 
 def search_collapsed(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
                      spec_json: str = "{}", generation: int = 0) -> DataFrame:
     """Search each distinct query once and hand the answer to every request that asked it."""
     keyed = queries.withColumn("key", query_key(k, spec_json, generation))
-    distinct = keyed.groupBy("key").agg(F.any_value("bot_id").alias("bot_id"),
-                                        F.any_value("embedding").alias("embedding"))
+    distinct = materialize(keyed.groupBy("key").agg(
+        F.any_value("bot_id").alias("bot_id"), F.any_value("embedding").alias("embedding")), "queries")
     found = search_batch(vectors, distinct.withColumnRenamed("key", "query_id"), k, metric)
-    answers = broadcast_if_small(found.withColumnRenamed("query_id", "key"))
+    answers = broadcast_if_small(materialize(found.withColumnRenamed("query_id", "key"), "answers"))
     return keyed.select("query_id", "key").join(answers, "key")

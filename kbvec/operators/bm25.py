@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from kbvec.functions.text import words
 from kbvec.functions.topk import SCORE_DIGITS, RunningTop, strings
 from kbvec.operators.batch import RESULT, best_per_query
 from kbvec.operators.search import take_top
-from kbvec.session import scratch_path
+from kbvec.session import materialize, scratch_path
 
 # BM25 parameters.
 K1, B = 1.2, 0.75
@@ -35,20 +36,21 @@ def leg_size(k: int) -> int:
     return max(k * 4, 50)
 
 
-def _frequency(tokens, term: str):
-    return F.size(F.filter(tokens, lambda w: w == F.lit(term)))
+def _frequency(tokens: str, term: str):
+    return F.size(tokens) - F.size(F.array_remove(tokens, term))
 
 
 def bm25_scores(corpus: DataFrame, terms: Sequence[str], rows: DataFrame | None = None) -> DataFrame:
-    """``rows`` (default: all of ``corpus``) that hold a term, with their score.
+    """``rows`` (default: all of ``corpus``) with their score, null where no term occurs.
 
     Both passes tokenise in place: no token is shuffled, and the statistics are one row read back
-    through a scalar subquery.
+    through a scalar subquery. Rows without a hit are not filtered here, as a filter would be pushed
+    below the projections and tokenise every text again.
     """
     terms = sorted(set(terms))
     rows = corpus if rows is None else rows
     if not terms:
-        return rows.withColumn("score", F.lit(0.0)).limit(0)
+        return rows.limit(0).withColumn("score", F.lit(0.0))
     tokens = corpus.select(words(F.col("content")).alias("w"))
     stats = tokens.agg(F.struct(
         F.count("*").alias("n"), F.avg(F.size("w")).alias("avgdl"),
@@ -57,16 +59,17 @@ def bm25_scores(corpus: DataFrame, terms: Sequence[str], rows: DataFrame | None
 
     counted = rows.withColumn("_w", words(F.col("content"))).select(
         *rows.columns, F.size("_w").alias("_dl"),
-        *[_frequency(F.col("_w"), t).alias(f"_tf{i}") for i, t in enumerate(terms)])
-    hit = reduce(lambda a, b: a | b, [F.col(f"_tf{i}") > 0 for i in range(len(terms))])
-    scored = counted.filter(hit).withColumn("_s", stats)
+        *[_frequency("_w", t).alias(f"_tf{i}") for i, t in enumerate(terms)])
+    scored = counted.withColumn("_s", stats)
     length = F.lit(1 - B) + F.lit(B) * F.col("_dl") / F.col("_s.avgdl")
-    parts = []
+    hit, parts = [], []
     for i in range(len(terms)):
         df, tf = F.col(f"_s.df{i}"), F.col(f"_tf{i}")
         idf = F.log(F.lit(1.0) + (F.col("_s.n") - df + F.lit(0.5)) / (df + F.lit(0.5)))
         parts.append(idf * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * length))
-    return scored.select(*rows.columns, reduce(lambda a, b: a + b, parts).alias("score"))
+        hit.append(tf)
+    score = F.when(reduce(add, hit) > 0, reduce(add, parts))
+    return scored.select(*rows.columns, score.alias("score"))
 
 
 def query_terms(spark, text: str) -> list[str]:
@@ -81,84 +84,82 @@ def bm25_top(corpus: DataFrame, text: str, n: int, rows: DataFrame | None = None
 
 # --- many queries ------------------------------------------------------------------------------
 
-def _counts(column, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Document lengths, and a (documents x vocabulary) matrix of term counts."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    lengths = np.asarray(pc.list_value_length(column), dtype=np.int64)
-    doc = np.repeat(np.arange(len(column)), lengths)
-    term = pc.index_in(column.flatten().cast(pa.string()), value_set=vocabulary)
-    known = np.asarray(pc.is_valid(term))
-    term = np.asarray(pc.fill_null(term, 0), dtype=np.int64)
-    n, v = len(column), len(vocabulary)
-    flat = np.bincount(doc[known] * v + term[known], minlength=n * v)
-    return lengths, flat.reshape(n, v).astype(np.float64)
-
-
-def _slices(batches, width: int):
-    """Document slices whose count matrix stays within a fixed number of cells."""
-    step = max(1, CELLS_PER_BLOCK // max(1, width))
-    for batch in batches:
-        for start in range(0, batch.num_rows, step):
-            yield batch.slice(start, step)
-
-
-def _statistics(tokens: DataFrame, vocabulary: pa.Array) -> tuple[int, float, np.ndarray]:
-    """Row count, mean length and document frequencies; each task sends one row per term."""
-    def local(batches):
-        n, total, df = 0, 0, np.zeros(len(vocabulary), np.int64)
-        for part in _slices(batches, len(vocabulary)):
-            lengths, tf = _counts(part.column("w"), vocabulary)
-            n, total, df = n + len(lengths), total + int(lengths.sum()), df + (tf > 0).sum(0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-2, len(df), dtype=np.int32)), pa.array(np.r_[n, total, df])],
-            names=["term", "c"])
+STAGED = "vector_id string, dl int, terms array<int>, tfs array<int>"
+
+
+def _stage(corpus: DataFrame, vocabulary: pa.Array) -> DataFrame:
+    """Length and sparse term counts per document, over a query vocabulary."""
+    size = len(vocabulary)
+
+    def count(batches):
+        for batch in batches:
+            w = batch.column("w")
+            lengths = np.asarray(pc.list_value_length(w), dtype=np.int64)
+            doc = np.repeat(np.arange(len(w)), lengths)
+            found = pc.index_in(w.flatten().cast(pa.string()), value_set=vocabulary)
+            known = np.asarray(pc.is_valid(found))
+            term = np.asarray(pc.fill_null(found, 0), dtype=np.int64)
+            cell, tf = np.unique(doc[known] * size + term[known], return_counts=True)
+            offsets = np.searchsorted(cell, np.arange(len(w) + 1) * size).astype(np.int32)
+
+            def lists(values):
+                return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(
+                [strings(batch.column("vector_id")), pa.array(lengths.astype(np.int32)),
+                 lists(cell % size), lists(tf)], names=["vector_id", "dl", "terms", "tfs"])
 
-    rows = tokens.select("w").mapInArrow(local, "term int, c long").groupBy("term").agg(F.sum("c").alias("c"))
-    got = {r["term"]: r["c"] for r in rows.collect()}
-    n, total = got.get(-2, 0), got.get(-1, 0)
-    df = np.array([got.get(i, 0) for i in range(len(vocabulary))], dtype=np.float64)
-    return n, (total / n if n else 0.0), df
+    return corpus.select(F.col("vector_id").cast("string").alias("vector_id"),
+                         words(F.col("content")).alias("w")).mapInArrow(count, STAGED)
 
 
-def _score_block(tokens: DataFrame, queries: list, n_top: int) -> DataFrame:
+def _score_block(corpus: DataFrame, queries: list, n_top: int) -> DataFrame:
     ids = [str(r["query_id"]) for r in queries]
     terms = sorted({t for r in queries for t in r["terms"]})
-    vocabulary = pa.array(terms, pa.string())
     number = {t: i for i, t in enumerate(terms)}
-    n, avgdl, df = _statistics(tokens, vocabulary)
+    # Texts are tokenised once; statistics and scores read the much smaller counts.
+    staged = materialize(_stage(corpus, pa.array(terms, pa.string())), "bm25-counts")
+    total = staged.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
+    df = np.zeros(len(terms))
+    for r in staged.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
+        df[r["t"]] = r["count"]
+    n, avgdl = total["n"], total["avgdl"] or 1.0
     idf = np.log(1.0 + (n - df + 0.5) / (df + 0.5))
     weights = np.zeros((len(terms), len(ids)))
     for j, r in enumerate(queries):
         at = [number[t] for t in r["terms"]]
         weights[at, j] = idf[at]
+    step = max(1, CELLS_PER_BLOCK // len(terms))
 
     def local_top(batches):
         top = RunningTop(len(ids), n_top)
-        for part in _slices(batches, len(vocabulary)):
-            lengths, tf = _counts(part.column("w"), vocabulary)
-            norm = K1 * (1 - B + B * lengths / avgdl)[:, None]
-            scores = np.round((tf * (K1 + 1) / (tf + norm)) @ weights, SCORE_DIGITS)
-            top.add(np.where(scores > 0, scores, np.nan), strings(part.column("vector_id")))
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                listed = part.column("terms")
+                doc = np.repeat(np.arange(len(part)), np.asarray(pc.list_value_length(listed)))
+                tf = np.asarray(part.column("tfs").flatten(), dtype=np.float64)
+                norm = K1 * (1 - B + B * np.asarray(part.column("dl")) / avgdl)
+                dense = np.zeros((len(part), len(terms)))
+                dense[doc, np.asarray(listed.flatten())] = tf * (K1 + 1) / (tf + norm[doc])
+                scores = np.round(dense @ weights, SCORE_DIGITS)
+                top.add(np.where(scores > 0, scores, np.nan), strings(part.column("vector_id")))
         t = top.table
         yield pa.RecordBatch.from_arrays(
             [pa.array([ids[i] for i in t["q"].to_pylist()], pa.string()),
              t["v"].combine_chunks(), t["s"].combine_chunks()],
             names=["query_id", "vector_id", "score"])
 
-    return best_per_query(tokens.mapInArrow(local_top, RESULT), n_top)
+    return best_per_query(staged.mapInArrow(local_top, RESULT), n_top)
 
 
 def bm25_batch(corpus: DataFrame, queries: DataFrame, n_top: int, block: int = BLOCK) -> DataFrame:
     """``query_id, vector_id, score, rank`` for ``queries(query_id, query_text)``.
 
-    Documents are scanned in place and each task keeps ``n_top`` rows per query. A query set above
+    Documents are counted in place and each task keeps ``n_top`` rows per query. A query set above
     ``block`` queries or a fixed number of terms is worked off block by block, each result written
     before the next is fetched.
     """
     spark = corpus.sparkSession
-    tokens = corpus.select(F.col("vector_id").cast("string").alias("vector_id"),
-                           words(F.col("content")).alias("w"))
     asked = queries.select(F.col("query_id").cast("string").alias("query_id"),
                            F.array_distinct(words(F.col("query_text"))).alias("terms")
                            ).filter(F.size("terms") > 0)
@@ -166,11 +167,11 @@ def bm25_batch(corpus: DataFrame, queries: DataFrame, n_top: int, block: int = B
     if not size["n"]:
         return spark.createDataFrame([], RESULT + ", rank int")
     if size["n"] <= block and size["terms"] <= TERMS_PER_BLOCK:
-        return _score_block(tokens, asked.collect(), n_top)
+        return _score_block(corpus, asked.collect(), n_top)
     n_blocks = 2 * math.ceil(max(size["n"] / block, size["terms"] / TERMS_PER_BLOCK))
     path = scratch_path(spark, "bm25")
     for b in range(n_blocks):
         part = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
         if part:
-            _score_block(tokens, part, n_top).write.mode("append").parquet(path)
+            _score_block(corpus, part, n_top).write.mode("append").parquet(path)
     return spark.read.schema(RESULT + ", rank int").parquet(path)

@@ -25,21 +25,22 @@ def overfetch(k: int) -> int:
 
 def best_first(score_col: str = "score") -> list[Column]:
     """Highest score first; the id decides ties, so results do not depend on the plan."""
-    return [F.col(score_col).desc(), F.col("vector_id").asc()]
+    return [F.col(score_col).desc_nulls_last(), F.col("vector_id").asc()]
 
 
 def scored(rows: DataFrame, query: Sequence[float], metric: str = "cosine",
            dim: int | None = None) -> DataFrame:
-    """Rows with a ``score`` in place of the embedding; zero vectors have no cosine and are left out."""
+    """Rows with a ``score`` in place of the embedding; a zero vector has no cosine, its score is null."""
     if dim is not None and len(query) != dim:
         raise ValueError(f"embedding dimension mismatch: expected {dim}, got {len(query)}")
     kept = [c for c in rows.columns if c != "embedding"]
-    return (rows.select(*kept, score(F.col("embedding"), query, metric).alias("score"))
-            .filter(F.col("score").isNotNull()))
+    return rows.select(*kept, score(F.col("embedding"), query, metric).alias("score"))
 
 
 def take_top(rows: DataFrame, k: int) -> DataFrame:
-    return rows.orderBy(*best_first()).limit(k)
+    """Best ``k`` scored rows. Nulls sort last and go after the limit: a test before it would be
+    pushed below the projection and compute every score twice."""
+    return rows.orderBy(*best_first()).limit(k).filter(F.col("score").isNotNull())
 
 
 def dedup_sources(matches: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:

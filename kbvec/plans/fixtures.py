@@ -13,8 +13,18 @@ KINDS = ("post", "page", "product")
 TENANTS = ("default", "support_en", "support_fr")
 
 
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is known, so no job is spent on inferring it."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def _pick(number: Column, values) -> Column:
@@ -24,9 +34,16 @@ def _pick(number: Column, values) -> Column:
     return out
 
 
-def _minutes_in(number: Column) -> Column:
-    start = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
-    return start + F.make_dt_interval(mins=number.cast("int"))
+# Groups of five rows take turns: no URL, chunks of one URL, one URL per row.
+SOURCE = ("*", "(vec_id div 5) % 3 = 1 AS is_chunked", """CASE (vec_id div 5) % 3
+  WHEN 0 THEN '' WHEN 1 THEN concat('https://kb.example/d/', vec_id div 5)
+  ELSE concat('https://kb.example/p/', vec_id) END AS source_url""")
+REST = ("*", "vec_id AS kb_id", "IF(is_chunked, cast(vec_id % 5 AS int), null) AS chunk_index",
+        "IF(is_chunked, 5, null) AS total_chunks", "coalesce(text, '') AS content",
+        "CASE label % 3 WHEN 0 THEN 'default' WHEN 1 THEN 'support_en' ELSE 'support_fr' END AS bot_id",
+        "IF(vec_id % 4 = 0, 'subscriber', 'public') AS role_restriction",
+        "CASE vec_id % 3 WHEN 0 THEN 'post' WHEN 1 THEN 'page' ELSE 'product' END AS content_type",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(vec_id AS int)) AS updated_at")
 
 
 def kb_vectors(spark: SparkSession, sf: str, content: bool = True) -> DataFrame:
@@ -37,22 +54,12 @@ def kb_vectors(spark: SparkSession, sf: str, content: bool = True) -> DataFrame:
         base = base.join(docs, "vec_id", "left")
     else:
         base = base.withColumn("text", F.lit(""))
-    v, g = F.col("vec_id"), F.floor(F.col("vec_id") / 5).cast("long")
-    group = g % 3
-    staged = base.select("*", (F.when(group == 0, F.lit(""))
-                               .when(group == 1, F.concat(F.lit("https://kb.example/d/"), g.cast("string")))
-                               .otherwise(F.concat(F.lit("https://kb.example/p/"), v.cast("string")))).alias("source_url"),
-                         (group == 1).alias("is_chunked"),
-                         F.when(group == 1, (v % 5).cast("int")).alias("chunk_index"))
-    return staged.select(
-        v.alias("kb_id"), "label",
-        vector_id(v, F.col("source_url"), F.col("is_chunked"), F.col("chunk_index")).alias("vector_id"),
-        _pick(F.col("label") % 3, TENANTS).alias("bot_id"),
-        "embedding", F.coalesce("text", F.lit("")).alias("content"), "source_url",
-        F.when(v % 4 == 0, "subscriber").otherwise("public").alias("role_restriction"),
-        _pick(v % 3, KINDS).alias("content_type"),
-        "chunk_index", F.when(F.col("is_chunked"), F.lit(5)).alias("total_chunks"), "is_chunked",
-        _minutes_in(v).alias("created_at"), _minutes_in(v).alias("updated_at"))
+    rows = base.selectExpr(*SOURCE).selectExpr(*REST)
+    ident = vector_id(F.col("kb_id"), F.col("source_url"), F.col("is_chunked"), F.col("chunk_index"))
+    return rows.withColumn("vector_id", ident).select(
+        "kb_id", "label", "vector_id", "bot_id", "embedding", "content", "source_url", "role_restriction",
+        "content_type", "chunk_index", "total_chunks", "is_chunked", F.col("updated_at").alias("created_at"),
+        "updated_at")
 
 
 def query_vector(spark: SparkSession, sf: str, vec_id: int = 0) -> list[float]:
@@ -84,14 +91,19 @@ def serialized(embedding: Column) -> Column:
                     F.array_join(parts, ""), F.lit("}"))
 
 
+def has_vector() -> Column:
+    """False for the products of one category, whose embedding call failed."""
+    return (F.col("label") != 8) | (F.col("content_type") != "product")
+
+
 def kb_rows(vectors: DataFrame) -> DataFrame:
-    """The source table the vectors came from; every 50th row has no embedding, as failed calls leave it."""
+    """The source table the vectors came from."""
     header = F.concat(F.lit('{"document_type":"chunked","chunk_index":'), F.col("chunk_index").cast("string"),
                       F.lit(',"total_chunks":'), F.col("total_chunks").cast("string"), F.lit("}\n---\n"))
     return vectors.select(
         F.col("kb_id").alias("id"), "source_url",
         F.when(F.col("is_chunked"), F.concat(header, F.col("content"))).otherwise(F.col("content")).alias("article_content"),
-        F.when(F.col("kb_id") % 50 != 49, serialized(F.col("embedding"))).otherwise("").alias("embedding_vector"),
+        F.when(has_vector(), serialized(F.col("embedding"))).otherwise("").alias("embedding_vector"),
         "role_restriction", "content_type", F.col("updated_at").alias("timestamp"), "bot_id")
 
 
@@ -104,8 +116,7 @@ def replica(vectors: DataFrame) -> DataFrame:
 def request_log(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Events as requests."""
     if stream:
-        schema = table(spark, sf, "events").schema
-        events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+        events = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
     else:
         events = table(spark, sf, "events")
     op = (F.when(F.col("event_type") == "error", ERROR).when(F.col("event_type") == "view", HIT)

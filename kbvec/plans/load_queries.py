@@ -20,7 +20,7 @@ def e1():
     return F.round(F.col("embedding")[0].cast("double"), 6).alias("e1")
 
 
-HAS_VECTOR = "kb_id % 50 <> 49"
+HAS_VECTOR = "(label <> 8 OR content_type <> 'product')"
 VECTOR_COLUMNS = ("vector_id", "bot_id", "source_url", "role_restriction", "content_type",
                   "chunk_index", "total_chunks", "is_chunked")
 COLS = ", ".join(VECTOR_COLUMNS)
@@ -70,7 +70,7 @@ def kb_source_scan(spark, sf):
 
 @register("vector_export_load", kb_sql("""
 SELECT vector_id, 'default' AS bot_id, md5(content) AS content_md5, source_url, role_restriction, content_type,
-  chunk_index, total_chunks, is_chunked, round(embedding[1], 6) AS e1 FROM kb WHERE kb_id % 50 <> 49"""))
+  chunk_index, total_chunks, is_chunked, round(embedding[1], 6) AS e1 FROM kb WHERE label <> 8 OR content_type <> 'product'"""))
 def vector_export_load(spark, sf):
     """The table as service records in JSON lines, under canonical and alias keys, and back."""
     path = scratch_path(spark, "records")
@@ -81,8 +81,8 @@ def vector_export_load(spark, sf):
 
 
 def _records(vectors, aliases: str):
-    """Service records; a third of them use the alias keys of the given set, every 50th has no values."""
-    third = F.col("kb_id") % 3 == 2
+    """Service records; some use the alias keys of the given set, some have no values."""
+    third = F.col("content_type") == "product"
     names = {"export": {"content": ("text", "content"), "source_url": ("source_url", "url"),
                         "content_type": ("type", "content_type"), "chunk_index": ("chunk_index",) * 2,
                         "total_chunks": ("total_chunks",) * 2},
@@ -96,7 +96,7 @@ def _records(vectors, aliases: str):
     present = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
     return vectors.select(
         F.col("vector_id").alias("id"),
-        F.when(F.col("kb_id") % 50 != 49, F.col("embedding").cast("array<double>")).alias("values"),
+        F.when(fx.has_vector(), F.col("embedding").cast("array<double>")).alias("values"),
         F.map_from_entries(present).alias("metadata"))
 
 

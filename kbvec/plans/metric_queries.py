@@ -154,12 +154,12 @@ def stream_latency_stateful(spark, sf):
 
 @register("stream_kb_ingest", kb_sql("""
 SELECT vector_id, bot_id, role_restriction, updated_at + INTERVAL 1 DAY AS updated_at, round(embedding[1], 6) AS e1
-FROM (SELECT * REPLACE ('members' AS role_restriction) FROM kb WHERE label = 2 AND kb_id % 50 <> 49)
+FROM (SELECT * REPLACE ('members' AS role_restriction) FROM kb WHERE label = 2)
 UNION ALL SELECT vector_id, bot_id, role_restriction, updated_at, round(embedding[1], 6) FROM kb
-WHERE label <> 2 AND kb_id % 50 <> 49"""))
+WHERE label <> 2 AND (label <> 8 OR content_type <> 'product')"""))
 def stream_kb_ingest(spark, sf):
     """All source rows, and a later version of one category; each arrives in its own files."""
-    rows = fx.kb_rows(fx.kb_vectors(spark, sf).withColumn("label", F.col("label")))
+    rows = fx.kb_rows(fx.kb_vectors(spark, sf))
     later = fx.kb_rows(fx.kb_vectors(spark, sf).filter(F.col("label") == 2)).withColumn(
         "role_restriction", F.lit("members")).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
     source, checkpoint = scratch_path(spark, "kb"), scratch_path(spark, "kb-checkpoint")

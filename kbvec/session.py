@@ -20,6 +20,8 @@ def build_session(app: str = "kbvec", master: str | None = None, **conf) -> Spar
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call-site capture costs several JVM round trips per expression built in Python.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k: str(v) for k, v in conf.items()},
     }
     builder = SparkSession.builder.appName(app)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from kbvec.operators.mutate import last_per_id
 from kbvec.operators.replicate import latest_changes
 from kbvec.schema import conform, vector_schema
-from kbvec.session import broadcast_if_small
+from kbvec.session import broadcast_if_small, materialize
 
 
 class VectorStore:
@@ -113,9 +113,15 @@ class VectorStore:
         return self._swap(last.select("vector_id"), fresh)
 
     def _swap(self, ids: DataFrame, fresh: DataFrame) -> int:
-        """Take ``ids`` out, in whatever tenant they are, and put ``fresh`` in."""
-        ids = broadcast_if_small(ids)
-        touched = self._touched(fresh) | self._touched(self.read().join(ids, "vector_id", "left_semi"))
+        """Take ``ids`` out, in whatever tenant they are, and put ``fresh`` in.
+
+        Both are written out first: they are read several times, and the input may be costly.
+        """
+        fresh = materialize(fresh, "fresh")
+        ids = broadcast_if_small(materialize(ids, "ids"))
+        touched = self._touched(fresh)
+        if self.versions():
+            touched |= self._touched(self.read().join(ids, "vector_id", "left_semi"))
         rest = self.read(only=touched).join(ids, "vector_id", "left_anti")
         return self._replace(touched, rest.unionByName(fresh))
 
