@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Equal rows must tie exactly, whatever lane of the matrix product computed them.
-SCORE_DIGITS = 9
+# Scores equal to this many digits count as ties, so that copies of a row tie whatever lane of the
+# matrix product computed them. The scores themselves are kept as they are.
+TIE_DIGITS = 9
 ROWS_PER_BLOCK = 2048
 
 
@@ -28,23 +29,21 @@ def as_lists(matrix: np.ndarray) -> pa.ListArray:
 
 def unit_rows(m: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; zero rows become NaN, which no comparison selects."""
-    norms = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    norms = np.sqrt(np.einsum("ij,ij->i", m, m))
     with np.errstate(invalid="ignore", divide="ignore"):
-        return m / norms
+        return m / norms[:, None]
 
 
 def block_scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Scores, one line per row and one column per query; cosine expects unit rows on both sides."""
-    if metric == "l2sq":
-        sq = (rows * rows).sum(1)[:, None] + (queries * queries).sum(1)[None, :]
-        near = np.sqrt(np.maximum(sq - 2.0 * (rows @ queries.T), 0.0))
-        # The expanded form loses digits close to zero, where the plain difference is exact.
-        r, c = np.nonzero(near < 1e-3)
-        near[r, c] = np.sqrt(((rows[r] - queries[c]) ** 2).sum(1))
-        out = -near
-    else:
-        out = rows @ queries.T
-    return np.round(out, SCORE_DIGITS) + 0.0
+    if metric != "l2sq":
+        return rows @ queries.T
+    sq = np.einsum("ij,ij->i", rows, rows)[:, None] + np.einsum("ij,ij->i", queries, queries)[None, :]
+    near = np.sqrt(np.maximum(sq - 2.0 * (rows @ queries.T), 0.0))
+    # The expanded form loses digits close to zero, where the plain difference is exact.
+    r, c = np.nonzero(near < 1e-3)
+    near[r, c] = np.sqrt(((rows[r] - queries[c]) ** 2).sum(1))
+    return 0.0 - near
 
 
 class RunningTop:
@@ -53,8 +52,8 @@ class RunningTop:
     def __init__(self, n_queries: int, k: int):
         self.k = k
         self.floor = np.full(n_queries, -np.inf)
-        self.table = pa.table({"q": pa.array([], pa.int32()), "s": pa.array([], pa.float64()),
-                               "v": pa.array([], pa.string())})
+        self.table = pa.table({"q": pa.array([], pa.int32()), "t": pa.array([], pa.float64()),
+                               "v": pa.array([], pa.string()), "s": pa.array([], pa.float64())})
 
     def add(self, scores: np.ndarray, ids: pa.Array, queries: np.ndarray | None = None) -> None:
         """Offer a block; ``queries`` maps its columns to query numbers (default: all, in order)."""
@@ -63,24 +62,25 @@ class RunningTop:
             return
         cols = np.arange(scores.shape[1]) if queries is None else queries
         s = np.where(np.isnan(scores), -np.inf, scores).T
+        tie = np.round(s, TIE_DIGITS)
         least = self.floor[cols]
         if n > self.k:
-            least = np.maximum(least, np.partition(s, n - self.k, axis=1)[:, n - self.k])
-        qi, ri = np.nonzero((s >= least[:, None]) & (s > -np.inf))
+            least = np.maximum(least, np.partition(tie, n - self.k, axis=1)[:, n - self.k])
+        qi, ri = np.nonzero((tie >= least[:, None]) & (tie > -np.inf))
         if not len(qi):
             return
-        fresh = pa.table({"q": pa.array(cols[qi].astype(np.int32)), "s": pa.array(s[qi, ri]),
-                          "v": ids.take(pa.array(ri))})
+        fresh = pa.table({"q": pa.array(cols[qi].astype(np.int32)), "t": pa.array(tie[qi, ri]),
+                          "v": ids.take(pa.array(ri)), "s": pa.array(s[qi, ri])})
         both = pa.concat_tables([self.table, fresh])
         both = both.take(pc.sort_indices(
-            both, sort_keys=[("q", "ascending"), ("s", "descending"), ("v", "ascending")]))
+            both, sort_keys=[("q", "ascending"), ("t", "descending"), ("v", "ascending")]))
         q = both["q"].to_numpy()
         starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
         sizes = np.diff(np.r_[starts, len(q)])
         rank = np.arange(len(q)) - np.repeat(starts, sizes)
         self.table = both.filter(pa.array(rank < self.k))
         full = sizes >= self.k
-        last = both["s"].to_numpy()[starts[full] + self.k - 1]
+        last = both["t"].to_numpy()[starts[full] + self.k - 1]
         self.floor[q[starts[full]]] = last
 
 

@@ -64,7 +64,7 @@ def ann_search(index: DataFrame, queries: DataFrame, hashing: HyperplaneHash, k:
         F.col("query_id").cast("string").alias("query_id"), "bot_id",
         F.col("embedding").alias("_q"), F.col("buckets").alias("_b"),
         F.posexplode("buckets").alias("tbl", "bucket"))
-    pairs = index.join(broadcast_if_small(asked, 4096 * hashing.tables), ["tbl", "bucket", "bot_id"])
+    pairs = index.join(broadcast_if_small(asked), ["tbl", "bucket", "bot_id"])
     earlier = F.exists(F.zip_with(F.slice("buckets", 1, F.col("tbl")), F.slice("_b", 1, F.col("tbl")),
                                   lambda x, y: x == y), lambda same: same)
     scored = (pairs.filter(~earlier)

@@ -15,9 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kbvec.functions.topk import (ROWS_PER_BLOCK, RunningTop, as_lists, as_matrix, block_scores,
-                                  strings, unit_rows)
-from kbvec.operators.search import best_first
+from kbvec.functions.topk import (ROWS_PER_BLOCK, TIE_DIGITS, RunningTop, as_lists, as_matrix,
+                                  block_scores, strings, unit_rows)
 from kbvec.session import broadcast_if_small, materialize, scratch_path
 
 BLOCK = 2048
@@ -25,8 +24,8 @@ RESULT = "query_id string, vector_id string, score double"
 
 
 def best_per_query(partial: DataFrame, k: int) -> DataFrame:
-    """Merge local winners: best ``k`` per query, with their rank."""
-    w = Window.partitionBy("query_id").orderBy(*best_first())
+    """Merge local winners: best ``k`` per query, with their rank; ties as in the tasks."""
+    w = Window.partitionBy("query_id").orderBy(F.round("score", TIE_DIGITS).desc_nulls_last(), "vector_id")
     ranked = partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.filter(F.col("score").isNotNull())
 

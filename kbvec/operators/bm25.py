@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kbvec.functions.text import words
-from kbvec.functions.topk import SCORE_DIGITS, RunningTop, strings
+from kbvec.functions.topk import RunningTop, strings
 from kbvec.operators.batch import RESULT, best_per_query
 from kbvec.operators.search import take_top
 from kbvec.session import materialize, scratch_path
@@ -141,7 +141,7 @@ def _score_block(corpus: DataFrame, queries: list, n_top: int) -> DataFrame:
                 norm = K1 * (1 - B + B * np.asarray(part.column("dl")) / avgdl)
                 dense = np.zeros((len(part), len(terms)))
                 dense[doc, np.asarray(listed.flatten())] = tf * (K1 + 1) / (tf + norm[doc])
-                scores = np.round(dense @ weights, SCORE_DIGITS)
+                scores = dense @ weights
                 top.add(np.where(scores > 0, scores, np.nan), strings(part.column("vector_id")))
         t = top.table
         yield pa.RecordBatch.from_arrays(

@@ -47,13 +47,20 @@ def reassemble(vectors: DataFrame, separator: str = "\n", part_chunks: int = MAX
     """Text of every chunked URL, joined in chunk order.
 
     A source longer than ``part_chunks`` chunks comes back as consecutive parts, so one huge source
-    never has to fit a single row or task. Nothing is dropped.
+    never has to fit a single row or task. Chunks that share an index, or have none, could still pile
+    up in one part; where they do, ``sub`` tells their pieces apart. Nothing is dropped.
     """
+    key = ["bot_id", "source_url", "part"]
     chunks = vectors.filter(F.col("is_chunked")).select(
-        "bot_id", "source_url", F.floor(F.coalesce("chunk_index", F.lit(0)) / part_chunks).cast("int").alias("part"),
+        "bot_id", "source_url",
+        F.floor(F.coalesce("chunk_index", F.lit(0)) / part_chunks).cast("int").alias("part"),
         F.struct("chunk_index", "vector_id", F.coalesce("content", F.lit("")).alias("content")).alias("c"))
+    crowded = (chunks.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > part_chunks)
+               .withColumn("_pieces", F.ceil(F.col("_n") / part_chunks)).drop("_n"))
+    piece = F.pmod(F.xxhash64("c.vector_id"), F.coalesce("_pieces", F.lit(1))).cast("int")
+    placed = chunks.join(broadcast_if_small(crowded), key, "left").withColumn("sub", piece)
     ordered = F.array_sort(F.collect_list("c"))
-    return chunks.groupBy("bot_id", "source_url", "part").agg(
+    return placed.groupBy(*key, "sub").agg(
         F.count("*").alias("chunks"),
         F.array_join(F.transform(ordered, lambda c: c["content"]), separator).alias("text"))
 

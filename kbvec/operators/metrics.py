@@ -106,20 +106,16 @@ def flag_over_quota(log: DataFrame, limit: int = QUOTA_PER_MINUTE, unit: str = "
 def health_summary(vectors: DataFrame, log: DataFrame, queue: DataFrame, now: Column, last_load: Column,
                    enabled: bool = True, tenant: str = "default") -> DataFrame:
     """One row: table size, log counters, queue state and status."""
-    table = vectors.filter(F.col("bot_id") == F.lit(tenant)).agg(F.count("*").alias("count"))
-    hits = cache_hit_rate(log)
-    queue_counts = queue.agg(
-        F.coalesce(F.sum((F.col("state") != "quarantine").cast("int")), F.lit(0)).alias("pending_count"),
-        F.coalesce(F.sum((F.col("state") == "quarantine").cast("int")), F.lit(0)).alias("quarantine_count"))
-    # Each side is one aggregate row.
-    one = F.lit(1).alias("_one")
-    joined = (table.select(one, "*").join(hits.select(one, "*"), "_one")
-              .join(queue_counts.select(one, "*"), "_one"))
+    table = vectors.filter(F.col("bot_id") == F.lit(tenant)).agg(F.count("*")).scalar()
+
+    def entries(quarantined: bool):
+        return queue.filter((F.col("state") == "quarantine") == quarantined).agg(F.count("*")).scalar()
+
     age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(last_load.cast("timestamp"))
-    return joined.select(
-        F.lit(enabled).alias("enabled"), "count", "searches", "cache_hits", "cache_hit_rate",
-        "pending_count", "quarantine_count", age.alias("last_load_age_s"),
-        F.lit("healthy" if enabled else "disabled").alias("status"))
+    return cache_hit_rate(log).select(
+        F.lit(enabled).alias("enabled"), table.alias("count"), "searches", "cache_hits", "cache_hit_rate",
+        entries(False).alias("pending_count"), entries(True).alias("quarantine_count"),
+        age.alias("last_load_age_s"), F.lit("healthy" if enabled else "disabled").alias("status"))
 
 
 def health_error(message: str) -> dict[str, str]:

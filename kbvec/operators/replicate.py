@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from kbvec.operators.mutate import upsert
 from kbvec.session import broadcast_if_small
 
-# Copy batch, drain cap, retry limit, drift small enough to wait for the queue.
+# Copy batch, drain cap, retry limit, queue bound, drift small enough to wait for the queue.
 COPY_BATCH, COPY_MAX = 1000, 10_000
 DRAIN_CAP, DRAIN_MAX = 50, 1000
 RETRY_LIMIT = 10
+MAX_QUEUE = 5000
 SMALL_DIFFERENCE = 50
 
 
@@ -87,6 +88,15 @@ def drain_step(pending: DataFrame, ok: Column, cap: int | None = DRAIN_CAP) -> D
             .drop("_due"))
 
 
+def enqueue(pending: DataFrame, failed: DataFrame, max_queue: int = MAX_QUEUE) -> tuple[DataFrame, DataFrame]:
+    """The queue with failed writes appended up to its bound, and the writes that found it full."""
+    room = max(0, max_queue - pending.count())
+    ranked = failed.withColumn("retries", F.lit(0))
+    taken = ranked.orderBy("queued_at", "seq").limit(room)
+    rest = ranked.join(F.broadcast(taken.select("queued_at", "seq")), ["queued_at", "seq"], "left_anti")
+    return pending.unionByName(taken.select(*pending.columns)), rest.select(*pending.columns)
+
+
 def drain_totals(drained: DataFrame) -> DataFrame:
     def n(*states):
         return F.coalesce(F.sum(F.col("state").isin(*states).cast("int")), F.lit(0))

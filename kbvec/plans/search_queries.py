@@ -143,16 +143,16 @@ BM25_SUM = ("sum(ln(1.0 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 "
 @register("bm25_topk", "WITH " + ",\n".join([
     *_bm25_ctes("SELECT doc_id::VARCHAR AS vector_id, text AS content FROM documents"),
     f"qt AS (SELECT DISTINCT item_id::VARCHAR AS query_id, unnest({words_sql('text')}) AS term FROM benchmark)",
-    f"sc AS (SELECT query_id, vector_id, round({BM25_SUM}, 9) AS s "
+    f"sc AS (SELECT query_id, vector_id, {BM25_SUM} AS s "
     "FROM qt JOIN df USING (term) JOIN tf USING (term), stats GROUP BY ALL)"]) + f"""
-SELECT query_id, vector_id, s AS score, rank FROM (
-  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vector_id))::INTEGER AS rank FROM sc)
+SELECT query_id, vector_id, round(s, 6) AS score, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vector_id))::INTEGER AS rank FROM sc)
 WHERE rank <= {bm25.leg_size(K)}""")
 def bm25_topk(spark, sf):
     """Every benchmark item as a query against every document."""
     asked = fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
     found = bm25.bm25_batch(fx.documents_as_rows(spark, sf), asked, bm25.leg_size(K))
-    return found.select("query_id", "vector_id", "score", "rank")
+    return found.select("query_id", "vector_id", r6(), "rank")
 
 
 ALPHA = hybrid.DEFAULT_ALPHA
@@ -217,9 +217,9 @@ def minmax_normalize(spark, sf):
 
 def _per_query_sql(k: int, queries: str, *ctes: str) -> str:
     return kb_sql(f"""
-SELECT query_id, vector_id, s AS score, rank FROM (
-  SELECT query_id, vector_id, s, (row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vector_id))::INTEGER AS rank
-  FROM (SELECT query_id, kb.vector_id, round(list_cosine_similarity(kb.embedding, qe), 9) AS s
+SELECT query_id, vector_id, round(s, 6) AS score, rank FROM (
+  SELECT query_id, vector_id, s, (row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vector_id))::INTEGER AS rank
+  FROM (SELECT query_id, kb.vector_id, list_cosine_similarity(kb.embedding, qe) AS s
         FROM kb JOIN ({queries}) qs ON kb.bot_id = qs.bot_id)) WHERE rank <= {k}""", *ctes)
 
 
@@ -232,7 +232,7 @@ CENTROIDS = ("cen AS (SELECT label::VARCHAR AS query_id, bot_id, list(x ORDER BY
 def knn_batch(spark, sf):
     """The mean vector of every label, searched in its tenant."""
     rows = _plain(spark, sf)
-    return batch.search_batch(rows, fx.centroids(rows), K).select("query_id", "vector_id", "score", "rank")
+    return batch.search_batch(rows, fx.centroids(rows), K).select("query_id", "vector_id", r6(), "rank")
 
 
 @register("knn_selfjoin", _per_query_sql(K, "SELECT vector_id AS query_id, bot_id, embedding AS qe FROM kb"))
@@ -240,15 +240,15 @@ def knn_selfjoin(spark, sf):
     """Every vector as a query against its whole tenant."""
     rows = _plain(spark, sf)
     found = batch.knn_join(rows, rows.withColumnRenamed("vector_id", "query_id"), K)
-    return found.select("query_id", "vector_id", "score", "rank")
+    return found.select("query_id", "vector_id", r6(), "rank")
 
 
 @register("query_batch_collapse", kb_sql("""
-SELECT e.event_id AS request, t.vector_id, t.rank, t.s AS score
+SELECT e.event_id AS request, t.vector_id, t.rank, round(t.s, 6) AS score
 FROM events e JOIN top t ON t.asker = e.user_id""", """top AS (
   SELECT asker, vector_id, s, rank FROM (
-    SELECT asker, vector_id, s, (row_number() OVER (PARTITION BY asker ORDER BY s DESC, vector_id))::INTEGER AS rank
-    FROM (SELECT q.kb_id AS asker, kb.vector_id, round(list_cosine_similarity(kb.embedding, q.embedding), 9) AS s
+    SELECT asker, vector_id, s, (row_number() OVER (PARTITION BY asker ORDER BY round(s, 9) DESC, vector_id))::INTEGER AS rank
+    FROM (SELECT q.kb_id AS asker, kb.vector_id, list_cosine_similarity(kb.embedding, q.embedding) AS s
           FROM kb JOIN kb q ON kb.bot_id = q.bot_id
           WHERE q.kb_id IN (SELECT user_id FROM events)))
   WHERE rank <= 5)"""))
@@ -258,7 +258,7 @@ def query_batch_collapse(spark, sf):
     asked = fx.table(spark, sf, "events").select(F.col("event_id").alias("query_id"), F.col("user_id").alias("kb_id"))
     asked = asked.join(rows.select("kb_id", "bot_id", "embedding"), "kb_id").drop("kb_id")
     found = batch.search_collapsed(rows, asked, 5)
-    return found.select(F.col("query_id").alias("request"), "vector_id", "rank", "score")
+    return found.select(F.col("query_id").alias("request"), "vector_id", "rank", r6())
 
 
 @register("ann_topk_recall")

@@ -132,12 +132,12 @@ def fetch_by_ids(spark, sf):
 
 
 @register("chunk_reassembly", kb_sql("""
-SELECT bot_id, source_url, chunk_index // 1000 AS part, count(*) AS chunks,
+SELECT bot_id, source_url, chunk_index // 1000 AS part, 0 AS sub, count(*) AS chunks,
   md5(string_agg(content, chr(10) ORDER BY chunk_index)) AS text_md5
 FROM kb WHERE is_chunked GROUP BY ALL"""))
 def chunk_reassembly(spark, sf):
     return lookup.reassemble(fx.kb_vectors(spark, sf)).select(
-        "bot_id", "source_url", "part", "chunks", F.md5("text").alias("text_md5"))
+        "bot_id", "source_url", "part", "sub", "chunks", F.md5("text").alias("text_md5"))
 
 
 @register("storage_estimate", kb_sql(

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def build_session(app: str = "kbvec", master: str | None = None, **conf) -> SparkSession:
@@ -20,6 +24,8 @@ def build_session(app: str = "kbvec", master: str | None = None, **conf) -> Spar
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Ranks up to this bound are pruned inside each task before rows of a group meet.
+        "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
         # Call-site capture costs several JVM round trips per expression built in Python.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k: str(v) for k, v in conf.items()},
@@ -56,11 +62,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(field: T.StructField):
+    """Approximate bytes of one value."""
+    col = F.col(field.name)
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0)) + 16
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(F.size(col), F.lit(0)) * 8 + 16
+    return F.lit(8)
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` stays within both bounds; reads no more than ``max_rows`` and one rows."""
+    width = reduce(add, [_width(f) for f in df.schema.fields])
+    seen = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).first()
+    return seen[0] <= max_rows and (seen[1] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; beyond the bound Spark shuffles both sides."""
+    """Hint a broadcast only after measuring; beyond the bounds Spark shuffles both sides."""
     return F.broadcast(df) if is_small(df, max_rows) else df

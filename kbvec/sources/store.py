@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kbvec.operators.mutate import last_per_id
+from kbvec.operators.ingest import missing_parts
+from kbvec.operators.mutate import MAX_COMPACTED, compaction_list, last_per_id, may_compact, split_entries
 from kbvec.operators.replicate import latest_changes
-from kbvec.schema import conform, vector_schema
+from kbvec.schema import DEFAULT_TENANT, conform, vector_schema
 from kbvec.session import broadcast_if_small, materialize
 
 
@@ -103,32 +104,69 @@ class VectorStore:
         return version
 
     def upsert(self, rows: DataFrame, seq: str | None = None) -> int:
-        """Replace or insert by id; of several input rows with one id the last (by ``seq``) wins."""
-        return self._swap(rows.select("vector_id").distinct(), conform(last_per_id(rows, seq), self.storage))
+        """Replace or insert by id; of several input rows with one id the last (by ``seq``) wins.
 
-    def apply_changes(self, log: DataFrame) -> int:
+        Rows without id or embedding are skipped; the number of the others is returned.
+        """
+        seen = Observation()
+        accepted = rows.filter(~missing_parts()).observe(seen, F.count(F.lit(1)).alias("rows"))
+        fresh = materialize(conform(last_per_id(accepted, seq), self.storage), "fresh")
+        if fresh.isEmpty():  # a plan known to be empty is never run and observes nothing
+            return 0
+        self._swap(fresh.select("vector_id"), fresh)
+        return seen.get["rows"]
+
+    def restore(self, path: str) -> int:
+        """Put a Parquet backup back: equal ids are replaced, other rows stay, an empty file does nothing."""
+        return self.upsert(self.spark.read.parquet(path))
+
+    def apply_changes(self, log: DataFrame) -> None:
         """Replay ``log(seq, vector_id, op, ...)``: the last entry per id is put in or taken out."""
-        last = latest_changes(log)
-        fresh = conform(last.filter(F.col("op") == "upsert"), self.storage)
-        return self._swap(last.select("vector_id"), fresh)
-
-    def _swap(self, ids: DataFrame, fresh: DataFrame) -> int:
-        """Take ``ids`` out, in whatever tenant they are, and put ``fresh`` in.
+        last = materialize(latest_changes(log), "changes")
+        self._swap(last.select("vector_id"), conform(last.filter(F.col("op") == "upsert"), self.storage))
 
-        Both are written out first: they are read several times, and the input may be costly.
-        """
-        fresh = materialize(fresh, "fresh")
-        ids = broadcast_if_small(materialize(ids, "ids"))
+    def _swap(self, ids: DataFrame, fresh: DataFrame) -> None:
+        """Take ``ids`` out, in whatever tenant they are, and put ``fresh`` in."""
+        ids = broadcast_if_small(ids)
         touched = self._touched(fresh)
         if self.versions():
             touched |= self._touched(self.read().join(ids, "vector_id", "left_semi"))
         rest = self.read(only=touched).join(ids, "vector_id", "left_anti")
-        return self._replace(touched, rest.unionByName(fresh))
-
-    def rewrite(self, transform, tenant: str | None = None) -> int:
-        """Replace the table, or one tenant, by ``transform`` of its rows (deletes, compaction)."""
-        held = self.versions()
-        parts = set(self._folders(held[-1])) if held else set()
-        if tenant is not None:
-            parts = {p for p in parts if p.startswith(f"bot_id={self._escape(tenant)}/")}
-        return self._replace(parts, transform(self.read(only=parts)))
+        self._replace(touched, rest.unionByName(fresh))
+
+    def _remove(self, hits: DataFrame) -> int:
+        """Delete rows given by ``vector_id, bot_id``; returns how many there were."""
+        hits = materialize(hits.select("vector_id", "bot_id"), "hits")
+        n = hits.count()
+        if n:
+            touched = self._touched(hits)
+            gone = broadcast_if_small(hits.select("vector_id"))
+            self._replace(touched, self.read(only=touched).join(gone, "vector_id", "left_anti"))
+        return n
+
+    def delete_ids(self, ids: DataFrame, tenant: str = DEFAULT_TENANT) -> dict[str, int]:
+        """Delete by id in one tenant; reports ids asked for and rows removed."""
+        ids = materialize(ids.select("vector_id").distinct(), "ids")
+        own = self.read().filter(F.col("bot_id") == F.lit(tenant))
+        return {"requested": ids.count(),
+                "deleted": self._remove(own.join(broadcast_if_small(ids), "vector_id", "left_semi"))}
+
+    def delete_url(self, url: str, tenant: str = DEFAULT_TENANT) -> int:
+        """Delete the base row and every chunk of one URL in one tenant."""
+        return self._remove(self.read().filter((F.col("bot_id") == F.lit(tenant)) & (F.col("source_url") == F.lit(url))))
+
+    def delete_entries(self, entries: DataFrame, tenant: str = DEFAULT_TENANT) -> int:
+        """Delete what a bulk list names: whole URLs for groups, single ids otherwise."""
+        ids, urls = split_entries(entries)
+        own = self.read().filter(F.col("bot_id") == F.lit(tenant))
+        by_id = own.join(broadcast_if_small(ids), "vector_id", "left_semi").select("vector_id", "bot_id")
+        by_url = own.join(broadcast_if_small(urls), "source_url", "left_semi").select("vector_id", "bot_id")
+        return self._remove(by_id.unionByName(by_url).distinct())
+
+    def compact(self, alive: DataFrame, max_deletes: int = MAX_COMPACTED, last_load=None, now=None,
+                **options) -> dict:
+        """Delete up to ``max_deletes`` rows without a living source row, unless the load is too recent."""
+        if now is not None and not may_compact(last_load, now):
+            return {"ok": False, "reason": "last load too recent", "deleted": 0}
+        ids = broadcast_if_small(compaction_list(self.read(), alive, max_deletes, **options))
+        return {"ok": True, "deleted": self._remove(self.read().join(ids, "vector_id", "left_semi"))}

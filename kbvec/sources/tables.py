@@ -21,7 +21,8 @@ def write_vectors(df: DataFrame, path: str, compression: str = "zstd") -> int:
     seen = Observation()
     (df.observe(seen, F.count(F.lit(1)).alias("rows"))
      .write.option("compression", compression).parquet(path))
-    return seen.get["rows"]
+    # A plan known to be empty is never run and observes nothing.
+    return 0 if df.sparkSession.read.schema(df.schema).parquet(path).isEmpty() else seen.get["rows"]
 
 
 def jdbc_options(url: str, table: str, lower: int, upper: int, partitions: int,

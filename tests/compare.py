@@ -28,7 +28,7 @@ def _plain(value):
         return value
     if hasattr(value, "as_tuple") or isinstance(value, (int, float)):
         number = float(value)
-        return None if math.isnan(number) else round(number, 6) + 0.0
+        return None if math.isnan(number) else round(number, 9) + 0.0
     return str(value)
 
 

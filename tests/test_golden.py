@@ -276,6 +276,9 @@ def test_reassembly_in_parts(spark):
                                      "concat('u_chunk_', id) vector_id", "cast(id as string) content")
     got = {r["part"]: r["text"] for r in lookup.reassemble(rows, "|", part_chunks=3).collect()}
     assert got == {0: "0|1|2", 1: "3|4|5", 2: "6"}
+    piled = lookup.reassemble(rows.withColumn("chunk_index", F.lit(None).cast("int")), "|", part_chunks=3)
+    assert "".join(sorted("".join(r["text"].split("|")) for r in piled.collect())) and piled.agg(F.sum("chunks")).first()[0] == 7
+    assert piled.count() > 1
 
 
 def test_storage_estimate(spark):
@@ -335,6 +338,14 @@ def test_drain(spark):
     assert tuple(replicate.drain_totals(out).first()) == (1, 1, 1, 2)
 
 
+def test_queue_bound(spark):
+    held = queue(spark, (1, 1, "p", 3, True))
+    new = queue(spark, (2, 2, "q", 7, True), (3, 3, "r", 0, True))
+    kept, full = replicate.enqueue(held, new, max_queue=2)
+    assert sorted((r["seq"], r["retries"]) for r in kept.collect()) == [(1, 3), (2, 0)]
+    assert [r["seq"] for r in full.collect()] == [3]
+
+
 def ids(spark, **tenants):
     return spark.createDataFrame([(b, i) for b, held in tenants.items() for i in held] or [],
                                  "bot_id string, vector_id string")

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from kbvec.operators import mutate, replicate
+from kbvec.operators import replicate
 from kbvec.schema import conform
 from kbvec.sources.store import VectorStore
 from kbvec.sources.tables import read_vectors, write_vectors
@@ -36,19 +36,44 @@ def test_versions(spark, tmp_path):
     assert held(store) == want and store.versions() == [1, 2, 3]
 
 
-def test_emptied_partitions_are_gone(spark, tmp_path):
+def test_upsert_counts_accepted_rows(spark, tmp_path):
     store = VectorStore(spark, str(tmp_path / "s"), buckets=2)
-    store.upsert(rows(spark, ("a", "t", "1"), ("b", "u", "1")))
-    store.rewrite(lambda df: mutate.delete_by_url(df, ""), tenant="t")
-    assert set(held(store)) == {"a", "b"}  # the URL's tenant is another
-    store.rewrite(lambda df: df.filter("vector_id <> 'a'"), tenant="t")
-    assert set(held(store)) == {"b"}
-    store.rewrite(lambda df: df.limit(0))
-    assert held(store) == {} and len(held(store, 1)) == 2
+    data = rows(spark, ("a", "t", "1"), ("a", "t", "2"), ("", "t", "x")).withColumn("seq", F.monotonically_increasing_id())
+    assert store.upsert(data, "seq") == 2 and held(store) == {"a": ("t", "2")}
+    assert store.upsert(data.limit(0), "seq") == 0 and store.versions() == [1]
+
+
+def test_deletes_empty_their_partitions(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "s"), buckets=2)
+    store.upsert(rows(spark, ("a", "t", "1"), ("b", "u", "1"), ("c", "u", "1")))
+    ids = rows(spark, ("a", "", ""), ("b", "", ""), ("no", "", "")).select("vector_id")
+    assert store.delete_ids(ids, "t") == {"requested": 3, "deleted": 1}
+    assert set(held(store)) == {"b", "c"} and len(held(store, 1)) == 3
+    assert store.delete_url("", "t") == 0 and store.delete_url("", "u") == 2 and held(store) == {}
     store.upsert(rows(spark, ("z", "t", "1")))
     assert set(held(store)) == {"z"}
 
 
+def test_bulk_delete_and_compaction(spark, vectors, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "s"), buckets=2)
+    store.upsert(vectors)
+    entries = spark.createDataFrame([("a1", "pinecone", "u/a", "true"), ("b", "pinecone", None, None), ("c", "wordpress", "", "false")],
+                                    "id string, source string, sourceUrl string, isGroup string")
+    assert store.delete_entries(entries) == 3 and set(held(store)) == {"c", "d", "z", "x"}
+    alive = spark.createDataFrame([(1, "nothing")], "id long, source_url string")
+    now = dt.datetime(2024, 1, 1)
+    assert store.compact(alive, 3, last_load=now, now=now)["ok"] is False
+    assert store.compact(alive, 3) == {"ok": True, "deleted": 3} and set(held(store)) == {"z"}
+
+
+def test_restore(spark, vectors, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "s"), buckets=2)
+    store.upsert(rows(spark, ("a1", "default", "other text"), ("own", "default", "stays")))
+    write_vectors(vectors, str(tmp_path / "backup"))
+    assert store.restore(str(tmp_path / "backup")) == 7
+    assert held(store)["a1"] == ("default", "alpha beta") and "own" in held(store) and len(held(store)) == 8
+
+
 def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     store = VectorStore(spark, str(tmp_path / "s"), buckets=1)
     store.upsert(rows(spark, ("a", "t", "1"), ("b", "u", "1")))
@@ -75,6 +100,7 @@ def test_int8_store(spark, tmp_path):
 def test_export_import_is_the_identity(spark, vectors, tmp_path):
     path = str(tmp_path / "backup")
     assert write_vectors(vectors, path) == 7
+    assert write_vectors(vectors.limit(0), path + "-empty") == 0
     assert sorted(map(str, read_vectors(spark, path).collect())) == sorted(map(str, vectors.collect()))
 
 
