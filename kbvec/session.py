@@ -41,12 +41,13 @@ def build_session(app: str = "kbvec", master: str | None = None, **conf) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where the session names none (tests, a laptop) is a local folder made and set.
+    Only where neither the settings nor the context name one (tests, a laptop) is a local folder made.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="kbvec-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="kbvec-"))
+        base = context.getCheckpointDir()
     return base.rstrip("/")
 
 
