@@ -10,8 +10,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # int8 scale and range.
 SCALE = 127
@@ -76,6 +77,14 @@ def dequantize_int8(quantized: Column) -> Column:
     return F.transform(quantized, lambda q: q.cast("double") / F.lit(float(SCALE)))
 
 
+def readable(df: DataFrame, metric: str = "cosine") -> DataFrame:
+    """``df`` with int8 embeddings scaled back where the metric needs it; the scale cancels in a cosine."""
+    stored = df.schema["embedding"].dataType.elementType
+    if metric == "cosine" or not isinstance(stored, T.ByteType):
+        return df
+    return df.withColumn("embedding", dequantize_int8(F.col("embedding")))
+
+
 def roundtrip_cosine(embedding: Column) -> Column:
     """Cosine between a vector and itself after quantising and scaling back."""
     return cosine(embedding, dequantize_int8(quantize_int8(embedding)))

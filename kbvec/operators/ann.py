@@ -72,8 +72,8 @@ def ann_search(index: DataFrame, queries: DataFrame, hashing: HyperplaneHash, k:
     return best_per_query(scored, k)
 
 
-def recall(found: DataFrame, exact: DataFrame, k: int) -> DataFrame:
-    """Share of the exact top ``k`` that the approximate search returned, per query."""
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """Share of the exact result that the approximate search returned, per query."""
     hits = found.select("query_id", "vector_id", F.lit(1).alias("_hit"))
     return (exact.join(hits, ["query_id", "vector_id"], "left")
             .groupBy("query_id").agg((F.count("_hit") / F.count("*")).alias("recall")))

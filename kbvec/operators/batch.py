@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from kbvec.functions.topk import (ROWS_PER_BLOCK, TIE_DIGITS, RunningTop, as_lists, as_matrix,
                                   block_scores, strings, unit_rows)
+from kbvec.functions.vectors import readable
+from kbvec.schema import DEFAULT_TENANT
 from kbvec.session import broadcast_if_small, materialize, scratch_path
 
 BLOCK = 2048
@@ -58,15 +60,21 @@ def _scan_block(vectors: DataFrame, queries: list, k: int, metric: str) -> DataF
              t["v"].combine_chunks(), t["s"].combine_chunks()],
             names=["query_id", "vector_id", "score"])
 
-    rows = (vectors.filter(F.col("bot_id").isin(*groups) & F.col("embedding").isNotNull())
-            .select("vector_id", "bot_id", "embedding"))
+    rows = (readable(vectors, metric).select("vector_id", "bot_id", "embedding")
+            .filter(F.col("bot_id").isin(*groups) & F.col("embedding").isNotNull()))
     return rows.mapInArrow(local_top, RESULT)
 
 
+def _asked(queries: DataFrame) -> DataFrame:
+    return queries.filter(F.col("embedding").isNotNull()).select(
+        F.col("query_id").cast("string").alias("query_id"),
+        F.coalesce("bot_id", F.lit(DEFAULT_TENANT)).alias("bot_id"), "embedding")
+
+
 def search_batch(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
                  block: int = BLOCK) -> DataFrame:
     """``query_id, vector_id, score, rank``: top ``k`` of the query's own tenant, exact."""
-    queries = queries.select(F.col("query_id").cast("string").alias("query_id"), "bot_id", "embedding")
+    queries = _asked(queries)
     head = queries.limit(block + 1).collect()
     if not head:
         return vectors.sparkSession.createDataFrame([], RESULT + ", rank int")
@@ -213,10 +221,9 @@ def knn_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosi
     """
     if metric not in ("cosine", "l2sq"):
         raise ValueError("the distance bounds need 'cosine' or 'l2sq'")
-    rows = (vectors.filter(F.col("embedding").isNotNull())
-            .select("vector_id", F.coalesce("bot_id", F.lit("")).alias("bot_id"), "embedding"))
-    queries = queries.filter(F.col("embedding").isNotNull()).select(
-        F.col("query_id").cast("string").alias("query_id"), "bot_id", "embedding")
+    rows = (readable(vectors, metric).select("vector_id", "bot_id", "embedding")
+            .filter(F.col("embedding").isNotNull() & F.col("bot_id").isNotNull()))
+    queries = _asked(queries)
     counts = rows.groupBy("bot_id").count()
     total = counts.agg(F.sum("count")).first()[0] or 0
     cell_rows = max(cell_rows, math.ceil(total / max_cells))

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kbvec.functions.vectors import score
+from kbvec.functions.vectors import readable, score
 from kbvec.operators.filters import tenant_rows
 from kbvec.schema import DEFAULT_ROLE, DEFAULT_TENANT, DEFAULT_TYPE
 
@@ -34,7 +34,7 @@ def scored(rows: DataFrame, query: Sequence[float], metric: str = "cosine",
     if dim is not None and len(query) != dim:
         raise ValueError(f"embedding dimension mismatch: expected {dim}, got {len(query)}")
     kept = [c for c in rows.columns if c != "embedding"]
-    return rows.select(*kept, score(F.col("embedding"), query, metric).alias("score"))
+    return readable(rows, metric).select(*kept, score(F.col("embedding"), query, metric).alias("score"))
 
 
 def take_top(rows: DataFrame, k: int) -> DataFrame:

@@ -43,14 +43,13 @@ register("knn_inner_product", _top_sql("list_inner_product(kb.embedding, qe)"))(
 
 
 @register("knn_int8", kb_sql(f"""
-SELECT vector_id, round(list_cosine_similarity(deq, qe), 6) AS score FROM q8, asked
-WHERE bot_id = 'default' ORDER BY list_cosine_similarity(deq, qe) DESC, vector_id LIMIT {K}""", ASKED,
+SELECT vector_id, round(0.0 - list_distance(deq, qe), 6) AS score FROM q8, asked
+WHERE bot_id = 'default' ORDER BY 0.0 - list_distance(deq, qe) DESC, vector_id LIMIT {K}""", ASKED,
     """q8 AS (SELECT vector_id, bot_id, list_transform(embedding,
         lambda x: greatest(-128.0, least(127.0, round(x * 127.0))) / 127.0) AS deq FROM kb)"""))
 def knn_int8(spark, sf):
     stored = _plain(spark, sf).withColumn("embedding", quantize_int8(F.col("embedding")))
-    readable = stored.withColumn("embedding", dequantize_int8(F.col("embedding")))
-    return search(readable, fx.query_vector(spark, sf), K, dim=fx.DIM).select("vector_id", r6())
+    return search(stored, fx.query_vector(spark, sf), K, metric="l2sq", dim=fx.DIM).select("vector_id", r6())
 
 
 @register("knn_tenant", _top_sql(COSINE, "bot_id = 'support_en'", extra=", bot_id"))
@@ -261,15 +260,38 @@ def query_batch_collapse(spark, sf):
     return found.select(F.col("query_id").alias("request"), "vector_id", "rank", r6())
 
 
-@register("ann_topk_recall")
+HASH = ann.HyperplaneHash(fx.DIM, tables=8, bits=4)
+
+
+def _hash_ctes(hashing: ann.HyperplaneHash) -> list[str]:
+    """Buckets of the rows (``vb``) and of the label means (``qb``) under the planes of ``hashing``."""
+    planes = ", ".join(f"({i // hashing.bits}, {i % hashing.bits}, [{', '.join(repr(float(x)) for x in plane)}]::DOUBLE[])"
+                       for i, plane in enumerate(hashing.planes))
+
+    def buckets(name, source, key, vector):
+        return (f"{name} AS (SELECT {key}, bot_id, tbl, sum(CASE WHEN list_inner_product({vector}, plane) >= 0 "
+                f"THEN 2 ** bit ELSE 0 END) AS bucket FROM {source}, planes GROUP BY {key}, bot_id, tbl)")
+    return [CENTROIDS, f"planes(tbl, bit, plane) AS (VALUES {planes})",
+            buckets("vb", "kb", "vector_id", "embedding"), buckets("qb", "cen", "query_id", "qe")]
+
+
+@register("ann_topk_recall", kb_sql(f"""
+SELECT e.query_id, count(f.vector_id) / count(*) AS recall FROM ex e LEFT JOIN fo f USING (query_id, vector_id)
+GROUP BY e.query_id""", *_hash_ctes(HASH),
+    """al AS (SELECT query_id, kb.vector_id, list_cosine_similarity(kb.embedding, qe) AS s,
+      EXISTS (SELECT 1 FROM vb JOIN qb USING (tbl, bucket, bot_id)
+              WHERE vb.vector_id = kb.vector_id AND qb.query_id = cen.query_id) AS near
+      FROM kb JOIN cen USING (bot_id))""",
+    *[f"{name} AS (SELECT query_id, vector_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id "
+      f"ORDER BY round(s, 9) DESC, vector_id) AS rn FROM al WHERE {where}) WHERE rn <= {K})"
+      for name, where in (("ex", "true"), ("fo", "near"))]))
 def ann_topk_recall(spark, sf):
     """Recall of the hashed index per label mean."""
-    rows = _plain(spark, sf)
-    hashing, path = ann.HyperplaneHash(fx.DIM, tables=8, bits=4), scratch_path(spark, "ann")
-    ann.build_index(rows, hashing, path)
+    rows, path = _plain(spark, sf), scratch_path(spark, "ann")
+    ann.build_index(rows, HASH, path)
     asked = fx.centroids(rows)
-    found = ann.ann_search(spark.read.parquet(path), asked, hashing, K)
-    return ann.recall(found, batch.search_batch(rows, asked, K), K)
+    found = ann.ann_search(spark.read.parquet(path), asked, HASH, K)
+    return ann.recall(found, batch.search_batch(rows, asked, K))
 
 
 # --- quantisation ------------------------------------------------------------------------------

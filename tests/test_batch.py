@@ -119,7 +119,7 @@ def test_ann_recall_grows_to_one(spark, tmp_path):
     index = spark.read.parquet(str(tmp_path / "index"))
     found = ann.ann_search(index, as_queries(df), wide, 5)
     assert found.groupBy("query_id", "vector_id").count().filter("count > 1").count() == 0
-    assert ann.recall(found, exact, 5).agg(F.avg("recall")).first()[0] > 0.95
+    assert ann.recall(found, exact).agg(F.avg("recall")).first()[0] > 0.95
 
 
 # --- text --------------------------------------------------------------------------------------
