@@ -62,14 +62,20 @@ class RunningTop:
             return
         cols = np.arange(scores.shape[1]) if queries is None else queries
         s = np.where(np.isnan(scores), -np.inf, scores).T
-        tie = np.round(s, TIE_DIGITS)
         least = self.floor[cols]
-        if n > self.k:
-            least = np.maximum(least, np.partition(tie, n - self.k, axis=1)[:, n - self.k])
-        qi, ri = np.nonzero((tie >= least[:, None]) & (tie > -np.inf))
+        mask = s >= (least - 10.0 ** -TIE_DIGITS)[:, None]
+        # Later blocks offer few rows above the floor; only where many pass is the block itself ranked.
+        crowded = np.flatnonzero(mask.sum(axis=1) > 4 * self.k)
+        if n > self.k and len(crowded):
+            own = np.round(s[crowded], TIE_DIGITS)
+            mask[crowded] &= own >= np.partition(own, n - self.k, axis=1)[:, n - self.k, None]
+        qi, ri = np.nonzero(mask)
+        tie = np.round(s[qi, ri], TIE_DIGITS)
+        ok = (tie >= least[qi]) & (tie > -np.inf)
+        qi, ri, tie = qi[ok], ri[ok], tie[ok]
         if not len(qi):
             return
-        fresh = pa.table({"q": pa.array(cols[qi].astype(np.int32)), "t": pa.array(tie[qi, ri]),
+        fresh = pa.table({"q": pa.array(cols[qi].astype(np.int32)), "t": pa.array(tie),
                           "v": ids.take(pa.array(ri)), "s": pa.array(s[qi, ri])})
         both = pa.concat_tables([self.table, fresh])
         both = both.take(pc.sort_indices(
