@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kbvec.operators.mutate import upsert
+from kbvec.operators.ingest import missing_parts
+from kbvec.schema import conform
 from kbvec.session import broadcast_if_small
 
 # Copy batch, drain cap, retry limit, queue bound, drift small enough to wait for the queue.
@@ -47,17 +48,21 @@ def copy_missing(source: DataFrame, replica: DataFrame) -> DataFrame:
 
 
 def latest_changes(log: DataFrame) -> DataFrame:
-    """The last entry per id of ``log(seq, vector_id, op, ...)``; older ones are pruned in each task."""
+    """The last entry per id of ``log(seq, vector_id, op, ...)``; older ones are pruned in each task.
+
+    Upserts without id or embedding are skipped, as by any upsert.
+    """
+    valid = log.filter((F.col("op") == "delete") | ((F.col("op") == "upsert") & ~missing_parts()))
     w = Window.partitionBy("vector_id").orderBy(F.col("seq").desc())
-    return log.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
+    return valid.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
 
 
-def apply_change_log(replica: DataFrame, log: DataFrame, **options) -> DataFrame:
+def apply_change_log(replica: DataFrame, log: DataFrame, storage: str = "float32", now=None) -> DataFrame:
     """Replay upserts and deletes; only the last entry of an id counts, so a replay changes nothing."""
     last = latest_changes(log)
-    gone = broadcast_if_small(last.filter(F.col("op") == "delete").select("vector_id"))
-    fresh = last.filter(F.col("op") == "upsert").drop("seq", "op")
-    return upsert(replica.join(gone, "vector_id", "left_anti").select(*replica.columns), fresh, **options)
+    ids = broadcast_if_small(last.select("vector_id"))
+    fresh = conform(last.filter(F.col("op") == "upsert"), storage, now)
+    return replica.join(ids, "vector_id", "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
 def drain_step(pending: DataFrame, ok: Column, cap: int | None = DRAIN_CAP) -> DataFrame:

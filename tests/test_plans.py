@@ -39,7 +39,7 @@ def test_search_reads_and_filters_at_the_scan(spark, vectors, tmp_path):
 def test_ranks_are_pruned_before_the_shuffle(spark, vectors):
     for df in (dedup_sources(vectors.withColumn("score", F.lit(1.0)), 5),
                mutate.last_per_id(vectors.withColumn("seq", F.lit(1)), "seq"),
-               replicate.latest_changes(vectors.withColumn("seq", F.lit(1)))):
+               replicate.latest_changes(vectors.withColumn("seq", F.lit(1)).withColumn("op", F.lit("upsert")))):
         assert "WindowGroupLimit" in plan(df)
 
 
