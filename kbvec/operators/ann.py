@@ -36,7 +36,7 @@ class HyperplaneHash:
     def column(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """``df`` with an array column ``buckets``, computed per Arrow batch."""
         def attach(batches):
-            for batch in batches:
+            for batch in (b for b in batches if b.num_rows):
                 found = self.buckets(as_matrix(batch.column("embedding")))
                 lists = pa.array(found.tolist(), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kbvec.operators.bm25 import bm25_top, leg_size
 from kbvec.operators.filters import tenant_rows
 from kbvec.operators.search import Rerank, dedup_sources, overfetch, scored, search, take_top
+from kbvec.operators.textindex import index_top
 from kbvec.schema import DEFAULT_TENANT
 
 # Fixed value: weight of the vector leg.
@@ -45,12 +46,13 @@ def blend(vector_leg: DataFrame, text_leg: DataFrame, alpha: float, by: str = "q
 def hybrid_search(vectors: DataFrame, query: Sequence[float], text: str, k: int = 50,
                   tenant: str = DEFAULT_TENANT, spec: Mapping[str, Any] | None = None,
                   alpha: float = DEFAULT_ALPHA, metric: str = "cosine", dim: int | None = None,
-                  dedup: bool = False, text_available: bool = True,
+                  dedup: bool = False, text_available: bool = True, text_index: str | None = None,
                   rerank: Rerank | None = None) -> DataFrame:
     """Vector search refined by BM25; plain vector search where there is no text to match.
 
-    With ``text_available=False`` (no text leg can be computed) raw vector scores come back, deduped
-    as a list when asked for.
+    The text leg scores live text, or reads the index at ``text_index``, which only touches the
+    postings of the query's words. With ``text_available=False`` (no text leg can be computed) raw
+    vector scores come back, deduped as a list when asked for.
     """
     if not text:
         return search(vectors, query, k, tenant, spec, metric, dim, dedup, rerank)
@@ -59,8 +61,11 @@ def hybrid_search(vectors: DataFrame, query: Sequence[float], text: str, k: int
     leg = take_top(scored(own, query, metric, dim), leg_size(fetch))
     if text_available:
         one = F.lit(0).alias("query_id")
-        words_leg = bm25_top(vectors.select("vector_id", "content"), text, leg_size(fetch),
-                             own.select("vector_id", "content"))
+        if text_index:
+            words_leg = index_top(vectors.sparkSession, text_index, text, leg_size(fetch), tenant, spec)
+        else:
+            words_leg = bm25_top(vectors.select("vector_id", "content"), text, leg_size(fetch),
+                                 own.select("vector_id", "content"))
         leg = blend(leg.select(one, "*"), words_leg.select(one, "vector_id", "score"), alpha).drop("query_id")
     found = take_top(leg, fetch)
     if dedup:

@@ -46,14 +46,13 @@ def take_top(rows: DataFrame, k: int) -> DataFrame:
 def dedup_sources(matches: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
     """Best row per source URL, rows without a URL all kept, best ``k`` of the rest (per ``by``).
 
-    Rows with and without a URL are ranked apart: the plain ``rank = 1`` test lets Spark drop losers
-    before the shuffle, which it cannot do under an OR.
+    A row without a URL is a group of its own, so one ``rank = 1`` test covers both kinds and Spark
+    can drop losers before the shuffle.
     """
     url = F.coalesce(F.col("source_url"), F.lit(""))
-    per_source = Window.partitionBy(*by, "source_url").orderBy(*best_first())
-    with_url = (matches.filter(url != "").withColumn("_n", F.row_number().over(per_source))
-                .filter(F.col("_n") == 1).drop("_n"))
-    kept = with_url.unionByName(matches.filter(url == ""))
+    alone = F.when(url == "", F.col("vector_id"))
+    per_source = Window.partitionBy(*by, url, alone).orderBy(*best_first())
+    kept = matches.withColumn("_n", F.row_number().over(per_source)).filter(F.col("_n") == 1).drop("_n")
     if not by:
         return take_top(kept, k)
     ranked = Window.partitionBy(*by).orderBy(*best_first())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kbvec.functions.vectors import dequantize_int8, quantize_int8, roundtrip_cosine
-from kbvec.operators import ann, batch, bm25, hybrid
+from kbvec.operators import ann, batch, bm25, hybrid, textindex
 from kbvec.operators.search import boost, overfetch, scored, search, to_matches
 from kbvec.plans import fixtures as fx
 from kbvec.plans.registry import ASKED, kb_sql, register, words_sql
@@ -176,6 +176,15 @@ def _hybrid_ctes(fetch: int) -> list[str]:
             f"FROM vn LEFT JOIN tn USING (vector_id) ORDER BY score DESC, vector_id LIMIT {fetch})"]
 
 
+@register("bm25_text_index", kb_sql("SELECT vector_id, round(s, 6) AS score FROM tl", *_hybrid_ctes(K)))
+def bm25_text_index(spark, sf):
+    """The text leg of the hybrid searches, answered from stored word counts."""
+    path = scratch_path(spark, "text-index")
+    textindex.build_index(fx.kb_vectors(spark, sf), path, buckets=8)
+    found = textindex.index_top(spark, path, fx.query_text(spark, sf), bm25.leg_size(K))
+    return found.select("vector_id", r6())
+
+
 @register("hybrid_topk", kb_sql("SELECT vector_id, round(score, 6) AS score FROM bl", *_hybrid_ctes(K)))
 def hybrid_topk(spark, sf):
     found = hybrid.hybrid_search(fx.kb_vectors(spark, sf), fx.query_vector(spark, sf), fx.query_text(spark, sf), K)

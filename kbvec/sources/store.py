@@ -8,6 +8,7 @@ overwritten, and a failed or repeated write leaves the previous version in place
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -93,9 +94,9 @@ class VectorStore:
         held = self.versions()
         version = (held[-1] if held else 0) + 1
         folders = self._folders(held[-1]) if held else {}
-        base = f"{self.root}/data/{version:08d}"
+        base = f"{self.root}/data/{version:08d}-{uuid.uuid4().hex[:8]}"
         (self._placed(rows).hint("rebalance", "bot_id", "bucket")
-         .write.mode("overwrite").option("compression", "zstd").partitionBy("bot_id", "bucket").parquet(base))
+         .write.option("compression", "zstd").partitionBy("bot_id", "bucket").parquet(base))
         written = {f"{t.getPath().getName()}/{b.getPath().getName()}"
                    for t in self._fs.listStatus(self._path(base)) if t.isDirectory()
                    for b in self._fs.listStatus(t.getPath())}

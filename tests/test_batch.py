@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kbvec.operators import ann, batch, bm25, hybrid
+from kbvec.operators import ann, batch, bm25, hybrid, textindex
+from kbvec.operators.filters import tenant_rows
 from kbvec.operators.search import rerank_groups
 
 
@@ -157,6 +158,30 @@ def test_bm25_value(spark):
     assert got[0]["score"] == pytest.approx(idf * 2.2 / (1 + 1.2 * (0.25 + 0.75 * dl / avgdl)))
 
 
+def test_text_index_equals_live_text(spark, vectors, tmp_path):
+    path = str(tmp_path / "index")
+    textindex.build_index(vectors, path, buckets=4)
+    for text in ("alpha beta", "delta", "absent", ""):
+        for spec in (None, {"type": {"$in": ["post", "page"]}}):
+            own = tenant_rows(vectors, "default", spec)
+            live = bm25.bm25_top(vectors, text, 5, own).collect()
+            stored = textindex.index_top(spark, path, text, 5, "default", spec).collect()
+            assert [r["vector_id"] for r in stored] == [r["vector_id"] for r in live]
+            assert [r["score"] for r in stored] == pytest.approx([r["score"] for r in live])
+    q = [1.0, 0.2, 0.0]
+    live = hybrid.hybrid_search(vectors, q, "gamma beta", 5).collect()
+    stored = hybrid.hybrid_search(vectors, q, "gamma beta", 5, text_index=path).collect()
+    assert [r["vector_id"] for r in stored] == [r["vector_id"] for r in live]
+
+
+def test_text_index_reads_only_its_buckets(spark, vectors, tmp_path):
+    path = str(tmp_path / "index")
+    textindex.build_index(vectors, path, buckets=4)
+    plan = textindex.index_scores(spark, path, ["alpha"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+    assert "EqualTo(word,alpha)" in plan
+
+
 def test_hybrid_invariants(vectors):
     q = [1.0, 0.2, 0.0]
     ids = lambda df: [r["vector_id"] for r in df.collect()]
