@@ -13,11 +13,32 @@ ROWS_PER_BLOCK = 2048
 
 
 def as_matrix(column) -> np.ndarray:
-    """An Arrow list column of equal lengths as a float64 matrix."""
+    """An Arrow column of equally long lists, or of packed float32 bytes, as a float64 matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0))
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        width = np.int32 if pa.types.is_binary(column.type) else np.int64
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, dtype=width)[column.offset:column.offset + len(column) + 1]
+        flat = np.frombuffer(data, dtype="<f4", offset=int(ends[0]), count=int(ends[-1] - ends[0]) // 4)
+        return flat.astype(np.float64).reshape(len(column), -1)
     flat = np.asarray(column.flatten(), dtype=np.float64)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    return flat.reshape(len(column), -1)
+
+
+def rows_matrix(values) -> np.ndarray:
+    """Collected embeddings, as lists or as packed bytes, as a float64 matrix."""
+    return np.array([np.frombuffer(bytes(v), dtype="<f4") if isinstance(v, (bytes, bytearray)) else v
+                     for v in values], dtype=np.float64)
+
+
+def as_bytes(column) -> pa.Array:
+    """The packed form of an Arrow list column."""
+    rows = as_matrix(column).astype("<f4")
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1] * 4)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
 
 
 def as_lists(matrix: np.ndarray) -> pa.ListArray:

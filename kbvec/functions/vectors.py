@@ -79,8 +79,9 @@ def dequantize_int8(quantized: Column) -> Column:
 
 def readable(df: DataFrame, metric: str = "cosine") -> DataFrame:
     """``df`` with int8 embeddings scaled back where the metric needs it; the scale cancels in a cosine."""
-    stored = df.schema["embedding"].dataType.elementType
-    if metric == "cosine" or not isinstance(stored, T.ByteType):
+    stored = df.schema["embedding"].dataType
+    is_int8 = isinstance(stored, T.ArrayType) and isinstance(stored.elementType, T.ByteType)
+    if metric == "cosine" or not is_int8:
         return df
     return df.withColumn("embedding", dequantize_int8(F.col("embedding")))
 

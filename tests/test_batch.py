@@ -66,6 +66,16 @@ def test_search_batch(spark, metric):
     agree(got, brute(rows, rows, 7, metric))
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2sq"])
+def test_packed_vectors(spark, metric):
+    df, rows = make(spark, 150)
+    packed = batch.pack(df.repartition(3))
+    assert packed.columns == df.columns and packed.schema["embedding"].dataType.typeName() == "binary"
+    want = brute(rows, rows, 5, metric)
+    agree(collected(batch.search_batch(packed, as_queries(df), 5, metric)), want)
+    agree(collected(batch.knn_join(packed, as_queries(packed), 5, metric, cell_rows=20)), want)
+
+
 def test_search_batch_without_queries(spark):
     df, _ = make(spark, 20)
     assert batch.search_batch(df, as_queries(df).limit(0), 3).count() == 0
