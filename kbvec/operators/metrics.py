@@ -13,12 +13,10 @@ QUOTA_PER_MINUTE = 120
 SEARCH, HIT, ERROR = "searches", "query_cache_hit", "errors"
 
 
-def percentile_of_sorted(samples: Column, p: float, cap: bool = True) -> Column:
-    """The value at index ``int(n * p)`` of a sorted array, 0 when it is empty."""
+def percentile_of_sorted(samples: Column, p: float) -> Column:
+    """The value at index ``int(n * p)`` of a sorted array, at most the last; 0 when it is empty."""
     n = F.size(samples)
-    index = F.floor(n * F.lit(p)).cast("int")
-    if cap:
-        index = F.least(n - 1, index)
+    index = F.least(n - 1, F.floor(n * F.lit(p)).cast("int"))
     return F.coalesce(F.get(samples, index), F.lit(0))
 
 
@@ -116,8 +114,3 @@ def health_summary(vectors: DataFrame, log: DataFrame, queue: DataFrame, now: Co
         F.lit(enabled).alias("enabled"), table.alias("count"), "searches", "cache_hits", "cache_hit_rate",
         entries(False).alias("pending_count"), entries(True).alias("quarantine_count"),
         age.alias("last_load_age_s"), F.lit("healthy" if enabled else "disabled").alias("status"))
-
-
-def health_error(message: str) -> dict[str, str]:
-    """What the summary reports when the table cannot be read."""
-    return {"status": "error", "error": message}

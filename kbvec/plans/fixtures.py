@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbvec.functions.ids import vector_id
+from kbvec.functions.text import words
 from kbvec.operators.metrics import ERROR, HIT, SEARCH
 
 DIM = 64
-KINDS = ("post", "page", "product")
-TENANTS = ("default", "support_en", "support_fr")
-
 
 SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
@@ -27,13 +25,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def _pick(number: Column, values) -> Column:
-    out = F.lit(values[-1])
-    for i, v in reversed(list(enumerate(values[:-1]))):
-        out = F.when(number == i, F.lit(v)).otherwise(out)
-    return out
-
-
 # Groups of five rows take turns: no URL, chunks of one URL, one URL per row.
 SOURCE = ("*", "(vec_id div 5) % 3 = 1 AS is_chunked", """CASE (vec_id div 5) % 3
   WHEN 0 THEN '' WHEN 1 THEN concat('https://kb.example/d/', vec_id div 5)
@@ -43,7 +34,8 @@ REST = ("*", "vec_id AS kb_id", "IF(is_chunked, cast(vec_id % 5 AS int), null) A
         "CASE label % 3 WHEN 0 THEN 'default' WHEN 1 THEN 'support_en' ELSE 'support_fr' END AS bot_id",
         "IF(vec_id % 4 = 0, 'subscriber', 'public') AS role_restriction",
         "CASE vec_id % 3 WHEN 0 THEN 'post' WHEN 1 THEN 'page' ELSE 'product' END AS content_type",
-        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(vec_id AS int)) AS updated_at")
+        """timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(vec_id div 1440 AS int), 0,
+          cast(vec_id % 1440 AS int)) AS updated_at""")
 
 
 def kb_vectors(spark: SparkSession, sf: str, content: bool = True) -> DataFrame:
@@ -70,7 +62,6 @@ def query_vector(spark: SparkSession, sf: str, vec_id: int = 0) -> list[float]:
 
 def query_text(spark: SparkSession, sf: str, doc_id: int = 0, n: int = 3) -> str:
     row = table(spark, sf, "documents").filter(F.col("doc_id") == doc_id).select("text").first()
-    from kbvec.functions.text import words
     return " ".join(spark.range(1).select(F.slice(words(F.lit(row["text"])), 1, n)).first()[0])
 
 
@@ -153,7 +144,7 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(
         F.col("page_id").alias("ID"),
         F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("post_title"),
-        F.col("html").alias("post_content"), _pick(F.col("page_id") % 3, ("post", "page", "FAQ Entry")).alias("post_type"),
+        F.col("html").alias("post_content"), F.expr("CASE page_id % 3 WHEN 0 THEN 'post' WHEN 1 THEN 'page' ELSE 'FAQ Entry' END AS post_type"),
         F.when(F.col("page_id") % 20 == 0, "draft").otherwise("publish").alias("post_status"),
         F.col("url").alias("permalink"))
 
@@ -167,5 +158,6 @@ def delete_entries(vectors: DataFrame) -> DataFrame:
 
 
 def documents_as_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as a text row."""
     return table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("vector_id"), F.col("text").alias("content"), "lang", "source")

@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from kbvec.operators import ingest, replicate
+from kbvec.operators import ingest, metrics, replicate
 from kbvec.schema import DEFAULT_TENANT
 from kbvec.session import materialize
 from kbvec.sources.store import VectorStore
@@ -75,6 +77,14 @@ def bootstrap(store: VectorStore, source: DataFrame) -> int:
     return store.upsert(replicate.missing_rows(source, store.read()))
 
 
+def health(read: Callable[[], DataFrame], log: DataFrame, queue: DataFrame, **options) -> dict:
+    """The health summary as a dict; a table that cannot be read is reported, not raised."""
+    try:
+        return metrics.health_summary(read(), log, queue, **options).first().asDict()
+    except (AnalysisException, SparkRuntimeException, Py4JJavaError) as error:
+        return {"status": "error", "error": str(error).splitlines()[0]}
+
+
 def drift_check(primary: DataFrame, replica: DataFrame, pending: int, previous: str = "active") -> dict:
     """Compare both sides tenant by tenant; the drifted tenants and the resulting status."""
     drifted = materialize(replicate.compare_signatures(

@@ -87,6 +87,19 @@ def test_bootstrap_and_drift(spark, store, vectors):
     assert jobs.drift_check(vectors, store.read(), 0, "drifted")["status"] == "active"
 
 
+def test_health(spark, vectors):
+    log = spark.createDataFrame([(DAY, "searches"), (DAY, "query_cache_hit")], "ts timestamp_ntz, op string")
+    queue = spark.createDataFrame([("retry",), ("quarantine",), ("waiting",)], "state string")
+    stamp = lambda h: F.lit(DAY + dt.timedelta(hours=h)).cast("timestamp_ntz")
+    options = {"now": stamp(2), "last_load": stamp(1)}
+    got = jobs.health(lambda: vectors, log, queue, **options)
+    assert got == {"enabled": True, "count": 6, "searches": 1, "cache_hits": 1, "cache_hit_rate": 0.5, "pending_count": 2,
+                   "quarantine_count": 1, "last_load_age_s": 3600, "status": "healthy"}
+    assert jobs.health(lambda: vectors, log, queue, enabled=False, **options)["status"] == "disabled"
+    broken = jobs.health(lambda: spark.read.parquet("/tmp/kbvec-no-such-table"), log, queue, **options)
+    assert broken["status"] == "error" and "kbvec-no-such-table" in broken["error"]
+
+
 @pytest.mark.parametrize("metric", ["cosine", "l2sq", "ip"])
 def test_search_over_int8_storage(spark, tmp_path, vectors, metric):
     exact, small = vectors.filter("vector_id <> 'z'"), VectorStore(spark, str(tmp_path / "s8"), storage="int8", buckets=1)
