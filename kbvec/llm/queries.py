@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbvec.llm import chat, sharding
+from kbvec.llm import chat, jaccard, sharding
 from kbvec.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,26 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op1_ngram_jaccard_join", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct([array_to_string(words[i:i + 4], ' ') for i in range(1, len(words) - 3)]) END AS grams FROM w),
+g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+l AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.gram = b.gram
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.other)
+SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, m.component_id, e.class_id
+FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
+JOIN (SELECT list_sort(grams) AS k, min(doc_id) AS class_id, list(doc_id) AS ids FROM s WHERE len(grams) > 0 GROUP BY k
+      UNION ALL SELECT [], doc_id, [doc_id] FROM s WHERE len(grams) = 0) e ON list_contains(e.ids, s.doc_id)""")
+def op1(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @register("op3_sharding")
 def op3(spark, sf_dir):
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
