@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbvec.llm import chat, jaccard, sharding
+from kbvec.llm import chat, jaccard, pieces, sharding, tokencounts
 from kbvec.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +79,13 @@ def op4(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], turns.schema)
     return chat.digest(chat.format_chats(turns.unionByName(marked)))
+
+
+@register("op5_token_counts")
+def op5(spark, sf_dir):
+    return tokencounts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op10_sentencepiece")
+def op10(spark, sf_dir):
+    return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
