@@ -39,7 +39,7 @@ MARK = 0x2581
 LITERAL_MARK = 0x110000 + MARK
 NEWLINE, SPACE = 10, 32
 #: Edges of lattices that a worker keeps, and lattice positions that are filtered at a time.
-KEPT_EDGES, FILTERED = 6_000_000, 100_000
+KEPT_EDGES, FILTERED = 8_000_000, 50_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -116,7 +116,8 @@ class Lattices:
         self.slot = np.zeros(0, np.int64)
         self.node0 = np.zeros(0, np.int64)
         self.nodes = self.units = 0
-        self.edge_key = np.zeros(0, np.float64)
+        self.edge0 = np.zeros(0, np.int64)
+        self.edge_share = np.zeros(0, np.float64)
         self.edge_len = np.zeros(0, np.int32)
         self.edge_piece = np.zeros(0, np.int32)
 
@@ -149,10 +150,14 @@ class Lattices:
             top = reach.max(axis=1)
             total[:, end] = top + np.log(np.exp(reach - top[:, None]).sum(axis=1))
             weight[:, end - 1, :k] = reach - total[:, end][:, None]
-        shares = np.cumsum(np.exp(weight), axis=2)
-        shares /= shares[:, :, -1:]
-        unit, end, size = np.nonzero(piece >= 0)
-        return unit * n + end, shares[unit, end, size], (size + 1).astype(np.int32), piece[unit, end, size]
+        # Edges of a node from the longest piece down; the last share is above every draw.
+        shares = np.cumsum(np.exp(weight[:, :, ::-1]), axis=2)
+        there = piece[:, :, ::-1] >= 0
+        count = there.sum(axis=2).ravel()
+        share = shares[there]
+        share[np.cumsum(count) - 1] = 2.0
+        size = np.broadcast_to(np.arange(width, 0, -1, dtype=np.int32), there.shape)[there]
+        return count, share, size, piece[:, :, ::-1][there]
 
     def add(self, keys: np.ndarray, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
         """Filter new units, given by their hashes and places in ``chars``."""
@@ -161,8 +166,7 @@ class Lattices:
             own = np.flatnonzero(lengths == n)
             step = max(1, FILTERED // int(n))
             for group in (own[i:i + step] for i in range(0, len(own), step)):
-                node, share, size, piece = self._filtered(chars[starts[group][:, None] + np.arange(n)])
-                edges.append((node + self.nodes + share, size, piece))
+                edges.append(self._filtered(chars[starts[group][:, None] + np.arange(n)]))
                 slots.append(group)
                 firsts.append(self.nodes + np.arange(len(group)) * n)
                 self.nodes += len(group) * int(n)
@@ -174,9 +178,11 @@ class Lattices:
         all_keys, all_slots = np.concatenate([self.keys, keys]), np.concatenate([self.slot, new_slot])
         rank = np.argsort(all_keys, kind="stable")
         self.keys, self.slot = all_keys[rank], all_slots[rank]
-        self.edge_key = np.concatenate([self.edge_key, *[e[0] for e in edges]])
-        self.edge_len = np.concatenate([self.edge_len, *[e[1] for e in edges]])
-        self.edge_piece = np.concatenate([self.edge_piece, *[e[2] for e in edges]])
+        counts = np.concatenate([e[0] for e in edges])
+        self.edge0 = np.concatenate([self.edge0, len(self.edge_share) + np.cumsum(counts) - counts])
+        self.edge_share = np.concatenate([self.edge_share, *[e[1] for e in edges]])
+        self.edge_len = np.concatenate([self.edge_len, *[e[2] for e in edges]])
+        self.edge_piece = np.concatenate([self.edge_piece, *[e[3] for e in edges]])
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of every hash, -1 where it is not known."""
@@ -202,7 +208,7 @@ class Lattices:
         sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_char_codes(chars) * up[:n], dtype=np.uint64)]
         keys = mix((sums[ends] - sums[starts]) * down[starts] + lengths.astype(np.uint64))
         distinct, sample, which = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.edge_key) > KEPT_EDGES:
+        if len(self.edge_share) > KEPT_EDGES:
             self.clear()
         new = self.find(distinct) < 0
         if new.any():
@@ -216,9 +222,11 @@ class Lattices:
         while len(active):
             draw = (mix(seed[active] + left[active].astype(np.uint64)) >> np.uint64(11)) * 2.0 ** -53
             node = node0[active] + left[active] - 1
-            edge = np.searchsorted(self.edge_key, node + draw, "right")
-            # Rounding of a share near 1 must not lead into the next node.
-            edge = np.minimum(edge, np.searchsorted(self.edge_key, node + 1.0, "right") - 1)
+            edge = self.edge0[node]
+            passed = np.flatnonzero(draw >= self.edge_share[edge])
+            while len(passed):
+                edge[passed] += 1
+                passed = passed[draw[passed] >= self.edge_share[edge[passed]]]
             chosen[starts[active] + left[active] - 1] = self.edge_piece[edge]
             left[active] -= self.edge_len[edge]
             active = active[left[active] > 0]
