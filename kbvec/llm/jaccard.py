@@ -119,18 +119,25 @@ def _prefixes(common):
                 row, value, pos = row[keep], value[keep], pos[keep]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((value >> np.uint64(16)).view(np.int64)), pa.array(ids[at + row]),
-                     pa.array(size[row].astype(np.int32)), pa.array(pos.astype(np.int32))],
-                    names=["token", "doc_id", "n", "pos"])
+                     pa.array(pos.astype(np.int32))], names=["token", "doc_id", "pos"])
     return run
 
 
-def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (x, y, tx, ty) of a task that link, by the sets of both texts."""
     for batch in batches:
-        for at, data, offsets in text_pieces(batch):
+        for at, data, offsets in text_pieces(batch, "tx"):
+            part = batch.slice(at, len(offsets) - 1)
             row, value = _sets(data, offsets)
-            ends = np.cumsum(np.bincount(row, minlength=len(offsets) - 1))
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(value.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ends)), lists], names=["id", "hashes"])
+            [(_, other, other_offsets)] = text_pieces(part, "ty", 1 << 62)
+            row_y, value_y = _sets(other, other_offsets)
+            total = np.bincount(np.r_[row, row_y], minlength=len(part))
+            rows, values = np.r_[row, row_y], np.r_[value, value_y]
+            order = np.lexsort((values, rows))
+            rows, values = rows[order], values[order]
+            same = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
+            shared = np.bincount(rows[1:][same], minlength=len(part))
+            yield part.select(["x", "y"]).filter(pa.array((7 * shared >= 3 * total) & (total > 0)))
 
 
 def _needed(nx, ny) -> Column:
@@ -138,17 +145,22 @@ def _needed(nx, ny) -> Column:
     return F.ceil((nx + ny) * 3 / 7 - 1e-9)
 
 
+def _hinted(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if is_small(df, 1_000_000) else df
+
+
 def _compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (x, y) that link, by their full sets."""
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    ids = F.broadcast(ids) if is_small(ids, 1_000_000) else ids
-    # Rows with one id have one text: a second row adds nothing.
-    sets = materialize(texts.join(ids, "doc_id", "left_semi").mapInArrow(_whole_sets, "id long, hashes array<bigint>")
-                       .dropDuplicates(["id"]), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("x"), F.col("hashes").alias("hx")), "x") \
-        .join(sets.select(F.col("id").alias("y"), F.col("hashes").alias("hy")), "y")
-    shared = F.size(F.array_intersect("hx", "hy"))
-    return both.filter(7 * shared >= 3 * (F.size("hx") + F.size("hy"))).select("x", "y")
+    """The pairs (x, y) that link, by the full sets of their texts.
+
+    A text of ``x`` is shuffled once, to the text of its ``y``; a ``y`` with very many partners is one row, whose
+    partners' side of the join can be split.
+    """
+    ys = _hinted(pairs.select(F.col("y").alias("doc_id")).distinct())
+    right = materialize(texts.join(ys, "doc_id").groupBy(F.col("doc_id").alias("y")).agg(
+        F.any_value("text").alias("ty")), "leaders")
+    left = texts.join(_hinted(pairs.select(F.col("x").alias("doc_id"), "y")), "doc_id")
+    both = left.select(F.col("doc_id").alias("x"), "y", F.col("text").alias("tx")).join(right, "y")
+    return both.select("x", "y", "tx", "ty").mapInArrow(_linked, "x long, y long")
 
 
 class _Links:
@@ -229,9 +241,9 @@ def join(docs: DataFrame) -> DataFrame:
     classes = each.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
     members = materialize(each.join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", "rep"), "members")
 
-    entries = texts.mapInArrow(_prefixes(common), "token long, doc_id long, n int, pos int")
+    entries = texts.mapInArrow(_prefixes(common), "token long, doc_id long, pos int")
     shared = entries.withColumn("c", F.count("*").over(Window.partitionBy("token"))).filter("c > 1").drop("c")
-    reps = members.filter("doc_id is not null and n > 0").select("doc_id", "rep").distinct()
+    reps = members.filter("doc_id is not null and n > 0").select("doc_id", "rep", F.col("n").cast("int")).distinct()
     lists = materialize(shared.join(reps, "doc_id").select("token", "rep", "n", "pos").distinct(), "lists")
 
     links = _Links(lists)

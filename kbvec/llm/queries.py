@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbvec.llm import chat, jaccard, pieces, sharding, tokencounts
+from kbvec.llm import chat, jaccard, pieces, secrets, sharding, tokencounts
 from kbvec.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op5(spark, sf_dir):
 @register("op10_sentencepiece")
 def op10(spark, sf_dir):
     return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op6_secret_scans")
+def op6(spark, sf_dir):
+    return secrets.digest(table(spark, sf_dir, "documents"))

@@ -52,7 +52,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(max(PIECE_BYTES, 1 << int(n - 1).bit_length() if n > 1 else 1))
 
 
-def text_pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_pieces(batch: pa.RecordBatch, text: str = "text",
+                size: int = PIECE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """first row, bytes and row offsets of consecutive pieces of a batch; nulls are empty texts."""
     col = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
     if col.null_count:
@@ -61,7 +62,7 @@ def text_pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int
     data = np.frombuffer(col.buffers()[2], np.uint8) if col.buffers()[2] else np.zeros(0, np.uint8)
     at = 0
     while at < len(col):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield at, data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
         at = to
 
