@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbvec.llm import chat, jaccard, pieces, secrets, sharding, tokencounts
+from kbvec.llm import chat, jaccard, neighbours, pieces, secrets, sharding, tokencounts
 from kbvec.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op10(spark, sf_dir):
 @register("op6_secret_scans")
 def op6(spark, sf_dir):
     return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op9_nearest_neighbours")
+def op9(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
