@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbvec.llm import chat, jaccard, neighbours, pieces, secrets, sharding, tokencounts
+from kbvec.llm import chat, contamination, jaccard, neighbours, pieces, quality, secrets, sharding, tokencounts
 from kbvec.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,14 @@ def op6(spark, sf_dir):
 def op9(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@register("op8_quality_classifier")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op2_decontamination")
+def op2(spark, sf_dir):
+    return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
