@@ -33,7 +33,7 @@ from kbvec.llm.textarrays import ASCII_SPACE, codes, mix, running, spans, stretc
 from kbvec.session import is_small
 
 FIT_ROWS = 12_000
-LEAST_TEXTS, LEAST_Z = 8, 5.0
+LEAST_TEXTS, LEAST_Z = 4, 4.5
 #: Probability of the top grade from which a text is kept.
 EVEN = 0.5
 STEPS = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.4, 0.6, 0.8])
