@@ -45,6 +45,9 @@ WORDS = 5
 COMMON_ROWS = 1 << 18
 #: A shingle counts as common when so many texts of one Arrow batch hold it.
 COMMON_IN_BATCH = 3
+#: A set is compared with the leader of its lists when they share this part of its size at least there; whom that
+#: leaves out, the last step compares.
+LEADER_SHARE = 0.04
 _CODES = codes(11)
 
 
@@ -193,7 +196,8 @@ def _leaders(entries: DataFrame, shift: float) -> DataFrame:
                                            F.min("comp").alias("low"), F.max("comp").alias("high"))
     lead = lead.filter("low <> high").select("token", "k", "lead")
     met = keyed.join(lead, ["token", "k"]).filter("comp <> lead.comp").groupBy(
-        F.col("rep").alias("x"), F.col("lead.rep").alias("y")).agg(F.count("*").alias("c"))
+        F.col("rep").alias("x"), F.col("lead.rep").alias("y")).agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    met = met.filter(F.col("c") >= F.col("n") * LEADER_SHARE)
     return met.groupBy("x").agg(F.max(F.struct("c", (-F.col("y")).alias("o"), "y")).alias("best")).select("x", "best.y")
 
 
@@ -238,8 +242,11 @@ def join(docs: DataFrame) -> DataFrame:
     order = np.argsort(known)
     common = spark.sparkContext.broadcast((known[order], level[order]))
 
-    classes = each.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    members = materialize(each.join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", "rep"), "members")
+    # Only sets that several documents have need a class; counts are summed inside the tasks first.
+    classes = materialize(each.filter("n > 0").groupBy("d1", "d2", "n").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("c")).filter("c > 1").drop("c"), "classes")
+    members = materialize(each.join(_hinted(classes), ["d1", "d2", "n"], "left").select(
+        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).alias("rep")), "members")
 
     entries = texts.mapInArrow(_prefixes(common), "token long, doc_id long, pos int")
     shared = entries.withColumn("c", F.count("*").over(Window.partitionBy("token"))).filter("c > 1").drop("c")

@@ -58,7 +58,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     upper = ((data >= 65) & (data <= 90)) | (after_c3 & (data >= 0x80) & (data <= 0x9E))
     lower = ((data >= 97) & (data <= 122)) | (after_c3 & (data >= 0x9F) & (data <= 0xBF))
     kept = _LETTER[data]
-    total = {name: np.r_[0, np.cumsum(flag)] for name, flag in
+    total = {name: np.r_[np.zeros(1, np.int32), np.cumsum(flag, dtype=np.int32)] for name, flag in
              (("upper", upper), ("lower", lower), ("symbol", _SYMBOL[data]), ("kept", kept))}
     count = {name: t[ends] - t[starts] for name, t in total.items()}
     # The words without their punctuation, hashed over the bytes that are left.

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are expanded into arrays at a time; a longer text is one piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
