@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kbvec.llm.textarrays import ASCII_SPACE, codes, mix, running, spans, stretch, text_pieces
-from kbvec.session import is_small
+from kbvec.llm.textarrays import ASCII_SPACE, codes, running, spans, stretch, text_pieces
+from kbvec.session import broadcast_if_small, is_small, materialize
 
 FIT_ROWS = 12_000
 LEAST_TEXTS, LEAST_Z = 4, 4.5
@@ -171,23 +171,33 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, top: int = 2
     part = min(1.0, rows / total)
     sample = rated.filter(F.pmod(F.xxhash64("doc_id", F.lit(41)), F.lit(1 << 20)) < F.lit(int(part * (1 << 20)) + 1))
     sample = F.broadcast(sample) if is_small(sample, 4 * FIT_ROWS) else sample
-    found = docs.select("doc_id", "text").join(sample, "doc_id").mapInArrow(
-        _described, "doc_id long, grade int, features array<bigint>").toArrow()
-    found = found.sort_by("doc_id")
-    lists = found["features"].combine_chunks()
-    bounds = np.asarray(lists.offsets, np.int64)
-    value = np.asarray(lists.values, np.int64).view(np.uint64)
-    grade = found["grade"].to_numpy().astype(np.int64)
+    described = materialize(docs.select("doc_id", "text").join(sample, "doc_id").mapInArrow(
+        _described, "doc_id long, grade int, features array<bigint>"), "described")
     # Equal texts are listed once.
-    digest = np.r_[np.zeros(1, np.uint64), np.cumsum(mix(value), dtype=np.uint64)]
-    _, once = np.unique(np.stack([digest[bounds[1:]] - digest[bounds[:-1]], grade.astype(np.uint64)], 1), axis=0,
-                        return_index=True)
-    chosen = np.zeros(len(grade), bool)
-    chosen[once] = True
-    row = np.repeat(np.arange(len(grade)), np.diff(bounds))
-    value = value[bounds[0]:bounds[-1]]
-    keep = chosen[row]
-    return fit((np.cumsum(chosen) - 1)[row[keep]], value[keep], grade[chosen], top)
+    texts = materialize(described.groupBy(F.xxhash64("features").alias("a"), F.xxhash64(F.lit(1), "features").alias("b"), "grade").agg(
+        F.min("doc_id").alias("doc_id"), F.any_value("features").alias("features")).select("doc_id", "grade", "features"), "texts")
+    each = texts.select("doc_id", "grade", F.explode("features").alias("feature"))
+    held = {r["grade"]: r["count"] for r in texts.groupBy("grade").count().collect()}
+    # Only what ``fit`` gives a weight reaches the driver.
+    chosen = broadcast_if_small(materialize(_telling(each, held, top), "features"))
+    pairs = each.join(chosen, "feature").select("doc_id", "feature").orderBy("doc_id", "feature").toArrow()
+    rated = texts.select("doc_id", "grade").orderBy("doc_id", "grade").toArrow()
+    ids = rated["doc_id"].to_numpy()
+    return fit(np.searchsorted(ids, pairs["doc_id"].to_numpy()), pairs["feature"].to_numpy().view(np.uint64),
+               rated["grade"].to_numpy().astype(np.int64), top)
+
+
+def _telling(each: DataFrame, held: dict[int, int], top: int) -> DataFrame:
+    """The features that ``fit`` gives a weight, by how many texts of each grade hold them."""
+    total, z = sum(held.values()), [F.lit(0.0)]
+    count = F.count("*")
+    for k in range(1, top + 1):
+        share = sum(n for g, n in held.items() if g >= k) / total
+        if 0 < share < 1:
+            got = F.sum((F.col("grade") >= k).cast("long"))
+            z.append((count * share - got) / F.sqrt(count * share * (1 - share)))
+    counted = each.groupBy("feature").agg(count.alias("n"), F.greatest(*z, F.lit(0.0)).alias("z"))
+    return counted.filter((F.col("n") >= LEAST_TEXTS) & (F.col("z") >= LEAST_Z)).select("feature")
 
 
 def _scored(model):
