@@ -22,12 +22,21 @@ def as_matrix(column) -> np.ndarray:
         width = np.int32 if pa.types.is_binary(column.type) else np.int64
         _, offsets, data = column.buffers()
         ends = np.frombuffer(offsets, dtype=width)[column.offset:column.offset + len(column) + 1]
+        _one_width(np.diff(ends) // 4)
         flat = np.frombuffer(data, dtype="<f4", offset=int(ends[0]), count=int(ends[-1] - ends[0]) // 4)
         return flat.astype(np.float64).reshape(len(column), -1)
+    if column.null_count:
+        raise ValueError("embeddings must not be null here")
+    _one_width(np.asarray(pc.list_value_length(column)))
     flat = np.asarray(column.flatten(), dtype=np.float64)
     return flat.reshape(len(column), -1)
 
 
+def _one_width(widths: np.ndarray) -> None:
+    if (widths != widths[0]).any():
+        raise ValueError(f"embeddings of {widths.min()} to {widths.max()} components in one table")
+
+
 def rows_matrix(values) -> np.ndarray:
     """Collected embeddings, as lists or as packed bytes, as a float64 matrix."""
     return np.array([np.frombuffer(bytes(v), dtype="<f4") if isinstance(v, (bytes, bytearray)) else v
@@ -68,21 +77,32 @@ def block_scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarr
 
 
 class RunningTop:
-    """Best ``k`` ids per query over a sequence of blocks; ties go to the smaller id."""
+    """Best ``k`` ids per query over a sequence of blocks; ties go to the smaller id.
+
+    With ``sources`` in every block, the best ``k`` of different sources: of a source only its best row stays.
+    """
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
         self.floor = np.full(n_queries, -np.inf)
         self.table = pa.table({"q": pa.array([], pa.int32()), "t": pa.array([], pa.float64()),
-                               "v": pa.array([], pa.string()), "s": pa.array([], pa.float64())})
+                               "v": pa.array([], pa.string()), "s": pa.array([], pa.float64()),
+                               "u": pa.array([], pa.string())})
 
-    def add(self, scores: np.ndarray, ids: pa.Array, queries: np.ndarray | None = None) -> None:
+    def add(self, scores: np.ndarray, ids: pa.Array, queries: np.ndarray | None = None,
+            sources: pa.Array | None = None) -> None:
         """Offer a block; ``queries`` maps its columns to query numbers (default: all, in order)."""
         n = scores.shape[0]
         if n == 0 or scores.shape[1] == 0:
             return
         cols = np.arange(scores.shape[1]) if queries is None else queries
         s = np.where(np.isnan(scores), -np.inf, scores).T
+        if sources is not None:
+            code = np.asarray(sources.dictionary_encode().indices)
+            order = np.argsort(code, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0])
+            best = np.round(np.maximum.reduceat(s[:, order], first, axis=1), TIE_DIGITS)
+            s = np.where(np.round(s, TIE_DIGITS) >= best[:, code], s, -np.inf)
         least = self.floor[cols]
         mask = s >= (least - 10.0 ** -TIE_DIGITS)[:, None]
         # Later blocks offer few rows above the floor; only where many pass is the block itself ranked.
@@ -96,11 +116,15 @@ class RunningTop:
         qi, ri, tie = qi[ok], ri[ok], tie[ok]
         if not len(qi):
             return
-        fresh = pa.table({"q": pa.array(cols[qi].astype(np.int32)), "t": pa.array(tie),
-                          "v": ids.take(pa.array(ri)), "s": pa.array(s[qi, ri])})
+        names = ids.take(pa.array(ri))
+        fresh = pa.table({"q": pa.array(cols[qi].astype(np.int32)), "t": pa.array(tie), "v": names,
+                          "s": pa.array(s[qi, ri]), "u": names if sources is None else sources.take(pa.array(ri))})
         both = pa.concat_tables([self.table, fresh])
         both = both.take(pc.sort_indices(
             both, sort_keys=[("q", "ascending"), ("t", "descending"), ("v", "ascending")]))
+        if sources is not None:
+            seen = both.select(["q", "u"]).to_pandas().duplicated().to_numpy()
+            both = both.filter(pa.array(~seen))
         q = both["q"].to_numpy()
         starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
         sizes = np.diff(np.r_[starts, len(q)])

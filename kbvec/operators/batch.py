@@ -3,12 +3,14 @@
 A query frame holds ``query_id, bot_id, embedding``. Up to ``BLOCK`` queries travel to every task and
 the table is scanned once; the task multiplies blocks and keeps only ``k`` rows per query, so no
 (query, row) pair is ever shuffled that cannot be part of the answer. Larger query sets go through
-``knn_join``, which is exact too.
+``knn_join``, which compares chunks of both sides and is exact too.
 """
 
 from __future__ import annotations
 
-import math
+import json
+from collections.abc import Mapping
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +18,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kbvec.functions.topk import (ROWS_PER_BLOCK, TIE_DIGITS, RunningTop, as_bytes, as_lists,
-                                  as_matrix, block_scores, rows_matrix, strings,
-                                  unit_rows)
+from kbvec.functions.topk import (ROWS_PER_BLOCK, TIE_DIGITS, RunningTop, as_bytes, as_matrix, block_scores,
+                                  rows_matrix, strings, unit_rows)
 from kbvec.functions.vectors import readable
+from kbvec.operators.filters import compile_filter
+from kbvec.operators.search import MATCH_COLUMNS
 from kbvec.schema import DEFAULT_TENANT
-from kbvec.session import broadcast_if_small, materialize, scratch_path
+from kbvec.session import broadcast_if_small, materialize
 
 BLOCK = 2048
-RESULT = "query_id string, vector_id string, score double"
+RESULT = "query_id string, vector_id string, score double, source string"
+FOUND = ["query_id", "vector_id", "score", "source"]
 
 
 def best_per_query(partial: DataFrame, k: int) -> DataFrame:
@@ -57,7 +61,27 @@ def pack(vectors: DataFrame) -> DataFrame:
     return readable(rows, "ip").mapInArrow(convert, schema)
 
 
-def _scan_block(vectors: DataFrame, queries: list, k: int, metric: str) -> DataFrame:
+def source_key():
+    """Of a URL only the best row counts; a row without one stands for itself."""
+    return F.when(F.coalesce("source_url", F.lit("")) != "", F.concat(F.lit("url "), F.col("source_url"))).otherwise(
+        F.concat(F.lit("id "), F.col("vector_id")))
+
+
+def _candidates(vectors: DataFrame, metric: str, spec: Mapping[str, Any] | None, dedup: bool) -> DataFrame:
+    """vector_id, bot_id, embedding and source of the rows that pass the filter."""
+    predicate, _ = compile_filter(spec)
+    rows = vectors if predicate is None else vectors.filter(predicate)
+    source = source_key() if dedup else F.lit(None).cast("string")
+    return readable(rows.filter(F.col("embedding").isNotNull() & F.col("bot_id").isNotNull()), metric).select(
+        "vector_id", "bot_id", "embedding", source.alias("source"))
+
+
+def _found(top: RunningTop, ids: list[str]) -> list[pa.Array]:
+    t = top.table
+    return [pa.array([ids[i] for i in t["q"].to_pylist()], pa.string()), *[t[c].combine_chunks() for c in "vsu"]]
+
+
+def _scan_block(rows: DataFrame, queries: list, k: int, metric: str, dedup: bool) -> DataFrame:
     ids = [str(r["query_id"]) for r in queries]
     tenants = np.array([r["bot_id"] for r in queries], dtype=object)
     matrix = _prepared(rows_matrix(r["embedding"] for r in queries), metric)
@@ -68,22 +92,18 @@ def _scan_block(vectors: DataFrame, queries: list, k: int, metric: str) -> DataF
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_PER_BLOCK):
                 part = batch.slice(start, ROWS_PER_BLOCK)
-                owner = np.array(part.column("bot_id").to_pylist(), dtype=object)
-                rows = _prepared(as_matrix(part.column("embedding")), metric)
-                names = strings(part.column("vector_id"))
-                for tenant in set(owner) & set(groups):
-                    at, cols = np.flatnonzero(owner == tenant), groups[tenant]
-                    top.add(block_scores(rows[at], matrix[cols], metric),
-                            names.take(pa.array(at)), cols)
-        t = top.table
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([ids[i] for i in t["q"].to_pylist()], pa.string()),
-             t["v"].combine_chunks(), t["s"].combine_chunks()],
-            names=["query_id", "vector_id", "score"])
-
-    rows = (readable(vectors, metric).select("vector_id", "bot_id", "embedding")
-            .filter(F.col("bot_id").isin(*groups) & F.col("embedding").isNotNull()))
-    return rows.mapInArrow(local_top, RESULT)
+                owner = strings(part.column("bot_id")).dictionary_encode()
+                code = np.asarray(owner.indices)
+                data = _prepared(as_matrix(part.column("embedding")), metric)
+                names, sources = strings(part.column("vector_id")), strings(part.column("source"))
+                for i, tenant in enumerate(owner.dictionary.to_pylist()):
+                    if tenant in groups:
+                        at, cols = np.flatnonzero(code == i), groups[tenant]
+                        top.add(block_scores(data[at], matrix[cols], metric), names.take(pa.array(at)), cols,
+                                sources.take(pa.array(at)) if dedup else None)
+        yield pa.RecordBatch.from_arrays(_found(top, ids), names=FOUND)
+
+    return rows.filter(F.col("bot_id").isin(*groups)).mapInArrow(local_top, RESULT)
 
 
 def _asked(queries: DataFrame) -> DataFrame:
@@ -93,201 +113,96 @@ def _asked(queries: DataFrame) -> DataFrame:
 
 
 def search_batch(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
-                 block: int = BLOCK) -> DataFrame:
-    """``query_id, vector_id, score, rank``: top ``k`` of the query's own tenant, exact."""
+                 spec: Mapping[str, Any] | None = None, dedup: bool = False, block: int = BLOCK) -> DataFrame:
+    """``query_id, vector_id, score, rank``: top ``k`` of the query's own tenant, exact.
+
+    ``spec`` is a filter document for all queries, ``dedup`` keeps the best row of every source URL. Up to ``block``
+    queries travel to every task; larger sets go through ``knn_join``.
+    """
     queries = _asked(queries)
     head = queries.limit(block + 1).collect()
     if not head:
-        return vectors.sparkSession.createDataFrame([], RESULT + ", rank int")
+        return vectors.sparkSession.createDataFrame([], RESULT + ", rank int").drop("source")
     if len(head) <= block:
-        return best_per_query(_scan_block(vectors, head, k, metric), k)
-    if metric == "ip":
-        return best_per_query(_scan_in_blocks(vectors, queries, k, metric, block), k)
-    return knn_join(vectors, queries, k, metric)
+        rows = _candidates(vectors, metric, spec, dedup)
+        return _merged(_scan_block(rows, head, k, metric, dedup), k, dedup)
+    return knn_join(vectors, queries, k, metric, spec, dedup)
+
 
+def _merged(partial: DataFrame, k: int, dedup: bool) -> DataFrame:
+    if dedup:
+        w = Window.partitionBy("query_id", "source").orderBy(F.round("score", TIE_DIGITS).desc_nulls_last(), "vector_id")
+        partial = partial.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
+    return best_per_query(partial.drop("source"), k)
 
-def _scan_in_blocks(vectors, queries, k, metric, block) -> DataFrame:
-    """One scan per block of queries, each result written before the next block is fetched."""
-    spark = vectors.sparkSession
-    n_blocks = math.ceil(queries.count() / (block // 2))
-    path = scratch_path(spark, "scan")
-    for b in range(n_blocks):
-        part = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
-        if part:
-            best_per_query(_scan_block(vectors, part, k, metric), k).drop("rank").write.mode(
-                "append").parquet(path)
-    return spark.read.schema(RESULT).parquet(path)
+
+def with_matches(found: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Search results with the columns of the rows found, ready for ``to_matches``."""
+    carried = [c for c in MATCH_COLUMNS if c in vectors.columns]
+    return vectors.select("vector_id", *carried).join(broadcast_if_small(materialize(found, "found")), "vector_id")
 
 
 # --- exact join for query sets of any size -----------------------------------------------------
 
-MAX_CELLS = 4096
-CELL_ROWS = 8192
-CELL_SCHEMA = "vector_id string, bot_id string, embedding array<double>, cell int, dist double"
-
-
-def _pivots(vectors: DataFrame, sizes: dict[str, int], cell_rows: int, metric: str) -> dict:
-    """Per large tenant, a spread of its own rows: one from each of as many id-hash bins as it has cells."""
-    if not sizes:
-        return {}
-    bins = F.create_map(*[x for t, n in sizes.items()
-                          for x in (F.lit(t), F.lit(math.ceil(n / cell_rows)))])
-    rows = (vectors.filter(F.col("bot_id").isin(*sizes))
-            .withColumn("_bin", F.pmod(F.xxhash64("vector_id"), F.element_at(bins, F.col("bot_id"))))
-            .groupBy("bot_id", "_bin").agg(F.min_by("embedding", "vector_id").alias("embedding"))
-            .collect())
-    out = {}
-    for tenant in sizes:
-        m = _prepared(rows_matrix(r["embedding"] for r in rows if r["bot_id"] == tenant), metric)
-        m = np.unique(m[~np.isnan(m).any(axis=1)], axis=0)
-        if len(m):
-            out[tenant] = m
-    return out
-
-
-def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return -block_scores(rows, pivots, "l2sq")
-
-
-def _tasks(batches, id_col: str, metric: str):
-    """Row blocks as ids, tenants and a prepared matrix, without rows that have no direction."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_PER_BLOCK):
-            part = batch.slice(start, ROWS_PER_BLOCK)
-            rows = _prepared(as_matrix(part.column("embedding")), metric)
-            ok = np.flatnonzero(~np.isnan(rows).any(axis=1))
-            owner = strings(part.column("bot_id")).take(pa.array(ok))
-            yield (strings(part.column(id_col)).take(pa.array(ok)), owner,
-                   np.array(owner.to_pylist(), dtype=object), rows[ok])
-
-
-def _with_cells(vectors: DataFrame, pivots: dict, metric: str) -> DataFrame:
-    """Each row with its nearest pivot and the distance to it; tenants without pivots are one cell."""
-    def assign(batches):
-        for ids, tenants, owner, rows in _tasks(batches, "vector_id", metric):
-            cell, dist = np.zeros(len(owner), np.int32), np.zeros(len(owner))
-            for tenant in set(owner) & set(pivots):
-                at = np.flatnonzero(owner == tenant)
-                d = _distances(rows[at], pivots[tenant])
-                cell[at], dist[at] = d.argmin(axis=1), d.min(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [ids, tenants, as_lists(rows), pa.array(cell), pa.array(dist)],
-                names=["vector_id", "bot_id", "embedding", "cell", "dist"])
-
-    return vectors.mapInArrow(assign, CELL_SCHEMA)
-
-
-def _cell_bounds(cells: DataFrame, pivots: dict, k: int) -> dict:
-    """Per large tenant: every cell's row count, radius range and ``k`` smallest distances."""
-    own = cells.filter(F.col("bot_id").isin(*pivots)).select("bot_id", "cell", "dist", "vector_id")
-    w = Window.partitionBy("bot_id", "cell").orderBy("dist", "vector_id")
-    near = (own.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k)
-            .groupBy("bot_id", "cell").agg(F.collect_list("dist").alias("near")))
-    span = own.groupBy("bot_id", "cell").agg(
-        F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi"))
-    out = {t: {"n": np.zeros(len(p), np.int64), "lo": np.full(len(p), np.inf),
-               "hi": np.full(len(p), -np.inf), "near": np.full((len(p), k), np.inf)}
-           for t, p in pivots.items()}
-    for r in span.join(near, ["bot_id", "cell"]).collect():
-        b, c = out[r["bot_id"]], r["cell"]
-        b["n"][c], b["lo"][c], b["hi"][c] = r["n"], r["lo"], r["hi"]
-        b["near"][c, :len(r["near"])] = sorted(r["near"])
-    return out
-
-
-def _route(queries: DataFrame, pivots: dict, bounds: dict, k: int, metric: str) -> DataFrame:
-    """One row per query and cell that may hold one of its ``k`` nearest.
-
-    The triangle inequality bounds the k-th distance from above (through the rows nearest to each
-    pivot) and the distance to a cell from below (through its radius range).
-    """
-    slack = 1e-9
-
-    def route(batches):
-        for ids, tenants, owner, rows in _tasks(batches, "query_id", metric):
-            at_all, cell_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-            for tenant in set(owner):
-                at = np.flatnonzero(owner == tenant)
-                if tenant not in pivots:
-                    at_all.append(at)
-                    cell_all.append(np.zeros(len(at), np.int32))
-                    continue
-                b = bounds[tenant]
-                step = max(1, 4_000_000 // b["near"].size)
-                for a in (at[i:i + step] for i in range(0, len(at), step)):
-                    d = _distances(rows[a], pivots[tenant])
-                    reach = (d[:, :, None] + b["near"][None, :, :]).reshape(len(a), -1)
-                    limit = np.partition(reach, k - 1, axis=1)[:, k - 1]
-                    least = np.maximum(np.maximum(d - b["hi"], b["lo"] - d), 0.0)
-                    r, c = np.nonzero((least <= limit[:, None] + slack) & (b["n"] > 0))
-                    at_all.append(a[r])
-                    cell_all.append(c.astype(np.int32))
-            at, cell = np.concatenate(at_all), np.concatenate(cell_all)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(at)), tenants.take(pa.array(at)), as_lists(rows[at]),
-                 pa.array(cell)], names=["query_id", "bot_id", "embedding", "cell"])
+#: Bytes of vectors of one side that a task holds, on average at most; queries it compares at a time.
+CHUNK_BYTES = 64 * 1024 * 1024
+QUERIES_AT_ONCE = 512
+
 
-    return queries.mapInArrow(
-        route, "query_id string, bot_id string, embedding array<double>, cell int")
+def _compact(df: DataFrame) -> DataFrame:
+    """``df`` with float embeddings packed; doubles stay as they are."""
+    kind = df.schema["embedding"].dataType
+    return pack(df) if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else df
+
+
+def _chunks(df: DataFrame, chunk_bytes: int, name: str) -> DataFrame:
+    """Per tenant, into how many chunks of at most about ``chunk_bytes`` its vectors go."""
+    packed = isinstance(df.schema["embedding"].dataType, T.BinaryType)
+    width = F.octet_length("embedding") if packed else F.size("embedding") * 8
+    return df.groupBy("bot_id").agg(F.ceil(F.sum(width.cast("long")) / chunk_bytes).cast("int").alias(name))
 
 
 def knn_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
-             cell_rows: int = CELL_ROWS, max_cells: int = MAX_CELLS) -> DataFrame:
-    """Exact top ``k`` for query sets that do not fit a broadcast.
+             spec: Mapping[str, Any] | None = None, dedup: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Exact top ``k`` for query sets that do not fit a broadcast, by blocks.
 
-    Rows are divided into cells around pivots, queries visit only cells the distance bounds cannot
-    rule out. A (tenant, cell) group is cut into chunks of rows and chunks of queries by id hash, so
-    a hot tenant or a pile of equal vectors becomes many bounded tasks instead of one.
+    The rows and the queries of a tenant are each cut into chunks of bounded bytes by id hash, packed and written
+    once; a task compares one chunk with one other and ships ``k`` rows per query. A hot tenant or a pile of equal
+    vectors is thus many tasks of bounded size, whatever the table's, and a side is shuffled once for each chunk of
+    the other.
     """
-    if metric not in ("cosine", "l2sq"):
-        raise ValueError("the distance bounds need 'cosine' or 'l2sq'")
-    rows = (readable(vectors, metric).select("vector_id", "bot_id", "embedding")
-            .filter(F.col("embedding").isNotNull() & F.col("bot_id").isNotNull()))
-    queries = _asked(queries)
-    counts = rows.groupBy("bot_id").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    cell_rows = max(cell_rows, math.ceil(total / max_cells))
-    sizes = {r["bot_id"]: r["count"]
-             for r in counts.filter(F.col("count") > cell_rows).collect()}
-    pivots = _pivots(rows, sizes, cell_rows, metric)
-    cells = _with_cells(rows, pivots, metric)
-    bounds = _cell_bounds(cells, pivots, k) if pivots else {}
-    routed = _route(queries, pivots, bounds, k, metric)
-
-    # Cells of large tenants number at most ``max_cells``; every other tenant is a single chunk.
-    group = ["bot_id", "cell"]
-    known = [(t, c, math.ceil(int(n) / cell_rows)) for t, b in bounds.items()
-             for c, n in enumerate(b["n"])]
-    v_chunks = rows.sparkSession.createDataFrame(known, "bot_id string, cell int, v_chunks int")
-    plan = broadcast_if_small(
-        routed.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(cell_rows)).cast("int").alias("q_chunks"))
-        .join(F.broadcast(v_chunks), group, "left").na.fill({"v_chunks": 1}))
+    rows = materialize(_compact(_candidates(vectors, metric, spec, dedup)), "knn-rows")
+    asked = materialize(_compact(_asked(queries)), "knn-queries")
+    plan = broadcast_if_small(materialize(
+        _chunks(rows, chunk_bytes, "v_chunks").join(_chunks(asked, chunk_bytes, "q_chunks"), "bot_id"), "knn-chunks"))
 
     def keyed(df, id_col, own, other):
         """Own chunk by id hash, one copy per chunk of the other side."""
-        return (df.join(plan, group)
+        return (df.join(plan, "bot_id")
                 .withColumn(own[0], F.pmod(F.xxhash64(id_col), F.col(own)).cast("int"))
                 .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-                .select(id_col, "embedding", *group, "v", "q"))
-
-    left = keyed(cells.drop("dist"), "vector_id", "v_chunks", "q_chunks")
-    right = keyed(routed, "query_id", "q_chunks", "v_chunks")
+                .drop("v_chunks", "q_chunks"))
 
     def local_top(_, v: pa.Table, q: pa.Table) -> pa.Table:
-        names = q["query_id"].to_pylist()
-        top, matrix = RunningTop(len(names), k), as_matrix(q["embedding"])
+        names, parts = q["query_id"].to_pylist(), []
         if len(names) and v.num_rows:
-            data, ids = as_matrix(v["embedding"]), strings(v["vector_id"])
-            for start in range(0, len(data), ROWS_PER_BLOCK):
-                stop = start + ROWS_PER_BLOCK
-                top.add(block_scores(data[start:stop], matrix, metric), ids[start:stop])
-        t = top.table
-        return pa.table({"query_id": pa.array([names[i] for i in t["q"].to_pylist()], pa.string()),
-                         "vector_id": t["v"], "score": t["s"]})
-
-    keys = [*group, "v", "q"]
-    partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(local_top, RESULT)
-    return best_per_query(partial, k)
+            data, ids = _prepared(as_matrix(v["embedding"]), metric), strings(v["vector_id"])
+            sources = strings(v["source"])
+            matrix = _prepared(as_matrix(q["embedding"]), metric)
+            for at in range(0, len(names), QUERIES_AT_ONCE):
+                top = RunningTop(len(names[at:at + QUERIES_AT_ONCE]), k)
+                for start in range(0, len(data), ROWS_PER_BLOCK):
+                    stop = start + ROWS_PER_BLOCK
+                    top.add(block_scores(data[start:stop], matrix[at:at + QUERIES_AT_ONCE], metric), ids[start:stop],
+                            None, sources[start:stop] if dedup else None)
+                parts.append(pa.table(_found(top, names[at:at + QUERIES_AT_ONCE]), names=FOUND))
+        empty = pa.table({c: pa.array([], pa.float64() if c == "score" else pa.string()) for c in FOUND})
+        return pa.concat_tables([empty, *parts])
+
+    keys = ["bot_id", "v", "q"]
+    left = keyed(rows, "vector_id", "v_chunks", "q_chunks").groupBy(*keys)
+    right = keyed(asked, "query_id", "q_chunks", "v_chunks").groupBy(*keys)
+    return _merged(left.cogroup(right).applyInArrow(local_top, RESULT), k, dedup)
 
 
 # --- equal queries -----------------------------------------------------------------------------
@@ -300,11 +215,12 @@ def query_key(k: int, spec_json: str = "{}", generation: int = 0):
 
 
 def search_collapsed(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
-                     spec_json: str = "{}", generation: int = 0) -> DataFrame:
+                     spec: Mapping[str, Any] | None = None, dedup: bool = False, generation: int = 0) -> DataFrame:
     """Search each distinct query once and hand the answer to every request that asked it."""
-    keyed = queries.withColumn("key", query_key(k, spec_json, generation))
+    filter_text = json.dumps([spec or {}, dedup, metric], sort_keys=True, default=str)
+    keyed = queries.withColumn("key", query_key(k, filter_text, generation))
     distinct = materialize(keyed.groupBy("key").agg(
         F.any_value("bot_id").alias("bot_id"), F.any_value("embedding").alias("embedding")), "queries")
-    found = search_batch(vectors, distinct.withColumnRenamed("key", "query_id"), k, metric)
+    found = search_batch(vectors, distinct.withColumnRenamed("key", "query_id"), k, metric, spec, dedup)
     answers = broadcast_if_small(materialize(found.withColumnRenamed("query_id", "key"), "answers"))
     return keyed.select("query_id", "key").join(answers, "key")

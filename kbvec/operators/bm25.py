@@ -1,4 +1,4 @@
-"""BM25 over live text: one query as Column expressions, many queries as a block product.
+"""BM25 over live text: one query as Column expressions, many queries over counts written once.
 
 Term weight ``idf * tf (k1+1) / (tf + k1 (1 - b + b dl/avgdl))`` (Robertson and Zaragoza 2009) with
 ``idf = ln(1 + (N - df + 0.5) / (df + 0.5))``. Statistics are taken over the whole table, as one text
@@ -7,10 +7,10 @@ index does, whatever filter the search applies. Texts are tokenised whole.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +20,16 @@ from pyspark.sql import functions as F
 
 from kbvec.functions.text import words
 from kbvec.functions.topk import RunningTop, strings
-from kbvec.operators.batch import RESULT, best_per_query
+from kbvec.operators.batch import best_per_query
+from kbvec.operators.filters import compile_filter
 from kbvec.operators.search import take_top
-from kbvec.session import materialize, scratch_path
+from kbvec.session import broadcast_if_small, materialize, scratch_path
 
 # BM25 parameters.
 K1, B = 1.2, 0.75
-BLOCK = 1024
-TERMS_PER_BLOCK = 20_000
-CELLS_PER_BLOCK = 4_000_000
+#: Queries that one scan answers; documents that a task scores at a time.
+BLOCK, DOCS_PER_BLOCK = 1024, 512
+SCORED = "query_id string, vector_id string, score double"
 
 
 def leg_size(k: int) -> int:
@@ -84,94 +85,116 @@ def bm25_top(corpus: DataFrame, text: str, n: int, rows: DataFrame | None = None
 
 # --- many queries ------------------------------------------------------------------------------
 
-STAGED = "vector_id string, dl int, terms array<int>, tfs array<int>"
+STAGED = "vector_id string, bot_id string, asked boolean, dl int, terms array<long>, tfs array<int>"
 
 
-def _stage(corpus: DataFrame, vocabulary: pa.Array) -> DataFrame:
-    """Length and sparse term counts per document, over a query vocabulary."""
-    size = len(vocabulary)
+def _stage(corpus: DataFrame, spec: Mapping[str, Any] | None) -> DataFrame:
+    """Length and counts of all words (64-bit hashes, in order) per document; whether it passes the filter."""
+    predicate, _ = compile_filter(spec)
 
     def count(batches):
         for batch in batches:
             w = batch.column("w")
             lengths = np.asarray(pc.list_value_length(w), dtype=np.int64)
-            doc = np.repeat(np.arange(len(w)), lengths)
-            found = pc.index_in(w.flatten().cast(pa.string()), value_set=vocabulary)
-            known = np.asarray(pc.is_valid(found))
-            term = np.asarray(pc.fill_null(found, 0), dtype=np.int64)
-            cell, tf = np.unique(doc[known] * size + term[known], return_counts=True)
-            offsets = np.searchsorted(cell, np.arange(len(w) + 1) * size).astype(np.int32)
-
-            def lists(values):
-                return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+            doc, word = np.repeat(np.arange(len(w)), lengths), np.asarray(w.flatten(), dtype=np.int64)
+            order = np.lexsort((word, doc))
+            doc, word = doc[order], word[order]
+            first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])]) if len(doc) else doc
+            tf = np.diff(np.r_[first, len(doc)])
+            offsets = np.searchsorted(doc[first], np.arange(len(w) + 1)).astype(np.int32)
+
+            def lists(values, kind):
+                return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
             yield pa.RecordBatch.from_arrays(
-                [strings(batch.column("vector_id")), pa.array(lengths.astype(np.int32)),
-                 lists(cell % size), lists(tf)], names=["vector_id", "dl", "terms", "tfs"])
+                [*[batch.column(c) for c in ("vector_id", "bot_id", "asked")], pa.array(lengths.astype(np.int32)),
+                 lists(word[first], pa.int64()), lists(tf, pa.int32())],
+                names=["vector_id", "bot_id", "asked", "dl", "terms", "tfs"])
 
-    return corpus.select(F.col("vector_id").cast("string").alias("vector_id"),
-                         words(F.col("content")).alias("w")).mapInArrow(count, STAGED)
+    tenant = F.col("bot_id") if "bot_id" in corpus.columns else F.lit(None)
+    return corpus.select(
+        F.col("vector_id").cast("string").alias("vector_id"), tenant.cast("string").alias("bot_id"),
+        F.coalesce(F.lit(True) if predicate is None else predicate, F.lit(False)).alias("asked"),
+        F.transform(words(F.col("content")), lambda w: F.xxhash64(w)).alias("w")).mapInArrow(count, STAGED)
 
 
-def _score_block(corpus: DataFrame, queries: list, n_top: int) -> DataFrame:
+def _document_counts(staged: DataFrame) -> DataFrame:
+    """In how many documents each word occurs; counted inside the tasks first."""
+    def count(batches):
+        for batch in batches:
+            term, n = np.unique(np.asarray(batch.column(0).flatten(), dtype=np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], names=["term", "df"])
+
+    return staged.select("terms").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+
+
+def _score_block(staged: DataFrame, queries: list, n: int, avgdl: float, n_top: int) -> DataFrame:
+    """Best documents for a block of queries; weights are held per (word, query), not for all pairs of them."""
     ids = [str(r["query_id"]) for r in queries]
-    terms = sorted({t for r in queries for t in r["terms"]})
-    number = {t: i for i, t in enumerate(terms)}
-    # Texts are tokenised once; statistics and scores read the much smaller counts.
-    staged = materialize(_stage(corpus, pa.array(terms, pa.string())), "bm25-counts")
-    total = staged.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
-    df = np.zeros(len(terms))
-    for r in staged.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
-        df[r["t"]] = r["count"]
-    n, avgdl = total["n"], total["avgdl"] or 1.0
+    owner = np.array([r["bot_id"] for r in queries], dtype=object)
+    pairs = np.array([(t["term"], t["df"], j) for j, r in enumerate(queries) for t in r["terms"]], dtype=np.int64)
+    pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 0]))]
+    terms, first, holders = np.unique(pairs[:, 0], return_index=True, return_counts=True)
+    df, query = pairs[first, 1], pairs[:, 2]
     idf = np.log(1.0 + (n - df + 0.5) / (df + 0.5))
-    weights = np.zeros((len(terms), len(ids)))
-    for j, r in enumerate(queries):
-        at = [number[t] for t in r["terms"]]
-        weights[at, j] = idf[at]
-    step = max(1, CELLS_PER_BLOCK // len(terms))
 
     def local_top(batches):
         top = RunningTop(len(ids), n_top)
         for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
+            for start in range(0, batch.num_rows, DOCS_PER_BLOCK):
+                part = batch.slice(start, DOCS_PER_BLOCK)
                 listed = part.column("terms")
                 doc = np.repeat(np.arange(len(part)), np.asarray(pc.list_value_length(listed)))
-                tf = np.asarray(part.column("tfs").flatten(), dtype=np.float64)
+                word = np.asarray(listed.flatten(), dtype=np.int64)
+                at = np.minimum(np.searchsorted(terms, word), len(terms) - 1)
+                known = np.flatnonzero(terms[at] == word)
+                doc, at = doc[known], at[known]
+                tf = np.asarray(part.column("tfs").flatten(), dtype=np.float64)[known]
                 norm = K1 * (1 - B + B * np.asarray(part.column("dl")) / avgdl)
-                dense = np.zeros((len(part), len(terms)))
-                dense[doc, np.asarray(listed.flatten())] = tf * (K1 + 1) / (tf + norm[doc])
-                scores = dense @ weights
-                top.add(np.where(scores > 0, scores, np.nan), strings(part.column("vector_id")))
+                weight = idf[at] * tf * (K1 + 1) / (tf + norm[doc])
+                times = holders[at]
+                asker = query[np.repeat(first[at] - np.cumsum(times) + times, times) + np.arange(times.sum())]
+                scores = np.bincount(np.repeat(doc, times) * len(ids) + asker, weights=np.repeat(weight, times),
+                                     minlength=len(part) * len(ids)).reshape(len(part), len(ids))
+                fits = np.asarray(part.column("asked"))[:, None] & (scores > 0)
+                tenant = np.array(part.column("bot_id").to_pylist(), dtype=object)
+                fits &= (owner == None)[None, :] | (tenant[:, None] == owner[None, :])  # noqa: E711
+                top.add(np.where(fits, scores, np.nan), strings(part.column("vector_id")))
         t = top.table
         yield pa.RecordBatch.from_arrays(
-            [pa.array([ids[i] for i in t["q"].to_pylist()], pa.string()),
-             t["v"].combine_chunks(), t["s"].combine_chunks()],
+            [pa.array([ids[i] for i in t["q"].to_pylist()], pa.string()), t["v"].combine_chunks(), t["s"].combine_chunks()],
             names=["query_id", "vector_id", "score"])
 
-    return best_per_query(staged.mapInArrow(local_top, RESULT), n_top)
+    return best_per_query(staged.mapInArrow(local_top, SCORED), n_top)
 
 
-def bm25_batch(corpus: DataFrame, queries: DataFrame, n_top: int, block: int = BLOCK) -> DataFrame:
+def bm25_batch(corpus: DataFrame, queries: DataFrame, n_top: int, block: int = BLOCK,
+               spec: Mapping[str, Any] | None = None) -> DataFrame:
     """``query_id, vector_id, score, rank`` for ``queries(query_id, query_text)``.
 
-    Documents are counted in place and each task keeps ``n_top`` rows per query. A query set above
-    ``block`` queries or a fixed number of terms is worked off block by block, each result written
-    before the next is fetched.
+    Texts are tokenised and counted once, whole, for all queries; statistics are those of the whole corpus. Queries
+    with a ``bot_id`` are answered from that tenant's rows, all from rows that pass ``spec``. The counts are scanned
+    once for each block of queries, and each task keeps ``n_top`` rows per query.
     """
     spark = corpus.sparkSession
-    asked = queries.select(F.col("query_id").cast("string").alias("query_id"),
-                           F.array_distinct(words(F.col("query_text"))).alias("terms")
-                           ).filter(F.size("terms") > 0)
-    size = asked.agg(F.count("*").alias("n"), F.sum(F.size("terms")).alias("terms")).first()
-    if not size["n"]:
-        return spark.createDataFrame([], RESULT + ", rank int")
-    if size["n"] <= block and size["terms"] <= TERMS_PER_BLOCK:
-        return _score_block(corpus, asked.collect(), n_top)
-    n_blocks = 2 * math.ceil(max(size["n"] / block, size["terms"] / TERMS_PER_BLOCK))
+    tenant = F.col("bot_id") if "bot_id" in queries.columns else F.lit(None)
+    each = queries.select(F.col("query_id").cast("string").alias("query_id"), tenant.cast("string").alias("bot_id"),
+                          F.explode(F.array_distinct(words(F.col("query_text")))).alias("word"))
+    each = materialize(each.select("query_id", "bot_id", F.xxhash64("word").alias("term")), "bm25-queries")
+    staged = materialize(_stage(corpus, spec), "bm25-counts")
+    total = staged.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
+    known = _document_counts(staged).join(broadcast_if_small(each.select("term").distinct()), "term")
+    asked = materialize(each.join(known, "term").groupBy("query_id", "bot_id").agg(
+        F.collect_list(F.struct("term", "df")).alias("terms")), "bm25-asked")
+    n_blocks = -(-asked.count() // block)
     path = scratch_path(spark, "bm25")
     for b in range(n_blocks):
+        # A block of queries is bounded; the hash may put a few more than ``block`` into one.
         part = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
         if part:
-            _score_block(corpus, part, n_top).write.mode("append").parquet(path)
-    return spark.read.schema(RESULT + ", rank int").parquet(path)
+            found = _score_block(staged, part, total["n"], total["avgdl"] or 1.0, n_top)
+            if n_blocks == 1:
+                return found
+            found.write.mode("append").parquet(path)
+    if not n_blocks:
+        return spark.createDataFrame([], SCORED + ", rank int")
+    return spark.read.schema(SCORED + ", rank int").parquet(path)

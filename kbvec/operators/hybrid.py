@@ -8,11 +8,13 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kbvec.operators.bm25 import bm25_top, leg_size
+from kbvec.operators.batch import best_per_query, search_batch
+from kbvec.operators.bm25 import bm25_batch, bm25_top, leg_size
 from kbvec.operators.filters import tenant_rows
 from kbvec.operators.search import Rerank, dedup_sources, overfetch, scored, search, take_top
 from kbvec.operators.textindex import index_top
 from kbvec.schema import DEFAULT_TENANT
+from kbvec.session import broadcast_if_small, materialize
 
 # Fixed value: weight of the vector leg.
 DEFAULT_ALPHA = 0.7
@@ -47,11 +49,11 @@ def hybrid_search(vectors: DataFrame, query: Sequence[float], text: str, k: int
                   tenant: str = DEFAULT_TENANT, spec: Mapping[str, Any] | None = None,
                   alpha: float = DEFAULT_ALPHA, metric: str = "cosine", dim: int | None = None,
                   dedup: bool = False, text_available: bool = True, text_index: str | None = None,
-                  rerank: Rerank | None = None) -> DataFrame:
+                  rerank: Rerank | None = None, version: int | None = None) -> DataFrame:
     """Vector search refined by BM25; plain vector search where there is no text to match.
 
-    The text leg scores live text, or reads the index at ``text_index``, which only touches the
-    postings of the query's words. With ``text_available=False`` (no text leg can be computed) raw
+    The text leg scores live text, or reads the index at ``text_index``, which must be of the table's ``version`` and
+    only touches the postings of the query's words. With ``text_available=False`` (no text leg can be computed) raw
     vector scores come back, deduped as a list when asked for.
     """
     if not text:
@@ -62,7 +64,7 @@ def hybrid_search(vectors: DataFrame, query: Sequence[float], text: str, k: int
     if text_available:
         one = F.lit(0).alias("query_id")
         if text_index:
-            words_leg = index_top(vectors.sparkSession, text_index, text, leg_size(fetch), tenant, spec)
+            words_leg = index_top(vectors.sparkSession, text_index, text, leg_size(fetch), tenant, spec, version)
         else:
             words_leg = bm25_top(vectors.select("vector_id", "content"), text, leg_size(fetch),
                                  own.select("vector_id", "content"))
@@ -71,3 +73,26 @@ def hybrid_search(vectors: DataFrame, query: Sequence[float], text: str, k: int
     if dedup:
         found = dedup_sources(found, k)
     return rerank(found) if rerank else found
+
+
+def hybrid_batch(vectors: DataFrame, queries: DataFrame, k: int = 50, alpha: float = DEFAULT_ALPHA,
+                 metric: str = "cosine", spec: Mapping[str, Any] | None = None, dedup: bool = False) -> DataFrame:
+    """``query_id, vector_id, score, rank`` for ``queries(query_id, bot_id, embedding, query_text)``.
+
+    Both legs are computed for all queries at once; each query is blended and deduped like a single one. Queries
+    without a text are plain vector searches.
+    """
+    fetch = overfetch(k) if dedup else k
+    blank = F.coalesce("query_text", F.lit("")) == ""
+    with_text = queries.filter(~blank)
+    leg = search_batch(vectors, with_text, leg_size(fetch), metric, spec).drop("rank")
+    text = bm25_batch(vectors, with_text, leg_size(fetch), spec=spec).drop("rank")
+    mixed = blend(materialize(leg, "vector-leg"), materialize(text, "text-leg"), alpha)
+    best = best_per_query(mixed, fetch)
+    if dedup:
+        urls = vectors.select("vector_id", "source_url").join(
+            broadcast_if_small(materialize(best.drop("rank"), "blended")), "vector_id")
+        best = best_per_query(dedup_sources(urls, k, by=["query_id"]).drop("source_url"), k)
+    plain = search_batch(vectors, queries.filter(blank), k, metric, spec, dedup)
+    columns = ["query_id", "vector_id", "score", "rank"]
+    return best.select(*columns).unionByName(plain.select(*columns))

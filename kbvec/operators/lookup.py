@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -10,8 +10,8 @@ from kbvec.operators.search import to_matches
 from kbvec.schema import DEFAULT_TENANT
 from kbvec.session import broadcast_if_small
 
-# Page bounds, and bytes per row beside the embedding.
-MIN_PAGE, MAX_PAGE, PAGE = 1, 1000, 100
+# Page size, and bytes per row beside the embedding.
+PAGE = 100
 ROW_OVERHEAD_BYTES = 200
 COMPONENT_BYTES = {"float32": 4, "int8": 1}
 
@@ -20,15 +20,24 @@ def count_by_tenant(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("bot_id").agg(F.count("*").alias("rows"))
 
 
-def list_ids(vectors: DataFrame, tenant: str = DEFAULT_TENANT, limit: int = PAGE, offset: int = 0,
-             prefix: str | None = None) -> DataFrame:
-    """A page of ids, newest first; ``prefix`` is compared literally."""
+def list_ids(vectors: DataFrame, tenant: str = DEFAULT_TENANT, limit: int | None = PAGE, offset: int = 0,
+             prefix: str | None = None, after: tuple | None = None) -> DataFrame:
+    """Ids, newest first; ``prefix`` is compared literally, ``limit=None`` lists all.
+
+    ``after`` is the (created_at, vector_id) of the last row of the page before: the next page then reads no more
+    rows than the first, while ``offset`` ships all rows it skips.
+    """
     rows = vectors.filter(F.col("bot_id") == F.lit(tenant))
     if prefix:
         rows = rows.filter(F.col("vector_id").startswith(F.lit(prefix)))
-    page = max(MIN_PAGE, min(MAX_PAGE, limit))
-    return (rows.select("vector_id", "created_at").orderBy(F.desc("created_at"), "vector_id")
-            .offset(offset).limit(page).select("vector_id"))
+    if after:
+        stamp, last = after
+        rows = rows.filter((F.col("created_at") < F.lit(stamp))
+                           | ((F.col("created_at") == F.lit(stamp)) & (F.col("vector_id") > F.lit(last))))
+    page = rows.select("vector_id", "created_at").orderBy(F.desc("created_at"), "vector_id")
+    if offset:
+        page = page.offset(offset)
+    return (page if limit is None else page.limit(limit)).select("vector_id")
 
 
 def fetch_by_ids(vectors: DataFrame, ids: DataFrame, tenant: str = DEFAULT_TENANT) -> DataFrame:
@@ -43,26 +52,22 @@ def chunks_of_url(vectors: DataFrame, url: str, tenant: str = DEFAULT_TENANT) ->
     return vectors.filter(own & F.col("is_chunked")).orderBy("chunk_index", "vector_id")
 
 
-def reassemble(vectors: DataFrame, separator: str = "\n", part_chunks: int = MAX_PAGE) -> DataFrame:
-    """Text of every chunked URL, joined in chunk order.
+def reassemble(vectors: DataFrame, separator: str = "\n", part_chunks: int | None = None) -> DataFrame:
+    """Text of every chunked URL, joined by chunk index (missing ones first) and id.
 
-    A source longer than ``part_chunks`` chunks comes back as consecutive parts, so one huge source
-    never has to fit a single row or task. Chunks that share an index, or have none, could still pile
-    up in one part; where they do, ``sub`` tells their pieces apart. Nothing is dropped.
+    One row for each source. With ``part_chunks`` a source comes back as consecutive parts of so many chunks, for
+    sources whose text does not fit one row.
     """
-    key = ["bot_id", "source_url", "part"]
+    key = ["bot_id", "source_url"]
     chunks = vectors.filter(F.col("is_chunked")).select(
-        "bot_id", "source_url",
-        F.floor(F.coalesce("chunk_index", F.lit(0)) / part_chunks).cast("int").alias("part"),
-        F.struct("chunk_index", "vector_id", F.coalesce("content", F.lit("")).alias("content")).alias("c"))
-    crowded = (chunks.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > part_chunks)
-               .withColumn("_pieces", F.ceil(F.col("_n") / part_chunks)).drop("_n"))
-    piece = F.pmod(F.xxhash64("c.vector_id"), F.coalesce("_pieces", F.lit(1))).cast("int")
-    placed = chunks.join(broadcast_if_small(crowded), key, "left").withColumn("sub", piece)
-    ordered = F.array_sort(F.collect_list("c"))
-    return placed.groupBy(*key, "sub").agg(
+        *key, F.struct("chunk_index", "vector_id", F.coalesce("content", F.lit("")).alias("content")).alias("c"))
+    if part_chunks is not None:
+        order = Window.partitionBy(*key).orderBy(F.col("c.chunk_index").asc_nulls_first(), "c.vector_id")
+        chunks = chunks.withColumn("part", F.floor((F.row_number().over(order) - 1) / part_chunks).cast("int"))
+        key.append("part")
+    return chunks.groupBy(*key).agg(
         F.count("*").alias("chunks"),
-        F.array_join(F.transform(ordered, lambda c: c["content"]), separator).alias("text"))
+        F.array_join(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["content"]), separator).alias("text"))
 
 
 def storage_estimate(vectors: DataFrame, dim: int, storage: str = "float32") -> DataFrame:

@@ -5,37 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rolling window, sample cap, slow-query threshold, quota per minute.
+# Rolling window, slow-query threshold, quota per minute.
 WINDOW_SECONDS = 3600
-MAX_SAMPLES = 500
 SLOW_MS = 500
 QUOTA_PER_MINUTE = 120
 SEARCH, HIT, ERROR = "searches", "query_cache_hit", "errors"
 
 
-def percentile_of_sorted(samples: Column, p: float) -> Column:
-    """The value at index ``int(n * p)`` of a sorted array, at most the last; 0 when it is empty."""
-    n = F.size(samples)
-    index = F.least(n - 1, F.floor(n * F.lit(p)).cast("int"))
-    return F.coalesce(F.get(samples, index), F.lit(0))
+def sample_count(counts: Column) -> Column:
+    """Number of samples in an array of (ms, n)."""
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x["n"])
 
 
-def percentiles(samples: Column) -> list[Column]:
-    return [percentile_of_sorted(samples, p).alias(f"p{round(p * 100)}_ms") for p in (0.50, 0.95, 0.99)]
+def percentile_of_counts(counts: Column, p: float) -> Column:
+    """The sample at place ``int(n * p)`` of all in order, at most the last; 0 without any.
 
+    ``counts`` holds (ms, n) by rising ms: as long as there are different latencies, however many samples.
+    """
+    total = sample_count(counts)
+    place = F.least(total - 1, F.floor(total * F.lit(p)))
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("ms"))
 
-def latency_snapshot(log: DataFrame, now: Column) -> DataFrame:
-    """One row: p50, p95, p99 of the newest samples of the rolling window.
+    def step(s, x):
+        found = F.when(s["ms"].isNull() & (s["seen"] + x["n"] > place), x["ms"].cast("long"))
+        return F.struct((s["seen"] + x["n"]).alias("seen"), F.coalesce(s["ms"], found).alias("ms"))
 
-    At most ``MAX_SAMPLES`` rows survive the top-k, so the sorted list is small by construction.
-    """
+    return F.coalesce(F.aggregate(counts, start, step, lambda s: s["ms"]), F.lit(0))
+
+
+def percentiles(counts: Column) -> list[Column]:
+    return [percentile_of_counts(counts, p).alias(f"p{round(p * 100)}_ms") for p in (0.50, 0.95, 0.99)]
+
+
+def count_values(samples: DataFrame, *by: str) -> DataFrame:
+    """``by`` and counts: how often each latency (negatives as 0) occurs, summed inside the tasks first."""
+    each = samples.groupBy(*by, F.greatest(F.lit(0), F.col("latency_ms")).cast("long").alias("ms")).agg(
+        F.count("*").alias("n"))
+    return each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("ms", "n"))).alias("counts"))
+
+
+def latency_snapshot(log: DataFrame, now: Column, newest: int | None = None) -> DataFrame:
+    """One row: p50, p95, p99 of the samples of the rolling window; of its ``newest`` ones where that is asked for."""
     cutoff = now - F.expr(f"INTERVAL {WINDOW_SECONDS} SECONDS")
-    order = [c for c in ("event_id",) if c in log.columns]
-    newest = (log.filter((F.col("op") == SEARCH) & (F.col("ts") >= cutoff) & (F.col("ts") <= now))
-              .orderBy(F.col("ts").desc(), *[F.col(c).desc() for c in order]).limit(MAX_SAMPLES))
-    clean = F.greatest(F.lit(0), F.col("latency_ms"))
-    return newest.agg(F.array_sort(F.collect_list(clean)).alias("s")).select(
-        *percentiles(F.col("s")), F.size("s").alias("sample_count"))
+    samples = log.filter((F.col("op") == SEARCH) & (F.col("ts") >= cutoff) & (F.col("ts") <= now))
+    if newest is not None:
+        order = [F.col(c).desc() for c in ("event_id",) if c in log.columns]
+        samples = samples.orderBy(F.col("ts").desc(), *order).limit(newest)
+    return count_values(samples).select(*percentiles(F.col("counts")), sample_count(F.col("counts")).alias("sample_count"))
 
 
 def metric_counters(log: DataFrame) -> DataFrame:

@@ -6,27 +6,34 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kbvec.functions.ids import vector_id, without_chunk_suffix
 from kbvec.operators.ingest import missing_parts
 from kbvec.schema import DEFAULT_TENANT, conform
-from kbvec.session import broadcast_if_small
+from kbvec.session import broadcast_if_small, materialize
 
-# Entry source that this table mirrors, cap and minimum load age of a compaction.
+# Entry source that this table mirrors, minimum load age of a compaction.
 ENTRY_SOURCE = "pinecone"
-MAX_COMPACTED = 5000
 MIN_LOAD_AGE_SECONDS = 3600
 
 
 def last_per_id(rows: DataFrame, seq: str | None = None) -> DataFrame:
-    """One row per id, the last by ``seq``; rows of an id without ``seq`` are taken to be equal.
+    """One row per id, the last by ``seq``.
 
-    The rank test prunes inside each task, so an id with very many versions ships few rows.
+    Without ``seq`` the newest ``updated_at`` wins where there is one, and among the rest the row whose values come
+    last in order, so the same input always leaves the same row. The rank test prunes inside each task, so an id
+    with very many versions ships few rows.
     """
     if seq is None:
-        return rows.dropDuplicates(["vector_id"])
-    w = Window.partitionBy("vector_id").orderBy(F.col(seq).desc())
-    return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n", seq)
+        stamp = [F.col("updated_at").desc_nulls_last()] if "updated_at" in rows.columns else []
+        ordered = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        order = [*stamp, *[F.col(c).desc_nulls_last() for c in ordered]]
+    else:
+        order = [F.col(seq).desc()]
+    w = Window.partitionBy("vector_id").orderBy(*order)
+    last = rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
+    return last if seq is None else last.drop(seq)
 
 
 def upsert(target: DataFrame, rows: DataFrame, seq: str | None = None, storage: str = "float32",
@@ -78,10 +85,10 @@ def orphans(target: DataFrame, alive: DataFrame, strict_ids: bool = False, prefi
     return target.withColumn("_base", base).join(living, "_base", "left_anti").drop("_base")
 
 
-def compaction_list(target: DataFrame, alive: DataFrame, max_deletes: int = MAX_COMPACTED,
-                    **options) -> DataFrame:
-    """Ids one compaction run removes: the smallest ``max_deletes`` orphan ids."""
-    return orphans(target.select("vector_id"), alive, **options).orderBy("vector_id").limit(max_deletes)
+def compaction_list(target: DataFrame, alive: DataFrame, max_deletes: int | None = None, **options) -> DataFrame:
+    """Ids one compaction run removes: all orphans, or the smallest ``max_deletes`` ids of them."""
+    found = orphans(target.select("vector_id"), alive, **options)
+    return found if max_deletes is None else found.orderBy("vector_id").limit(max_deletes)
 
 
 def may_compact(last_load: dt.datetime | None, now: dt.datetime) -> bool:
@@ -89,6 +96,6 @@ def may_compact(last_load: dt.datetime | None, now: dt.datetime) -> bool:
     return last_load is None or (now - last_load).total_seconds() >= MIN_LOAD_AGE_SECONDS
 
 
-def compact(target: DataFrame, alive: DataFrame, max_deletes: int = MAX_COMPACTED, **options) -> DataFrame:
-    gone = broadcast_if_small(compaction_list(target, alive, max_deletes, **options))
+def compact(target: DataFrame, alive: DataFrame, max_deletes: int | None = None, **options) -> DataFrame:
+    gone = broadcast_if_small(materialize(compaction_list(target, alive, max_deletes, **options), "orphans"))
     return target.join(gone, "vector_id", "left_anti")

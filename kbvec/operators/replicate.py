@@ -7,24 +7,17 @@ from pyspark.sql import functions as F
 
 from kbvec.operators.ingest import missing_parts
 from kbvec.schema import conform
-from kbvec.session import broadcast_if_small
+from kbvec.session import broadcast_if_small, materialize
 
-# Copy batch, drain cap, retry limit, queue bound, drift small enough to wait for the queue.
-COPY_BATCH, COPY_MAX = 1000, 10_000
-DRAIN_CAP, DRAIN_MAX = 50, 1000
+# Copy batch, retry limit, drift small enough to wait for the queue.
+COPY_BATCH = 1000
 RETRY_LIMIT = 10
-MAX_QUEUE = 5000
 SMALL_DIFFERENCE = 50
 
 
-def _clamp(value: int, high: int) -> int:
-    return max(1, min(high, value))
-
-
 def copy_batch(source: DataFrame, cursor: str = "", size: int = COPY_BATCH) -> DataFrame:
     """The next ``size`` rows after ``cursor`` in id order."""
-    return (source.filter(F.col("vector_id") > F.lit(cursor)).orderBy("vector_id")
-            .limit(_clamp(size, COPY_MAX)))
+    return source.filter(F.col("vector_id") > F.lit(cursor)).orderBy("vector_id").limit(size)
 
 
 def copy_state(batch: DataFrame, replica_rows: int, target_rows: int, cursor: str = "") -> DataFrame:
@@ -65,10 +58,8 @@ def apply_change_log(replica: DataFrame, log: DataFrame, storage: str = "float32
     return replica.join(ids, "vector_id", "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
-def drain_step(pending: DataFrame, ok: Column, cap: int | None = DRAIN_CAP) -> DataFrame:
-    """One pass over the retry queue ``(seq, payload, queued_at, retries)``, oldest ``cap`` entries.
-
-    ``cap=None`` takes the whole frame, for callers that bound their input themselves.
+def drain_step(pending: DataFrame, ok: Column, cap: int | None = None) -> DataFrame:
+    """One pass over the retry queue ``(seq, payload, queued_at, retries)``: all entries, or the oldest ``cap``.
 
     Every entry comes back with a ``state``: done, dropped (empty payload), retry (one more try
     spent), quarantine (tries used up) or waiting (beyond this pass). ``ok`` tells whether replaying
@@ -77,9 +68,8 @@ def drain_step(pending: DataFrame, ok: Column, cap: int | None = DRAIN_CAP) -> D
     if cap is None:
         marked = pending.withColumn("_due", F.lit(True))
     else:
-        head = (pending.select("queued_at", "seq").orderBy("queued_at", "seq")
-                .limit(_clamp(cap, DRAIN_MAX)).withColumn("_due", F.lit(True)))
-        marked = pending.join(F.broadcast(head), ["queued_at", "seq"], "left")
+        head = materialize(pending.select("queued_at", "seq").orderBy("queued_at", "seq").limit(cap), "due")
+        marked = pending.join(broadcast_if_small(head.withColumn("_due", F.lit(True))), ["queued_at", "seq"], "left")
     tries = F.col("retries") + 1
     due = F.coalesce("_due", F.lit(False))
     failed = due & (F.coalesce("payload", F.lit("")) != "") & ~F.coalesce(ok, F.lit(False))
@@ -93,13 +83,14 @@ def drain_step(pending: DataFrame, ok: Column, cap: int | None = DRAIN_CAP) -> D
             .drop("_due"))
 
 
-def enqueue(pending: DataFrame, failed: DataFrame, max_queue: int = MAX_QUEUE) -> tuple[DataFrame, DataFrame]:
-    """The queue with failed writes appended up to its bound, and the writes that found it full."""
-    room = max(0, max_queue - pending.count())
-    ranked = failed.withColumn("retries", F.lit(0))
-    taken = ranked.orderBy("queued_at", "seq").limit(room)
-    rest = ranked.join(F.broadcast(taken.select("queued_at", "seq")), ["queued_at", "seq"], "left_anti")
-    return pending.unionByName(taken.select(*pending.columns)), rest.select(*pending.columns)
+def enqueue(pending: DataFrame, failed: DataFrame, max_queue: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The queue with failed writes appended (up to ``max_queue``), and the writes that found it full."""
+    fresh = failed.withColumn("retries", F.lit(0)).select(*pending.columns)
+    if max_queue is None:
+        return pending.unionByName(fresh), fresh.limit(0)
+    taken = materialize(fresh.orderBy("queued_at", "seq").limit(max(0, max_queue - pending.count())), "taken")
+    rest = fresh.join(broadcast_if_small(taken.select("queued_at", "seq")), ["queued_at", "seq"], "left_anti")
+    return pending.unionByName(taken), rest.select(*pending.columns)
 
 
 def drain_totals(drained: DataFrame) -> DataFrame:
@@ -112,7 +103,8 @@ def drain_totals(drained: DataFrame) -> DataFrame:
 # --- drift -------------------------------------------------------------------------------------
 
 def tenant_signature(vectors: DataFrame) -> DataFrame:
-    """``bot_id, rows, sig``: equal exactly when a tenant holds the same ids on both sides.
+    """``bot_id, rows, sig``: equal when a tenant holds the same ids on both sides, and otherwise but for a clash of
+    128-bit sums.
 
     The digest adds up the four 32-bit words of every id's md5 (a multiset hash) and so needs no
     order: tasks send four partial sums per tenant, however many rows one tenant has.
@@ -125,19 +117,6 @@ def tenant_signature(vectors: DataFrame) -> DataFrame:
         rows.alias("rows"), F.md5(F.concat_ws(",", rows.cast("string"), *sums)).alias("sig"))
 
 
-def id_list_signature(vectors: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``bot_id, rows, sig`` with md5 over the ordered, comma-joined id list.
-
-    That digest needs a tenant's ids in one place, so it is given only for tenants of at most
-    ``max_rows`` rows; for others ``sig`` is null and ``tenant_signature`` decides.
-    """
-    sizes = vectors.groupBy("bot_id").agg(F.count("*").alias("rows"))
-    small = broadcast_if_small(sizes.filter(F.col("rows") <= max_rows).select("bot_id"))
-    listed = (vectors.select("bot_id", "vector_id").join(small, "bot_id").groupBy("bot_id")
-              .agg(F.md5(F.array_join(F.array_sort(F.collect_list("vector_id")), ",")).alias("sig")))
-    return sizes.join(listed, "bot_id", "left")
-
-
 def compare_signatures(primary: DataFrame, replica: DataFrame) -> DataFrame:
     """Tenants whose count or signature differ, with both counts; a missing side counts 0 rows."""
     p = primary.select("bot_id", F.col("rows").alias("primary_rows"), F.col("sig").alias("_p"))

@@ -19,7 +19,7 @@ MATCH_COLUMNS = ("content", "source_url", "role_restriction", "content_type",
 
 
 def overfetch(k: int) -> int:
-    """Candidates kept ahead of dedup so that collapsing sources still leaves ``k`` rows."""
+    """Rows of a hybrid search kept ahead of dedup, so that collapsing sources as a rule leaves ``k``."""
     return max(k * 3, k + 10)
 
 
@@ -61,11 +61,14 @@ def dedup_sources(matches: DataFrame, k: int, by: Sequence[str] = ()) -> DataFra
 
 def search(vectors: DataFrame, query: Sequence[float], k: int = 50, tenant: str = DEFAULT_TENANT,
            spec: Mapping[str, Any] | None = None, metric: str = "cosine", dim: int | None = None,
-           dedup: bool = False, rerank: Rerank | None = None) -> DataFrame:
-    """Top ``k`` rows of one tenant by similarity to ``query``, exact over the whole tenant."""
+           dedup: bool = False, rerank: Rerank | None = None, fetch: int | None = None) -> DataFrame:
+    """Top ``k`` rows of one tenant by similarity to ``query``, exact over the whole tenant.
+
+    ``dedup`` keeps the best row of every source URL: of the whole tenant, or of its ``fetch`` best rows.
+    """
     candidates = scored(tenant_rows(vectors, tenant, spec), query, metric, dim)
     if dedup:
-        found = dedup_sources(take_top(candidates, overfetch(k)), k)
+        found = dedup_sources(candidates if fetch is None else take_top(candidates, fetch), k)
     else:
         found = take_top(candidates, k)
     return rerank(found) if rerank else found

@@ -2,7 +2,8 @@
 
 ``postings`` holds one row per (word, row) with the columns filters may address, partitioned by word
 hash and sorted by word; ``words`` holds the number of rows per word; ``totals`` the table's row count
-and mean length. The index is as fresh as its last build.
+and mean length, and the version of the table it was built from. A reader that names another version is
+refused, so a stale index is never served unnoticed.
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ def count_words(vectors: DataFrame) -> DataFrame:
     return source.mapInArrow(count, source.drop("w").schema.add("word", "string").add("tf", "integer").add("dl", "integer"))
 
 
-def build_index(vectors: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Write the index of a table; a frequent word's postings are spread over several files."""
+def build_index(vectors: DataFrame, path: str, buckets: int = BUCKETS, version: int | None = None) -> None:
+    """Write the index of a table (of its ``version``); a frequent word's postings are spread over several files."""
     spark = vectors.sparkSession
     (count_words(vectors).withColumn("bucket", _bucket("word", buckets))
      .hint("rebalance", "bucket").sortWithinPartitions("bucket", "word")
@@ -64,14 +65,17 @@ def build_index(vectors: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     # Every word of every text is in exactly one posting's count.
     length = postings.agg(F.coalesce(F.sum("tf"), F.lit(0))).scalar()
     (vectors.agg(F.count("*").alias("n"))
-     .select("n", F.try_divide(length.cast("double"), F.col("n")).alias("avgdl"), F.lit(buckets).alias("buckets"))
+     .select("n", F.try_divide(length.cast("double"), F.col("n")).alias("avgdl"), F.lit(buckets).alias("buckets"),
+             F.lit(version).cast("long").alias("version"))
      .write.parquet(f"{path}/totals"))
 
 
 def index_scores(spark: SparkSession, path: str, terms: list[str], tenant: str = DEFAULT_TENANT,
-                 spec: Mapping[str, Any] | None = None) -> DataFrame:
+                 spec: Mapping[str, Any] | None = None, version: int | None = None) -> DataFrame:
     """``vector_id, score`` of one tenant's rows that hold a term; statistics are the whole table's."""
     totals = spark.read.parquet(f"{path}/totals").first()
+    if totals["version"] != version:
+        raise ValueError(f"the text index is of table version {totals['version']}, not {version}")
     terms = sorted(set(terms))
     if not terms or not totals["n"]:
         return spark.createDataFrame([], "vector_id string, score double")
@@ -90,7 +94,7 @@ def index_scores(spark: SparkSession, path: str, terms: list[str], tenant: str =
 
 
 def index_top(spark: SparkSession, path: str, text: str, n: int, tenant: str = DEFAULT_TENANT,
-              spec: Mapping[str, Any] | None = None) -> DataFrame:
-    """Best ``n`` rows for a text; equal to scoring the live text when the index is current."""
-    found = index_scores(spark, path, query_terms(spark, text), tenant, spec)
+              spec: Mapping[str, Any] | None = None, version: int | None = None) -> DataFrame:
+    """Best ``n`` rows for a text; equal to scoring the live text of the version asked for."""
+    found = index_scores(spark, path, query_terms(spark, text), tenant, spec, version)
     return take_top(found.withColumn("score", F.round("score", 9)), n)

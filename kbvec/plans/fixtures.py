@@ -38,6 +38,15 @@ REST = ("*", "vec_id AS kb_id", "IF(is_chunked, cast(vec_id % 5 AS int), null) A
           cast(vec_id % 1440 AS int)) AS updated_at""")
 
 
+def _kb(base: DataFrame) -> DataFrame:
+    rows = base.selectExpr(*SOURCE).selectExpr(*REST)
+    ident = vector_id(F.col("kb_id"), F.col("source_url"), F.col("is_chunked"), F.col("chunk_index"))
+    return rows.withColumn("vector_id", ident).select(
+        "kb_id", "label", "vector_id", "bot_id", "embedding", "content", "source_url", "role_restriction",
+        "content_type", "chunk_index", "total_chunks", "is_chunked", F.col("updated_at").alias("created_at"),
+        "updated_at")
+
+
 def kb_vectors(spark: SparkSession, sf: str, content: bool = True) -> DataFrame:
     """The vector table: every embedding, with its document's text where there is one."""
     base = table(spark, sf, "embeddings")
@@ -46,12 +55,22 @@ def kb_vectors(spark: SparkSession, sf: str, content: bool = True) -> DataFrame:
         base = base.join(docs, "vec_id", "left")
     else:
         base = base.withColumn("text", F.lit(""))
-    rows = base.selectExpr(*SOURCE).selectExpr(*REST)
-    ident = vector_id(F.col("kb_id"), F.col("source_url"), F.col("is_chunked"), F.col("chunk_index"))
-    return rows.withColumn("vector_id", ident).select(
-        "kb_id", "label", "vector_id", "bot_id", "embedding", "content", "source_url", "role_restriction",
-        "content_type", "chunk_index", "total_chunks", "is_chunked", F.col("updated_at").alias("created_at"),
-        "updated_at")
+    return _kb(base)
+
+
+def kb_source(spark: SparkSession, sf: str) -> DataFrame:
+    """What the source table is made of: every document and every embedding; most documents have no vector."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    both = table(spark, sf, "embeddings").join(docs, "vec_id", "full_outer")
+    return _kb(both.withColumn("label", F.expr("coalesce(label, cast(vec_id % 10 AS int))")))
+
+
+def vector_digest(vector: str = "embedding") -> list:
+    """Digest of all components: their sum, and their sum weighted by place."""
+    zero = F.lit(0.0)
+    weighted = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
+    return [F.round(F.aggregate(vector, zero, lambda a, x: a + x.cast("double")), 4).alias("vector_sum"),
+            F.round(F.aggregate(weighted, zero, lambda a, x: a + x), 3).alias("vector_weighted")]
 
 
 def query_vector(spark: SparkSession, sf: str, vec_id: int = 0) -> list[float]:
@@ -60,9 +79,16 @@ def query_vector(spark: SparkSession, sf: str, vec_id: int = 0) -> list[float]:
     return [float(x) for x in row["embedding"]]
 
 
-def query_text(spark: SparkSession, sf: str, doc_id: int = 0, n: int = 3) -> str:
-    row = table(spark, sf, "documents").filter(F.col("doc_id") == doc_id).select("text").first()
-    return " ".join(spark.range(1).select(F.slice(words(F.lit(row["text"])), 1, n)).first()[0])
+def query_text(spark: SparkSession, sf: str, item_id: int = 0) -> str:
+    """The text asked with: that of one benchmark item, whole."""
+    return table(spark, sf, "benchmark").filter(F.col("item_id") == item_id).select("text").first()[0]
+
+
+def benchmark_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Every benchmark item as a query, with the vector and the tenant of the row of its number."""
+    rows = kb_vectors(spark, sf, content=False).select(F.col("kb_id").alias("item_id"), "bot_id", "embedding")
+    return table(spark, sf, "benchmark").join(rows, "item_id").select(
+        F.col("item_id").cast("string").alias("query_id"), "bot_id", "embedding", F.col("text").alias("query_text"))
 
 
 def centroids(vectors: DataFrame) -> DataFrame:
@@ -83,8 +109,14 @@ def serialized(embedding: Column) -> Column:
 
 
 def has_vector() -> Column:
-    """False for the products of one category, whose embedding call failed."""
-    return (F.col("label") != 8) | (F.col("content_type") != "product")
+    """False for documents without an embedding and for the products of one category, whose embedding call failed."""
+    return F.col("embedding").isNotNull() & ((F.col("label") != 8) | (F.col("content_type") != "product"))
+
+
+def broken_vector() -> Column:
+    """What such rows hold instead: nothing, a number that is none, or too few components."""
+    return F.expr("""CASE kb_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'a:2:{i:0;d:0.5;i:1;d:1-2;}'
+      ELSE 'a:64:{i:0;d:0.25;}' END""")
 
 
 def kb_rows(vectors: DataFrame) -> DataFrame:
@@ -94,7 +126,7 @@ def kb_rows(vectors: DataFrame) -> DataFrame:
     return vectors.select(
         F.col("kb_id").alias("id"), "source_url",
         F.when(F.col("is_chunked"), F.concat(header, F.col("content"))).otherwise(F.col("content")).alias("article_content"),
-        F.when(has_vector(), serialized(F.col("embedding"))).otherwise("").alias("embedding_vector"),
+        F.when(has_vector(), serialized(F.col("embedding"))).otherwise(broken_vector()).alias("embedding_vector"),
         "role_restriction", "content_type", F.col("updated_at").alias("timestamp"), "bot_id")
 
 

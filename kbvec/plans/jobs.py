@@ -14,7 +14,7 @@ from kbvec.operators import ingest, metrics, replicate
 from kbvec.schema import DEFAULT_TENANT
 from kbvec.session import materialize
 from kbvec.sources.store import VectorStore
-from kbvec.sources.tables import load_export, published
+from kbvec.sources.tables import published
 
 
 def _load(store: VectorStore, vectors: DataFrame, dim: int, seq: str | None = None) -> dict:
@@ -43,9 +43,8 @@ def incremental_load(store: VectorStore, rows: DataFrame, last_load: dt.datetime
 
 def import_records(store: VectorStore, records: DataFrame, dim: int, tenant: str = DEFAULT_TENANT) -> dict:
     """Service records into one tenant; records without values are reported as failed."""
-    rows, summary = load_export(records, tenant)
-    failed = summary.first()["failed"]
-    return {"copied": _load(store, rows, dim)["upserted"], "failed": failed, "namespace": tenant}
+    done = _load(store, ingest.map_metadata(records, ingest.EXPORT_ALIASES, tenant), dim)
+    return {"copied": done["upserted"], "failed": done["skipped"], "namespace": tenant}
 
 
 def load_posts(store: VectorStore, posts: DataFrame, types: Sequence[str],
@@ -57,7 +56,7 @@ def load_posts(store: VectorStore, posts: DataFrame, types: Sequence[str],
     return ingest.posts_summary(loaded).first().asDict()
 
 
-def drain(store: VectorStore, pending: DataFrame, ok: Column, cap: int = replicate.DRAIN_CAP
+def drain(store: VectorStore, pending: DataFrame, ok: Column, cap: int | None = None
           ) -> tuple[DataFrame, DataFrame, dict]:
     """One pass over a retry queue of changes: apply the replayable ones, keep, retry or set aside the rest.
 

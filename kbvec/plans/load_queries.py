@@ -10,31 +10,27 @@ from kbvec.functions.ids import vector_id
 from kbvec.functions.text import chunk_header, parse_serialized_vector
 from kbvec.operators import ingest
 from kbvec.plans import fixtures as fx
-from kbvec.plans.registry import kb_sql, register
+from kbvec.plans import jobs
+from kbvec.plans.registry import HAS_VECTOR, kb_sql, register, vector_sql
 from kbvec.schema import conform
 from kbvec.session import scratch_path
 from kbvec.sources import tables
+from kbvec.sources.store import VectorStore
 
-# First component to six digits: enough to see that the right vector came through.
-def e1():
-    return F.round(F.col("embedding")[0].cast("double"), 6).alias("e1")
-
-
-HAS_VECTOR = "(label <> 8 OR content_type <> 'product')"
 VECTOR_COLUMNS = ("vector_id", "bot_id", "source_url", "role_restriction", "content_type",
                   "chunk_index", "total_chunks", "is_chunked")
 COLS = ", ".join(VECTOR_COLUMNS)
 
 
 def _checked(rows):
-    return rows.select(*VECTOR_COLUMNS, e1(), F.md5("content").alias("content_md5"))
+    return rows.select(*VECTOR_COLUMNS, *fx.vector_digest(), F.md5("content").alias("content_md5"))
 
 
-CHECKED_SQL = f"SELECT {COLS}, round(embedding[1], 6) AS e1, md5(content) AS content_md5 FROM kb"
+CHECKED_SQL = f"SELECT {COLS}, {vector_sql()}, md5(content) AS content_md5 FROM kb"
 
 
 def _kb(spark, sf):
-    return fx.kb_rows(fx.kb_vectors(spark, sf))
+    return fx.kb_rows(fx.kb_source(spark, sf))
 
 
 # --- sources -----------------------------------------------------------------------------------
@@ -59,25 +55,31 @@ def parquet_export_roundtrip(spark, sf):
         F.countDistinct("vector_id").alias("ids"), F.round(F.sum(total), 3).alias("component_sum"))
 
 
-@register("kb_source_scan", kb_sql("""
-SELECT kb_id AS id, source_url, role_restriction, content_type, bot_id, updated_at AS stamp FROM kb"""))
+@register("kb_source_scan", kb_sql(f"""
+SELECT kb_id AS id, source_url, role_restriction, content_type, bot_id, updated_at AS stamp,
+  md5(CASE WHEN is_chunked THEN '{{"document_type":"chunked","chunk_index":' || chunk_index || ',"total_chunks":' ||
+    total_chunks || '}}' || chr(10) || '---' || chr(10) || content ELSE content END) AS article_md5,
+  CASE WHEN {HAS_VECTOR} THEN 64 ELSE CASE kb_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END END AS components FROM kb""",
+    source=True))
 def kb_source_scan(spark, sf):
     raw = _kb(spark, sf).withColumnRenamed("source_url", "url")
     rows = tables.kb_rows(raw)
     return rows.select("id", "source_url", "role_restriction", "content_type", "bot_id",
-                       F.col("timestamp").alias("stamp"))
+                       F.col("timestamp").alias("stamp"), F.md5("article_content").alias("article_md5"),
+                       F.regexp_count("embedding_vector", F.lit("d:")).alias("components"))
 
 
 @register("vector_export_load", kb_sql("""
 SELECT vector_id, 'default' AS bot_id, md5(content) AS content_md5, source_url, role_restriction, content_type,
-  chunk_index, total_chunks, is_chunked, round(embedding[1], 6) AS e1 FROM kb WHERE label <> 8 OR content_type <> 'product'"""))
+  chunk_index, total_chunks, is_chunked, """ + vector_sql() + f" FROM kb WHERE {HAS_VECTOR}"))
 def vector_export_load(spark, sf):
     """The table as service records in JSON lines, under canonical and alias keys, and back."""
     path = scratch_path(spark, "records")
     _records(fx.kb_vectors(spark, sf), "export").write.json(path)
     rows, _ = tables.load_export(tables.read_export(spark, path))
     return rows.select("vector_id", "bot_id", F.md5("content").alias("content_md5"), "source_url",
-                       "role_restriction", "content_type", "chunk_index", "total_chunks", "is_chunked", e1())
+                       "role_restriction", "content_type", "chunk_index", "total_chunks", "is_chunked",
+                       *fx.vector_digest())
 
 
 def _records(vectors, aliases: str):
@@ -101,11 +103,11 @@ def _records(vectors, aliases: str):
 
 
 @register("metadata_alias_map", kb_sql(f"""
-SELECT vector_id, 'default' AS bot_id, content <> '' AS has_text, source_url, role_restriction, content_type,
+SELECT vector_id, 'default' AS bot_id, md5(content) AS content_md5, source_url, role_restriction, content_type,
   chunk_index, total_chunks, is_chunked, {HAS_VECTOR} AS usable FROM kb"""))
 def metadata_alias_map(spark, sf):
     rows = ingest.map_metadata(_records(fx.kb_vectors(spark, sf), "request"), ingest.REQUEST_ALIASES)
-    return rows.select("vector_id", "bot_id", (F.col("content") != "").alias("has_text"), "source_url",
+    return rows.select("vector_id", "bot_id", F.md5("content").alias("content_md5"), "source_url",
                        "role_restriction", "content_type", "chunk_index", "total_chunks", "is_chunked",
                        F.col("embedding").isNotNull().alias("usable"))
 
@@ -170,7 +172,7 @@ def posts_load_summary(spark, sf):
 
 @register("parse_serialized_embedding", kb_sql(f"""
 SELECT kb_id AS id, CASE WHEN {HAS_VECTOR} THEN len(embedding) END AS dim,
-  CASE WHEN {HAS_VECTOR} THEN round(list_sum(embedding), 4) END AS component_sum FROM kb"""))
+  CASE WHEN {HAS_VECTOR} THEN round(list_sum(embedding), 4) END AS component_sum FROM kb""", source=True))
 def parse_serialized_embedding(spark, sf):
     vec = parse_serialized_vector(F.col("embedding_vector")).cast("array<float>")
     parsed = _kb(spark, sf).select("id", vec.alias("v"))
@@ -179,7 +181,7 @@ def parse_serialized_embedding(spark, sf):
 
 
 @register("parse_chunk_header", kb_sql(
-    "SELECT kb_id AS id, is_chunked, chunk_index, total_chunks, md5(content) AS body_md5 FROM kb"))
+    "SELECT kb_id AS id, is_chunked, chunk_index, total_chunks, md5(content) AS body_md5 FROM kb", source=True))
 def parse_chunk_header(spark, sf):
     parts = chunk_header(F.col("article_content"))
     return _kb(spark, sf).select("id", parts["is_chunked"].alias("is_chunked"), parts["chunk_index"].alias("chunk_index"),
@@ -187,7 +189,7 @@ def parse_chunk_header(spark, sf):
 
 
 @register("vector_ids", kb_sql("""
-SELECT kb_id AS id, vector_id, CASE WHEN source_url = '' THEN 'kb_' || kb_id ELSE md5(source_url) END AS base_id FROM kb"""))
+SELECT kb_id AS id, vector_id, CASE WHEN source_url = '' THEN 'kb_' || kb_id ELSE md5(source_url) END AS base_id FROM kb""", source=True))
 def vector_ids(spark, sf):
     head = chunk_header(F.col("article_content"))
     return _kb(spark, sf).select(
@@ -197,7 +199,7 @@ def vector_ids(spark, sf):
 
 @register("resolve_tenant", kb_sql("""
 SELECT kb_id AS id, bot_id AS own, 'default' AS absent,
-  CASE WHEN role_restriction = 'subscriber' THEN 'members' ELSE 'default' END AS overridden FROM kb"""))
+  CASE WHEN role_restriction = 'subscriber' THEN 'members' ELSE 'default' END AS overridden FROM kb""", source=True))
 def resolve_tenant(spark, sf):
     rows = _kb(spark, sf).withColumn("bot_id", F.nullif("bot_id", F.lit("default")))
     by_role = lambda df: F.when(F.col("role_restriction") == "subscriber", "members").otherwise("")
@@ -207,7 +209,7 @@ def resolve_tenant(spark, sf):
 
 
 @register("validate_vectors", kb_sql(f"""
-SELECT vector_id, NOT (content_type = 'product') AS accepted FROM kb WHERE {HAS_VECTOR}"""))
+SELECT vector_id, NOT (content_type = 'product') AS accepted FROM kb WHERE {HAS_VECTOR}""", source=True))
 def validate_vectors(spark, sf):
     """Products carry vectors cut short by one component; they are split off, empty ones are skipped."""
     short = F.when(F.col("content_type") == "product", F.slice("embedding", 1, fx.DIM - 1)).otherwise(F.col("embedding"))
@@ -219,21 +221,79 @@ def validate_vectors(spark, sf):
 
 @register("ingest_skip_report", kb_sql(f"""
 SELECT count(*) AS scanned, count(*) FILTER ({HAS_VECTOR}) AS upserted, count(*) FILTER (NOT ({HAS_VECTOR})) AS skipped,
-  count(*) FILTER (NOT ({HAS_VECTOR})) > 0.01 * count(*) AS flagged FROM kb"""))
+  count(*) FILTER (NOT ({HAS_VECTOR})) > 0.01 * count(*) AS flagged FROM kb""", source=True))
 def ingest_skip_report(spark, sf):
     return ingest.skip_report(ingest.kb_to_vectors(_kb(spark, sf)))
 
 
-@register("kb_full_load", kb_sql(f"{CHECKED_SQL} WHERE {HAS_VECTOR}"))
+LOADED = f"{CHECKED_SQL} WHERE {HAS_VECTOR}"
+
+
+@register("kb_full_load", kb_sql(LOADED, source=True))
 def kb_full_load(spark, sf):
     return _checked(ingest.load_kb(_kb(spark, sf), fx.DIM).withColumn("embedding", F.col("embedding").cast("array<float>")))
 
 
+def _store(spark, label):
+    return VectorStore(spark, scratch_path(spark, label), buckets=4)
+
+
+REPORT = f"""SELECT count(*) AS scanned, count(*) FILTER ({HAS_VECTOR}) AS upserted,
+  count(*) FILTER (NOT ({HAS_VECTOR})) AS skipped FROM kb"""
+
+
+@register("job_full_load", kb_sql(f"SELECT * FROM ({LOADED}), ({REPORT})", source=True))
+def job_full_load(spark, sf):
+    """The source table through the load job into a store; what the job reports stands beside every row."""
+    store = _store(spark, "full-load")
+    done = jobs.full_load(store, _kb(spark, sf), fx.DIM)
+    report = [F.lit(done[c]).cast("long").alias(c) for c in ("scanned", "upserted", "skipped")]
+    return _checked(store.read()).select("*", *report)
+
+
+@register("job_import_records", kb_sql(f"""
+SELECT vector_id, 'default' AS bot_id, md5(content) AS content_md5, {vector_sql()}, copied, failed FROM kb, (
+  SELECT count(*) FILTER ({HAS_VECTOR}) AS copied, count(*) FILTER (NOT ({HAS_VECTOR})) AS failed FROM kb) t
+WHERE {HAS_VECTOR}""", source=True))
+def job_import_records(spark, sf):
+    """Every source row as a service record, imported into a store."""
+    store = _store(spark, "import")
+    done = jobs.import_records(store, _records(fx.kb_source(spark, sf), "export"), fx.DIM)
+    return store.read().select("vector_id", "bot_id", F.md5("content").alias("content_md5"), *fx.vector_digest(),
+                               F.lit(done["copied"]).cast("long").alias("copied"),
+                               F.lit(done["failed"]).cast("long").alias("failed"))
+
+
+@register("job_restore", kb_sql(f"{CHECKED_SQL} WHERE label <> 7 UNION ALL {CHECKED_SQL} WHERE label = 7"))
+def job_restore(spark, sf):
+    """A backup put back into a store that lost a category and holds older text for another."""
+    vectors, store, path = conform(fx.kb_vectors(spark, sf)), _store(spark, "restore"), scratch_path(spark, "backup")
+    tables.write_vectors(vectors, path)
+    store.upsert(conform(fx.replica(fx.kb_vectors(spark, sf))))
+    store.restore(path)
+    return _checked(store.read())
+
+
+@register("job_bootstrap_drift", kb_sql("""
+SELECT bot_id, count(*) AS rows, count(*) FILTER (label = 7) AS copied, 0::BIGINT AS drifted_tenants,
+  'active' AS status FROM kb GROUP BY bot_id"""))
+def job_bootstrap_drift(spark, sf):
+    """A replica without one category is filled up and then compared with its source."""
+    vectors, store = fx.kb_vectors(spark, sf), _store(spark, "bootstrap")
+    store.upsert(conform(vectors.filter(F.col("label") != 7)))
+    jobs.bootstrap(store, conform(vectors))
+    drift = jobs.drift_check(vectors, store.read(), 0, "drifted")
+    copied = vectors.filter(F.col("label") == 7).select("vector_id").withColumn("new", F.lit(1))
+    return store.read().join(copied, "vector_id", "left").groupBy("bot_id").agg(
+        F.count("*").alias("rows"), F.count("new").alias("copied"),
+        F.lit(drift["drifted_tenants"]).cast("long").alias("drifted_tenants"), F.lit(drift["status"]).alias("status"))
+
+
 LAST_LOAD = dt.datetime(2024, 1, 1, 5, 1, 0)
 
 
 @register("kb_incremental_load", kb_sql(
-    f"{CHECKED_SQL} WHERE {HAS_VECTOR} AND updated_at >= TIMESTAMP '2024-01-01 05:01:00' - INTERVAL 120 SECONDS"))
+    f"{CHECKED_SQL} WHERE {HAS_VECTOR} AND updated_at >= TIMESTAMP '2024-01-01 05:01:00' - INTERVAL 120 SECONDS", source=True))
 def kb_incremental_load(spark, sf):
     rows = ingest.load_kb_since(_kb(spark, sf), LAST_LOAD, fx.DIM)
     return _checked(rows.withColumn("embedding", F.col("embedding").cast("array<float>")))

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from kbvec.operators import metrics, replicate
 from kbvec.plans import fixtures as fx
-from kbvec.plans.registry import kb_sql, register
-from kbvec.plans.table_queries import APPLIED, CHANGED, LOG
+from kbvec.plans.registry import HAS_VECTOR, kb_sql, register, vector_sql
+from kbvec.plans.table_queries import APPLIED, CHANGED, LOG, _digest
 from kbvec.schema import conform
 from kbvec.session import scratch_path
 from kbvec.sources.store import VectorStore
@@ -25,10 +25,9 @@ def _now(log):
 
 @register("latency_snapshot", f"""WITH {REQUESTS}, s AS (
   SELECT list(greatest(0, latency_ms) ORDER BY latency_ms) AS v FROM (
-    SELECT * FROM rq WHERE op = 'searches' AND ts >= (SELECT max(ts) FROM rq) - INTERVAL 3600 SECONDS
-    ORDER BY ts DESC, event_id DESC LIMIT 500))
+    SELECT * FROM rq WHERE op = 'searches' AND ts >= (SELECT max(ts) FROM rq) - INTERVAL 3600 SECONDS))
 SELECT v[floor(len(v) * 0.5)::INTEGER + 1] AS p50_ms, v[least(len(v) - 1, floor(len(v) * 0.95))::INTEGER + 1] AS p95_ms,
-  v[least(len(v) - 1, floor(len(v) * 0.99))::INTEGER + 1] AS p99_ms, len(v)::INTEGER AS sample_count FROM s""")
+  v[least(len(v) - 1, floor(len(v) * 0.99))::INTEGER + 1] AS p99_ms, len(v) AS sample_count FROM s""")
 def latency_snapshot(spark, sf):
     log = fx.request_log(spark, sf)
     return metrics.latency_snapshot(log, _now(log))
@@ -82,7 +81,7 @@ SELECT true AS enabled, (SELECT count(*) FROM kb WHERE bot_id = 'default') AS co
   'healthy' AS status FROM {HITS}""", REQUESTS))
 def health_summary(spark, sf):
     log, events = fx.request_log(spark, sf), fx.table(spark, sf, "events")
-    queue = replicate.drain_step(fx.pending(events), F.col("ok"), cap=None)
+    queue = replicate.drain_step(fx.pending(events), F.col("ok"))
     loaded = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     return metrics.health_summary(fx.kb_vectors(spark, sf, content=False), log, queue, _now(log), loaded)
 
@@ -140,55 +139,63 @@ def stream_quota(spark, sf):
 
 
 @register("stream_latency_stateful", f"""WITH {REQUESTS}, s AS (
-  SELECT namespace, list(latency_ms ORDER BY latency_ms) AS v FROM (
-    SELECT *, row_number() OVER (PARTITION BY namespace ORDER BY ts DESC, event_id DESC) AS rn FROM rq WHERE op = 'searches')
-  WHERE rn <= 500 GROUP BY namespace)
+  SELECT 'ns ' || namespace AS namespace, list(latency_ms ORDER BY latency_ms) AS v FROM rq WHERE op = 'searches' GROUP BY ALL)
 SELECT namespace, v[floor(len(v) * 0.5)::INTEGER + 1] AS p50_ms, v[least(len(v) - 1, floor(len(v) * 0.95))::INTEGER + 1] AS p95_ms,
-  v[least(len(v) - 1, floor(len(v) * 0.99))::INTEGER + 1] AS p99_ms, len(v)::INTEGER AS sample_count FROM s""")
+  v[least(len(v) - 1, floor(len(v) * 0.99))::INTEGER + 1] AS p99_ms, len(v) AS sample_count FROM s""")
 def stream_latency_stateful(spark, sf):
     log = fx.request_log(spark, sf, stream=True).filter(F.col("op") == metrics.SEARCH)
+    log = log.withColumn("namespace", F.concat(F.lit("ns "), F.col("namespace").cast("string")))
     out, checkpoint = scratch_path(spark, "samples"), scratch_path(spark, "samples-checkpoint")
     latency.write_samples(latency.rolling_samples(log), out, checkpoint).awaitTermination()
     return latency.rolling_percentiles(spark.read.parquet(out))
 
 
-@register("stream_kb_ingest", kb_sql("""
-SELECT vector_id, bot_id, role_restriction, updated_at + INTERVAL 1 DAY AS updated_at, round(embedding[1], 6) AS e1
-FROM (SELECT * REPLACE ('members' AS role_restriction) FROM kb WHERE label = 2)
-UNION ALL SELECT vector_id, bot_id, role_restriction, updated_at, round(embedding[1], 6) FROM kb
-WHERE label <> 2 AND (label <> 8 OR content_type <> 'product')"""))
+@register("stream_kb_ingest", kb_sql(f"""
+SELECT vector_id, bot_id, role_restriction, updated_at + INTERVAL 1 DAY AS updated_at, md5(content) AS content_md5, {vector_sql()}
+FROM (SELECT * REPLACE ('members' AS role_restriction) FROM kb WHERE label = 2 AND {HAS_VECTOR})
+UNION ALL SELECT vector_id, bot_id, role_restriction, updated_at, md5(content), {vector_sql()} FROM kb
+WHERE label <> 2 AND {HAS_VECTOR}""", source=True))
 def stream_kb_ingest(spark, sf):
     """All source rows, and a later version of one category; each arrives in its own files."""
-    rows = fx.kb_rows(fx.kb_vectors(spark, sf))
-    later = fx.kb_rows(fx.kb_vectors(spark, sf).filter(F.col("label") == 2)).withColumn(
+    rows = fx.kb_rows(fx.kb_source(spark, sf))
+    later = fx.kb_rows(fx.kb_source(spark, sf).filter(F.col("label") == 2)).withColumn(
         "role_restriction", F.lit("members")).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
     source, checkpoint = scratch_path(spark, "kb"), scratch_path(spark, "kb-checkpoint")
     for part in (later, rows):
         part.write.mode("append").parquet(source)
     store = VectorStore(spark, scratch_path(spark, "store"), buckets=4)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    live.stream_kb(stream, store, fx.DIM, checkpoint).awaitTermination()
-    return store.read().select("vector_id", "bot_id", "role_restriction", "updated_at",
-                               F.round(F.col("embedding")[0].cast("double"), 6).alias("e1"))
+    live.stream_kb(stream, store, fx.DIM, checkpoint, scratch_path(spark, "rejects")).awaitTermination()
+    return store.read().select("vector_id", "bot_id", "role_restriction", "updated_at", F.md5("content").alias("content_md5"),
+                               *fx.vector_digest())
+
+
+# Three files, the newest changes first: an entry of file f fails in every batch from f on.
+FAILED = "lg.retries + 1 + seq % 3"
 
 
 @register("stream_apply_changes", kb_sql(f"""
-SELECT *, NULL::VARCHAR AS state FROM ({APPLIED})
-UNION ALL SELECT seq::VARCHAR, NULL, NULL, CASE WHEN seq % 10 = 9 THEN 'quarantine' ELSE 'retry' END FROM lg WHERE value >= 50""",
+SELECT *, NULL::VARCHAR AS state, NULL::BIGINT AS retries FROM ({APPLIED})
+UNION ALL BY NAME SELECT seq::VARCHAR AS vector_id, CASE WHEN {FAILED} >= 10 THEN 'quarantine' ELSE 'retry' END AS state,
+  least(10, {FAILED}) AS retries FROM lg WHERE value >= 50""",
     LOG, CHANGED.format("(SELECT * FROM lg WHERE value >= 5 AND value < 50)")))
 def stream_apply_changes(spark, sf):
-    """The change log as a stream into a replica; entries that fail are reported with their state."""
+    """The change log as a stream of three files, out of order, into a replica.
+
+    Older entries that arrive late do not overwrite newer ones; entries that fail are tried again with every batch
+    and come back with their state and tries.
+    """
     vectors = fx.kb_vectors(spark, sf)
     log = fx.change_log(vectors, fx.table(spark, sf, "events"))
     source, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "changes-checkpoint")
-    log.write.parquet(source)
+    for third in (2, 1, 0):
+        log.filter(F.col("seq") % 3 == third).coalesce(1).write.mode("append").parquet(source)
     store, dead = VectorStore(spark, scratch_path(spark, "replica"), buckets=4), scratch_path(spark, "dead")
     store.upsert(conform(vectors))
-    stream = spark.readStream.schema(log.schema).parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
     live.stream_changes(stream, store, F.col("ok"), dead, checkpoint).awaitTermination()
-    rows = store.read().select("vector_id", "bot_id", F.md5("content").alias("content_md5"),
-                               F.lit(None).cast("string").alias("state"))
-    none = F.lit(None).cast("string")
-    failed = spark.read.parquet(dead).select(F.col("seq").cast("string").alias("vector_id"), none.alias("bot_id"),
-                                             none.alias("content_md5"), "state")
-    return rows.unionByName(failed)
+    rows = _digest(store.read()).withColumns({"state": F.lit(None).cast("string"), "retries": F.lit(None).cast("long")})
+    given_up = spark.read.schema(log.schema).parquet(f"{dead}/quarantine/batch=*").withColumn("state", F.lit("quarantine"))
+    waiting = spark.read.schema(log.schema).parquet(f"{dead}/retry/batch=2").withColumn("state", F.lit("retry"))
+    failed = given_up.unionByName(waiting).select(F.col("seq").cast("string").alias("vector_id"), "state", "retries")
+    return rows.unionByName(failed, allowMissingColumns=True)

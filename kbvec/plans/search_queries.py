@@ -88,8 +88,7 @@ def flagship(spark, sf):
 SELECT vector_id AS id, round(s, 6) AS score, source_url, content_type AS type, md5(content) AS text_md5
 FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY s DESC, vector_id) AS rn
       FROM (SELECT kb.*, {COSINE} AS s FROM kb, asked
-            WHERE bot_id = 'default' AND content_type IN ('post', 'page')
-            ORDER BY s DESC, vector_id LIMIT {overfetch(K)}))
+            WHERE bot_id = 'default' AND content_type IN ('post', 'page')))
 WHERE source_url = '' OR rn = 1 ORDER BY s DESC, vector_id LIMIT {K}""", ASKED))
 def knn_dedup_source(spark, sf):
     return flagship(spark, sf).select("id", r6(), "metadata.source_url", "metadata.type",
@@ -155,9 +154,8 @@ def bm25_topk(spark, sf):
 
 
 ALPHA = hybrid.DEFAULT_ALPHA
-# The query text: the first three words of document 0.
-ASKED_TERMS = ("qt AS (SELECT DISTINCT unnest(w[1:3]) AS term FROM "
-               f"(SELECT {words_sql('text')} AS w FROM documents WHERE doc_id = 0))")
+# The query text: that of benchmark item 0.
+ASKED_TERMS = f"qt AS (SELECT DISTINCT unnest({words_sql('text')}) AS term FROM benchmark WHERE item_id = 0)"
 
 
 def _hybrid_ctes(fetch: int) -> list[str]:
@@ -201,13 +199,50 @@ def hybrid_dedup(spark, sf):
     return found.select("vector_id", r6(), "source_url")
 
 
-@register("hybrid_fallback", _top_sql(COSINE))
+@register("hybrid_fallback", _top_sql("list_inner_product(kb.embedding, qe)", "bot_id = 'support_fr'"))
 def hybrid_fallback(spark, sf):
+    """No text leg can be computed: raw vector scores."""
     found = hybrid.hybrid_search(fx.kb_vectors(spark, sf), fx.query_vector(spark, sf), fx.query_text(spark, sf),
-                                 K, text_available=False)
+                                 K, "support_fr", metric="ip", text_available=False)
     return found.select("vector_id", r6())
 
 
+# Every benchmark item with a vector row of its number: that vector and tenant, and the item's whole text.
+QUERIES = ("q AS (SELECT item_id::VARCHAR AS query_id, bot_id, embedding AS qe, text FROM benchmark "
+           "JOIN kb ON kb_id = item_id)")
+LEG = bm25.leg_size(K)
+
+
+def _scaled(name: str, source: str, out: str) -> str:
+    span = "max(s) OVER w - min(s) OVER w"
+    return (f"{name} AS (SELECT * EXCLUDE (s), CASE WHEN {span} > 0 THEN (s - min(s) OVER w) / ({span}) ELSE 1.0 END AS {out} "
+            f"FROM {source} WINDOW w AS (PARTITION BY query_id))")
+
+
+def _ranked(source: str, n: int, score: str = "s") -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round({score}, 9) DESC, "
+            f"vector_id) AS rn FROM ({source})) WHERE rn <= {n}")
+
+
+@register("hybrid_batch", kb_sql(f"""
+SELECT query_id, vector_id, round(s, 6) AS score, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vector_id))::INTEGER AS rank FROM (
+    SELECT v.query_id, v.vector_id, {ALPHA}::DOUBLE * vs + (1 - {ALPHA}::DOUBLE) * coalesce(ts, 0.0) AS s
+    FROM vn v LEFT JOIN tn t ON v.query_id = t.query_id AND v.vector_id = t.vector_id)) WHERE rank <= {K}""",
+    QUERIES, *_bm25_ctes("SELECT vector_id, content FROM kb"),
+    f"qt AS (SELECT DISTINCT query_id, bot_id, unnest({words_sql('text')}) AS term FROM q)",
+    "vl AS (" + _ranked("SELECT query_id, kb.vector_id, list_cosine_similarity(kb.embedding, qe) AS s FROM kb JOIN q ON kb.bot_id = q.bot_id "
+                        "WHERE content_type IN ('post', 'page')", LEG) + ")",
+    "tl AS (" + _ranked(f"SELECT query_id, tf.vector_id, {BM25_SUM} AS s FROM qt JOIN df USING (term) JOIN tf USING (term) "
+                        "JOIN kb ON kb.vector_id = tf.vector_id AND kb.bot_id = qt.bot_id, stats "
+                        "WHERE content_type IN ('post', 'page') GROUP BY ALL", LEG) + ")",
+    _scaled("vn", "vl", "vs"), _scaled("tn", "tl", "ts")))
+def hybrid_batch(spark, sf):
+    """All benchmark items, whole, as hybrid queries with a filter."""
+    found = hybrid.hybrid_batch(fx.kb_vectors(spark, sf), fx.benchmark_queries(spark, sf), K, spec=FLAGSHIP_FILTER)
+    return found.select("query_id", "vector_id", r6(), "rank")
+
+
 @register("minmax_normalize", kb_sql(f"""
 SELECT bot_id AS query_id, vector_id, round(CASE WHEN hi > lo THEN (s - lo) / (hi - lo) ELSE 1.0 END, 6) AS score
 FROM (SELECT *, min(s) OVER (PARTITION BY bot_id) AS lo, max(s) OVER (PARTITION BY bot_id) AS hi FROM (
@@ -223,12 +258,18 @@ def minmax_normalize(spark, sf):
 
 # --- batches -----------------------------------------------------------------------------------
 
-def _per_query_sql(k: int, queries: str, *ctes: str) -> str:
+# A few dozen vectors of the given tables.
+SELF_JOIN_BYTES = 64 * 1024
+
+
+def _per_query_sql(k: int, queries: str, *ctes: str, where: str = "true", dedup: bool = False, extra: str = "") -> str:
+    one = ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, CASE WHEN source_url = '' THEN vector_id "
+           "ELSE source_url END ORDER BY round(s, 9) DESC, vector_id) AS rn FROM a) WHERE rn = 1)" if dedup else "a")
     return kb_sql(f"""
-SELECT query_id, vector_id, round(s, 6) AS score, rank FROM (
-  SELECT query_id, vector_id, s, (row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vector_id))::INTEGER AS rank
-  FROM (SELECT query_id, kb.vector_id, list_cosine_similarity(kb.embedding, qe) AS s
-        FROM kb JOIN ({queries}) qs ON kb.bot_id = qs.bot_id)) WHERE rank <= {k}""", *ctes)
+SELECT query_id, vector_id, round(s, 6) AS score, rank{extra} FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vector_id))::INTEGER AS rank
+  FROM {one}) WHERE rank <= {k}""", *ctes, f"""a AS (SELECT query_id, kb.*, list_cosine_similarity(kb.embedding, qe) AS s
+        FROM kb JOIN ({queries}) qs ON kb.bot_id = qs.bot_id WHERE {where})""")
 
 
 CENTROIDS = ("cen AS (SELECT label::VARCHAR AS query_id, bot_id, list(x ORDER BY i) AS qe FROM ("
@@ -243,11 +284,31 @@ def knn_batch(spark, sf):
     return batch.search_batch(rows, fx.centroids(rows), K).select("query_id", "vector_id", r6(), "rank")
 
 
+@register("knn_batch_filtered", _per_query_sql(
+    K, "SELECT * FROM cen", CENTROIDS, where="content_type IN ('post', 'page')",
+    extra=", content_type AS type, source_url, md5(content) AS text_md5"))
+def knn_batch_filtered(spark, sf):
+    """The mean vector of every label under a filter, with match rows."""
+    rows = fx.kb_vectors(spark, sf)
+    found = batch.search_batch(rows, fx.centroids(rows), K, spec=FLAGSHIP_FILTER)
+    shaped = to_matches(batch.with_matches(found.withColumnRenamed("rank", "n"), rows))
+    return shaped.join(found.select("query_id", F.col("vector_id").alias("id"), "rank"), ["query_id", "id"]).select(
+        "query_id", F.col("id").alias("vector_id"), r6(), "rank", "metadata.type", "metadata.source_url",
+        F.md5("metadata.text").alias("text_md5"))
+
+
+@register("knn_batch_dedup", _per_query_sql(K, "SELECT * FROM cen", CENTROIDS, dedup=True))
+def knn_batch_dedup(spark, sf):
+    """The mean vector of every label; of a URL only the best chunk."""
+    rows = _plain(spark, sf)
+    return batch.search_batch(rows, fx.centroids(rows), K, dedup=True).select("query_id", "vector_id", r6(), "rank")
+
+
 @register("knn_selfjoin", _per_query_sql(K, "SELECT vector_id AS query_id, bot_id, embedding AS qe FROM kb"))
 def knn_selfjoin(spark, sf):
-    """Every vector as a query against its whole tenant."""
+    """Every vector as a query against its whole tenant, in chunks of a size that cuts every tenant."""
     rows = _plain(spark, sf)
-    found = batch.knn_join(rows, rows.withColumnRenamed("vector_id", "query_id"), K)
+    found = batch.knn_join(rows, rows.withColumnRenamed("vector_id", "query_id"), K, chunk_bytes=SELF_JOIN_BYTES)
     return found.select("query_id", "vector_id", r6(), "rank")
 
 
@@ -258,14 +319,14 @@ FROM events e JOIN top t ON t.asker = e.user_id""", """top AS (
     SELECT asker, vector_id, s, (row_number() OVER (PARTITION BY asker ORDER BY round(s, 9) DESC, vector_id))::INTEGER AS rank
     FROM (SELECT q.kb_id AS asker, kb.vector_id, list_cosine_similarity(kb.embedding, q.embedding) AS s
           FROM kb JOIN kb q ON kb.bot_id = q.bot_id
-          WHERE q.kb_id IN (SELECT user_id FROM events)))
+          WHERE q.kb_id IN (SELECT user_id FROM events) AND kb.content_type IN ('post', 'page')))
   WHERE rank <= 5)"""))
 def query_batch_collapse(spark, sf):
     """Every event asks for the neighbours of its user's vector; equal requests are searched once."""
     rows = _plain(spark, sf)
     asked = fx.table(spark, sf, "events").select(F.col("event_id").alias("query_id"), F.col("user_id").alias("kb_id"))
     asked = asked.join(rows.select("kb_id", "bot_id", "embedding"), "kb_id").drop("kb_id")
-    found = batch.search_collapsed(rows, asked, 5)
+    found = batch.search_collapsed(rows, asked, 5, spec=FLAGSHIP_FILTER)
     return found.select(F.col("query_id").alias("request"), "vector_id", "rank", r6())
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kbvec.operators import lookup, mutate, replicate
 from kbvec.plans import fixtures as fx
-from kbvec.plans.registry import kb_sql, register
+from kbvec.plans.registry import kb_sql, register, vector_sql
 from kbvec.schema import conform
 from kbvec.session import scratch_path
 from kbvec.sources.store import VectorStore
@@ -19,15 +19,25 @@ def _table(spark, sf):
 # --- writes ------------------------------------------------------------------------------------
 
 # The log: what to put in or take out, by event; the last entry per id wins.
-LOG = """lg AS (SELECT e.event_id AS seq, kb.vector_id, kb.bot_id,
+LOG = """lg AS (SELECT e.event_id AS seq, kb.* EXCLUDE (content),
   CASE WHEN e.event_type = 'error' THEN 'delete' ELSE 'upsert' END AS op,
-  e.event_type || ' ' || e.event_id AS content, e.ts, e.value, e.props
+  e.event_type || ' ' || e.event_id AS content, e.ts, e.value, e.props, e.event_id % 10 AS retries
   FROM events e JOIN kb ON kb.kb_id = e.user_id)"""
 
 
-@register("upsert_vectors", kb_sql("""
-SELECT vector_id, bot_id, md5(content) AS content_md5 FROM kb WHERE vector_id NOT IN (SELECT vector_id FROM up)
-UNION ALL SELECT vector_id, bot_id, md5(content) FROM up""", LOG, """up AS (
+def _digest(rows, *more):
+    """All columns of a vector row, long ones as digests."""
+    return rows.select(*more, "vector_id", "bot_id", "source_url", "role_restriction", "content_type", "chunk_index",
+                       "total_chunks", "is_chunked", F.md5("content").alias("content_md5"), *fx.vector_digest())
+
+
+DIGEST = f"""vector_id, bot_id, source_url, role_restriction, content_type, chunk_index, total_chunks, is_chunked,
+  md5(content) AS content_md5, {vector_sql()}"""
+
+
+@register("upsert_vectors", kb_sql(f"""
+SELECT {DIGEST} FROM kb WHERE vector_id NOT IN (SELECT vector_id FROM up)
+UNION ALL SELECT {DIGEST} FROM up""", LOG, """up AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vector_id ORDER BY seq DESC) AS rn FROM lg WHERE op = 'upsert')
   WHERE rn = 1)"""))
 def upsert_vectors(spark, sf):
@@ -37,37 +47,37 @@ def upsert_vectors(spark, sf):
     store = VectorStore(spark, scratch_path(spark, "store"), buckets=4)
     store.upsert(conform(vectors))
     store.upsert(log.filter(F.col("op") == "upsert"), "seq")
-    return store.read().select("vector_id", "bot_id", F.md5("content").alias("content_md5"))
+    return _digest(store.read())
 
 
-@register("delete_by_ids", kb_sql("""
-SELECT vector_id, bot_id FROM kb
+@register("delete_by_ids", kb_sql(f"""
+SELECT {DIGEST} FROM kb
 WHERE NOT (bot_id = 'default' AND kb_id IN (SELECT user_id FROM events WHERE event_type = 'error'))"""))
 def delete_by_ids(spark, sf):
     """The rows of every user with an error go, in the default tenant; other tenants' rows stay."""
     vectors = fx.kb_vectors(spark, sf)
     users = fx.table(spark, sf, "events").filter(F.col("event_type") == "error").select(F.col("user_id").alias("kb_id"))
     ids = vectors.join(users.distinct(), "kb_id").select("vector_id")
-    return mutate.delete_by_ids(vectors, ids).select("vector_id", "bot_id")
+    return _digest(mutate.delete_by_ids(vectors, ids))
 
 
 URL = "https://kb.example/d/1"
 
 
 @register("delete_by_source_url", kb_sql(
-    f"SELECT vector_id, bot_id FROM kb WHERE NOT (bot_id = 'default' AND source_url = '{URL}')"))
+    f"SELECT {DIGEST} FROM kb WHERE NOT (bot_id = 'default' AND source_url = '{URL}')"))
 def delete_by_source_url(spark, sf):
-    return mutate.delete_by_url(_table(spark, sf), URL).select("vector_id", "bot_id")
+    return _digest(mutate.delete_by_url(_table(spark, sf), URL))
 
 
-@register("bulk_delete", kb_sql("""
-SELECT vector_id, bot_id FROM kb WHERE NOT (bot_id = 'default' AND (
+@register("bulk_delete", kb_sql(f"""
+SELECT {DIGEST} FROM kb WHERE NOT (bot_id = 'default' AND (
   source_url IN (SELECT source_url FROM en WHERE is_chunked AND source_url <> '')
   OR vector_id IN (SELECT vector_id FROM en WHERE NOT (is_chunked AND source_url <> ''))))""",
     "en AS (SELECT * FROM kb WHERE label = 9 AND content_type <> 'product')"))
 def bulk_delete(spark, sf):
     vectors = fx.kb_vectors(spark, sf)
-    return mutate.bulk_delete(vectors, fx.delete_entries(vectors)).select("vector_id", "bot_id")
+    return _digest(mutate.bulk_delete(vectors, fx.delete_entries(vectors)))
 
 
 ALIVE = "alive AS (SELECT DISTINCT CASE WHEN source_url = '' THEN 'kb_' || kb_id ELSE md5(source_url) END AS base FROM kb WHERE label <> 3)"
@@ -91,11 +101,10 @@ def orphan_vectors(spark, sf):
 
 
 @register("compact", kb_sql(f"""
-SELECT vector_id FROM kb WHERE vector_id NOT IN (
-  SELECT vector_id FROM kb WHERE {ORPHAN} ORDER BY vector_id LIMIT 5000)""", ALIVE))
+SELECT {DIGEST} FROM kb WHERE NOT ({ORPHAN})""", ALIVE))
 def compact(spark, sf):
-    vectors = fx.kb_vectors(spark, sf, content=False)
-    return mutate.compact(vectors, _alive(vectors)).select("vector_id")
+    vectors = fx.kb_vectors(spark, sf)
+    return _digest(mutate.compact(vectors, _alive(vectors)))
 
 
 # --- lookups -----------------------------------------------------------------------------------
@@ -107,9 +116,9 @@ def count_by_tenant(spark, sf):
 
 @register("list_ids_prefix", kb_sql("""
 SELECT vector_id FROM kb WHERE bot_id = 'default' AND starts_with(vector_id, 'kb_')
-ORDER BY updated_at DESC, vector_id LIMIT 1000"""))
+ORDER BY updated_at DESC, vector_id"""))
 def list_ids_prefix(spark, sf):
-    return lookup.list_ids(fx.kb_vectors(spark, sf, content=False), limit=5000, prefix="kb_")
+    return lookup.list_ids(fx.kb_vectors(spark, sf, content=False), limit=None, prefix="kb_")
 
 
 @register("list_ids_page", kb_sql("""
@@ -132,12 +141,12 @@ def fetch_by_ids(spark, sf):
 
 
 @register("chunk_reassembly", kb_sql("""
-SELECT bot_id, source_url, chunk_index // 1000 AS part, 0 AS sub, count(*) AS chunks,
+SELECT bot_id, source_url, count(*) AS chunks,
   md5(string_agg(content, chr(10) ORDER BY chunk_index)) AS text_md5
 FROM kb WHERE is_chunked GROUP BY ALL"""))
 def chunk_reassembly(spark, sf):
     return lookup.reassemble(fx.kb_vectors(spark, sf)).select(
-        "bot_id", "source_url", "part", "sub", "chunks", F.md5("text").alias("text_md5"))
+        "bot_id", "source_url", "chunks", F.md5("text").alias("text_md5"))
 
 
 @register("storage_estimate", kb_sql(
@@ -167,18 +176,18 @@ def copy_batch(spark, sf):
     return replicate.copy_state(batch, 0, vectors.count(), "8")
 
 
-@register("copy_missing", kb_sql("""
-SELECT vector_id, bot_id, label = 7 AS copied FROM kb""", REPLICA))
+@register("copy_missing", kb_sql(f"""
+SELECT {DIGEST}, label = 7 AS copied FROM (SELECT * FROM rp UNION ALL SELECT * FROM kb WHERE label = 7)""", REPLICA))
 def copy_missing(spark, sf):
     vectors = fx.kb_vectors(spark, sf)
     replica = fx.replica(vectors).withColumn("copied", F.lit(False))
     whole = replicate.copy_missing(vectors.withColumn("copied", F.lit(True)), replica)
-    return whole.select("vector_id", "bot_id", "copied")
+    return _digest(whole, "copied")
 
 
 CHANGED = """last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vector_id ORDER BY seq DESC) AS rn FROM {0}) WHERE rn = 1)"""
-APPLIED = """SELECT vector_id, bot_id, md5(content) AS content_md5 FROM kb WHERE vector_id NOT IN (SELECT vector_id FROM last)
-UNION ALL SELECT vector_id, bot_id, md5(content) FROM last WHERE op = 'upsert'"""
+APPLIED = f"""SELECT {DIGEST} FROM kb WHERE vector_id NOT IN (SELECT vector_id FROM last)
+UNION ALL SELECT {DIGEST} FROM last WHERE op = 'upsert'"""
 
 
 @register("apply_change_log", kb_sql(APPLIED, LOG, CHANGED.format("lg")))
@@ -186,18 +195,17 @@ def apply_change_log(spark, sf):
     vectors = fx.kb_vectors(spark, sf)
     log = fx.change_log(vectors, fx.table(spark, sf, "events"))
     out = replicate.apply_change_log(conform(vectors), log)
-    return out.select("vector_id", "bot_id", F.md5("content").alias("content_md5"))
+    return _digest(out)
 
 
 @register("drain_step", """
 SELECT seq, state, CASE WHEN state IN ('retry', 'quarantine') THEN retries + 1 ELSE retries END AS retries FROM (
-  SELECT *, CASE WHEN rn > 500 THEN 'waiting' WHEN value < 5 THEN 'dropped' WHEN value < 50 THEN 'done'
+  SELECT *, CASE WHEN value < 5 THEN 'dropped' WHEN value < 50 THEN 'done'
                  WHEN retries + 1 >= 10 THEN 'quarantine' ELSE 'retry' END AS state
-  FROM (SELECT event_id AS seq, value, event_id % 10 AS retries, row_number() OVER (ORDER BY ts, event_id) AS rn
-        FROM events WHERE event_type = 'error'))""")
+  FROM (SELECT event_id AS seq, value, event_id % 10 AS retries FROM events WHERE event_type = 'error'))""")
 def drain_step(spark, sf):
     waiting = fx.pending(fx.table(spark, sf, "events"))
-    return replicate.drain_step(waiting, F.col("ok"), cap=500).select("seq", "state", "retries")
+    return replicate.drain_step(waiting, F.col("ok")).select("seq", "state", "retries")
 
 
 def _signature_sql(source: str) -> str:
@@ -206,13 +214,9 @@ def _signature_sql(source: str) -> str:
             f"FROM {source} GROUP BY bot_id")
 
 
-@register("tenant_signature", kb_sql(f"""
-SELECT s.bot_id, s.rows, s.sig, l.sig AS id_list_sig FROM ({_signature_sql('kb')}) s JOIN (
-  SELECT bot_id, md5(string_agg(vector_id, ',' ORDER BY vector_id)) AS sig FROM kb GROUP BY bot_id) l USING (bot_id)"""))
+@register("tenant_signature", kb_sql(_signature_sql("kb")))
 def tenant_signature(spark, sf):
-    vectors = fx.kb_vectors(spark, sf, content=False)
-    listed = replicate.id_list_signature(vectors).select("bot_id", F.col("sig").alias("id_list_sig"))
-    return replicate.tenant_signature(vectors).join(listed, "bot_id")
+    return replicate.tenant_signature(fx.kb_vectors(spark, sf, content=False))
 
 
 DRIFT = (f"dr AS (SELECT coalesce(p.bot_id, r.bot_id) AS bot_id, coalesce(p.rows, 0) AS primary_rows, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import reduce
@@ -41,19 +42,32 @@ def build_session(app: str = "kbvec", master: str | None = None, **conf) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where neither the settings nor the context name one (tests, a laptop) is a local folder made.
+    Where neither the settings nor the context name one, a local folder is made if the master is local (tests, a
+    laptop); on a cluster that is an error, as executors would not see each other's files.
     """
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="kbvec-"))
         base = context.getCheckpointDir()
     return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/kbvec/{label}-{uuid.uuid4().hex}"
+    """A fresh, unused path below this application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/kbvec/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put below the shared folder, once the results that read it are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

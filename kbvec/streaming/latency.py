@@ -5,16 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, GroupedData, Window
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from kbvec.operators.metrics import MAX_SAMPLES, QUOTA_PER_MINUTE, percentiles
+from kbvec.operators.metrics import QUOTA_PER_MINUTE, percentiles, sample_count
 
 SHARDS = 8
-SAMPLE_OUT = "namespace long, shard int, ts array<long>, ms array<long>, id array<long>"
-SAMPLE_STATE = "ts array<long>, ms array<long>, id array<long>"
 
 
 def _windowed(log: DataFrame, length: str, slide: str | None, delay: str) -> GroupedData:
@@ -45,51 +43,54 @@ def quota_windows(log: DataFrame, limit: int = QUOTA_PER_MINUTE, length: str = "
             .select("namespace", _edge("start"), "requests", (F.col("requests") - limit).alias("refused")))
 
 
-def _keep_newest(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    parts = [pd.DataFrame(dict(zip(("ts", "ms", "id"), state.get)))] if state.exists else []
+def _add_counts(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    counts = dict(zip(*state.get)) if state.exists else {}
     for frame in frames:
-        parts.append(frame[["ts", "ms", "id"]])
-        merged = pd.concat(parts).sort_values(["ts", "id"], ascending=False).head(MAX_SAMPLES)
-        parts = [merged]
-    kept = parts[0]
-    lists = [kept[c].astype("int64").tolist() for c in ("ts", "ms", "id")]
-    state.update(tuple(lists))
-    yield pd.DataFrame({"namespace": [key[0]], "shard": [key[1]], "ts": [lists[0]],
-                        "ms": [lists[1]], "id": [lists[2]]})
+        for ms, n in frame["ms"].value_counts().items():
+            counts[int(ms)] = counts.get(int(ms), 0) + int(n)
+    lists = list(counts), list(counts.values())
+    state.update(lists)
+    yield pd.DataFrame({"namespace": [key[0]], "shard": [key[1]], "ms": [lists[0]], "n": [lists[1]]})
 
 
 def rolling_samples(log: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Newest samples per (namespace, shard), as a stateful stream.
+    """How often each latency has occurred, per (namespace, shard), as a stateful stream.
 
-    A busy namespace is spread over ``shards`` keys; the newest samples of the whole are among the
-    newest of its shards, so merging them afterwards is exact.
+    The state grows with the different latencies, not with the samples. A busy namespace is spread over ``shards``
+    keys, which add up.
     """
+    kind = log.schema["namespace"].dataType.simpleString()
     keyed = log.select(
         "namespace", F.pmod(F.xxhash64("event_id"), F.lit(shards)).cast("int").alias("shard"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"),
-        F.greatest(F.lit(0), F.col("latency_ms")).cast("long").alias("ms"),
-        F.col("event_id").alias("id"))
+        F.greatest(F.lit(0), F.col("latency_ms")).cast("long").alias("ms"))
     return keyed.groupBy("namespace", "shard").applyInPandasWithState(
-        _keep_newest, SAMPLE_OUT, SAMPLE_STATE, "update", GroupStateTimeout.NoTimeout)
+        _add_counts, f"namespace {kind}, shard int, ms array<long>, n array<long>", "ms array<long>, n array<long>",
+        "update", GroupStateTimeout.NoTimeout)
 
 
 def write_samples(samples: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the newest counts of every key below ``path``: a batch writes a whole snapshot, and the one before the
+    last is deleted."""
+    spark = samples.sparkSession
+    jvm_path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        before = f"{path}/snapshot={batch_id - 1}"
+        if batch_id and fs.exists(jvm_path(before)):
+            keys = ["namespace", "shard"]
+            old = spark.read.schema(batch.schema).parquet(before)
+            batch = old.join(batch.select(*keys), keys, "left_anti").select(*batch.columns).unionByName(batch)
+        batch.write.mode("overwrite").parquet(f"{path}/snapshot={batch_id}")
+        fs.delete(jvm_path(f"{path}/snapshot={batch_id - 2}"), True)
 
     return (samples.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def rolling_percentiles(written: DataFrame, window_seconds: int | None = None) -> DataFrame:
-    """p50, p95, p99 per namespace over its newest samples, from what ``write_samples`` wrote."""
-    newest = Window.partitionBy("namespace", "shard").orderBy(F.col("batch").desc())
-    last = written.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") == 1)
-    flat = last.select("namespace", F.inline(F.arrays_zip("ts", "ms", "id")))
-    if window_seconds:
-        latest = Window.partitionBy("namespace")
-        flat = flat.filter(F.col("ts") >= F.max("ts").over(latest) - F.lit(window_seconds * 1_000_000))
-    order = Window.partitionBy("namespace").orderBy(F.col("ts").desc(), F.col("id").desc())
-    kept = flat.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= MAX_SAMPLES)
-    return (kept.groupBy("namespace").agg(F.array_sort(F.collect_list("ms")).alias("s"))
-            .select("namespace", *percentiles(F.col("s")), F.size("s").alias("sample_count")))
+def rolling_percentiles(written: DataFrame) -> DataFrame:
+    """p50, p95, p99 per namespace over all its samples, from what ``write_samples`` wrote."""
+    last = written.filter(F.col("snapshot") == written.agg(F.max("snapshot")).scalar())
+    each = last.select("namespace", F.inline(F.arrays_zip("ms", "n"))).groupBy("namespace", "ms").agg(F.sum("n").alias("n"))
+    counts = each.groupBy("namespace").agg(F.array_sort(F.collect_list(F.struct("ms", "n"))).alias("counts"))
+    return counts.select("namespace", *percentiles(F.col("counts")), sample_count(F.col("counts")).alias("sample_count"))

@@ -57,7 +57,7 @@ def main(sf: str, names: list[str]) -> int:
     from kbvec.session import build_session
 
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": 8, "spark.ui.enabled": "false",
-                                                "spark.driver.memory": "8g"})
+                                                "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, failed = duck(sf), oracle_sql(), 0
     for name, query in queries().items():

@@ -73,7 +73,7 @@ def test_packed_vectors(spark, metric):
     assert packed.columns == df.columns and packed.schema["embedding"].dataType.typeName() == "binary"
     want = brute(rows, rows, 5, metric)
     agree(collected(batch.search_batch(packed, as_queries(df), 5, metric)), want)
-    agree(collected(batch.knn_join(packed, as_queries(packed), 5, metric, cell_rows=20)), want)
+    agree(collected(batch.knn_join(packed, as_queries(packed), 5, metric, chunk_bytes=700)), want)
 
 
 def test_search_batch_without_queries(spark):
@@ -81,17 +81,78 @@ def test_search_batch_without_queries(spark):
     assert batch.search_batch(df, as_queries(df).limit(0), 3).count() == 0
 
 
-@pytest.mark.parametrize("metric", ["cosine", "l2sq"])
-@pytest.mark.parametrize("cell_rows", [10_000, 40, 15])
-def test_knn_join(spark, metric, cell_rows):
+@pytest.mark.parametrize("metric, chunk_bytes", [("cosine", 1 << 20), ("cosine", 1000), ("l2sq", 2000), ("ip", 1500)])
+def test_knn_join(spark, metric, chunk_bytes):
     df, rows = make(spark)
-    got = collected(batch.knn_join(df.repartition(4), as_queries(df), 6, metric, cell_rows=cell_rows))
+    got = collected(batch.knn_join(df.repartition(4), as_queries(df), 6, metric, chunk_bytes=chunk_bytes))
     agree(got, brute(rows, rows, 6, metric))
 
 
+def test_knn_join_chunks_are_bounded(spark):
+    """A tenant with two thirds of the rows is cut into chunks; none is much larger than asked for."""
+    df, _ = make(spark, 3000)
+    packed = batch.pack(df)
+    plan = {r["bot_id"]: r["v_chunks"] for r in batch._chunks(packed, 3200, "v_chunks").collect()}
+    assert plan["hot"] == 20 and max(plan[t] for t in plan if t != "hot") <= 4
+    sizes = packed.filter("bot_id = 'hot'").groupBy(F.pmod(F.xxhash64("vector_id"), F.lit(20)).alias("v")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 2 * 100
+
+
+def by_source(rows, urls, queries, k):
+    """Brute force, best row per source."""
+    full, out = brute(rows, queries, len(rows), "cosine"), {}
+    for qid, _, _ in queries:
+        seen, rank = set(), 0
+        for n in range(1, len(rows) + 1):
+            if (qid, n) in full and rank < k:
+                source = urls.get(full[qid, n][0]) or full[qid, n][0]
+                if source not in seen:
+                    seen.add(source)
+                    rank += 1
+                    out[qid, rank] = full[qid, n]
+    return out
+
+
+@pytest.mark.parametrize("block", [2048, 30])
+def test_batch_with_filter_and_dedup(spark, block):
+    df, rows = make(spark, 150)
+    number = F.substring("vector_id", 2, 9).cast("int")
+    url = F.when(number % 4 == 0, "").otherwise(F.concat(F.lit("u"), (number / 7).cast("int").cast("string")))
+    typed = df.withColumns({"source_url": url, "content_type": F.when(number % 5 == 0, "page").otherwise("post")})
+    urls = {r["vector_id"]: r["source_url"] for r in typed.collect()}
+    got = collected(batch.search_batch(typed, as_queries(df), 6, dedup=True, block=block))
+    agree(got, by_source(rows, urls, rows, 6))
+    posts = [r for r in rows if int(r[0][1:]) % 5]
+    got = collected(batch.search_batch(typed, as_queries(df), 6, spec={"type": {"$eq": "post"}}, block=block))
+    agree(got, brute(posts, rows, 6, "cosine"))
+    same = collected(batch.search_collapsed(typed, as_queries(df), 6, spec={"type": {"$eq": "post"}}).drop("key"))
+    agree(same, brute(posts, rows, 6, "cosine"))
+
+
+def test_mixed_dimensions_are_refused(spark):
+    df = spark.createDataFrame([("a", "t", [1.0, 2.0, 3.0]), ("b", "t", [4.0])], "vector_id string, bot_id string, embedding array<float>")
+    asked = spark.createDataFrame([("q", "t", [1.0, 2.0])], "query_id string, bot_id string, embedding array<double>")
+    with pytest.raises(Exception, match="1 to 3 components"):
+        batch.search_batch(df.coalesce(1), asked, 2).collect()
+
+
+def test_hybrid_batch_equals_single_searches(spark, vectors):
+    asked = spark.createDataFrame([("1", "default", [1.0, 0.2, 0.0], "gamma beta"), ("2", "default", [0.0, 1.0, 0.0], "delta"),
+                                   ("3", "other", [1.0, 0.0, 0.0], "alpha"), ("4", "default", [1.0, 0.0, 0.0], None),
+                                   ("5", "default", [0.3, 0.2, 0.0], "absent")],
+                                  "query_id string, bot_id string, embedding array<double>, query_text string")
+    for dedup in (False, True):
+        for spec in (None, {"type": {"$in": ["post", "page"]}}):
+            got = collected(hybrid.hybrid_batch(vectors, asked, 3, spec=spec, dedup=dedup))
+            for r in asked.collect():
+                one = hybrid.hybrid_search(vectors, r["embedding"], r["query_text"], 3, r["bot_id"], spec, dedup=dedup).collect()
+                agree({k: v for k, v in got.items() if k[0] == r["query_id"]},
+                      {(r["query_id"], i): (x["vector_id"], x["score"]) for i, x in enumerate(one, 1)})
+
+
 def test_knn_join_with_more_neighbours_than_rows(spark):
     df, rows = make(spark, 60)
-    got = collected(batch.knn_join(df, as_queries(df), 50, cell_rows=10))
+    got = collected(batch.knn_join(df, as_queries(df), 50, chunk_bytes=400))
     agree(got, brute(rows, rows, 50, "cosine"))
 
 
@@ -160,6 +221,13 @@ def test_bm25_in_blocks(spark):
     assert collected(bm25.bm25_batch(docs, asked, 8, block=2)) == collected(bm25.bm25_batch(docs, asked, 8))
 
 
+def test_bm25_counts_texts_once_for_all_blocks(spark, monkeypatch):
+    runs, stage = [], bm25._stage
+    monkeypatch.setattr(bm25, "_stage", lambda *a: runs.append(1) or stage(*a))
+    bm25.bm25_batch(corpus(spark), spark.createDataFrame(ASKED, "query_id string, query_text string"), 8, block=1).count()
+    assert len(runs) == 1
+
+
 def test_bm25_value(spark):
     got = bm25.bm25_top(corpus(spark), "birds", 5).collect()
     n, df, dl, avgdl = 27, 1, 1, (3 + 6 + 1 + 3 + 3 + 60) / 27
@@ -178,6 +246,11 @@ def test_text_index_equals_live_text(spark, vectors, tmp_path):
             stored = textindex.index_top(spark, path, text, 5, "default", spec).collect()
             assert [r["vector_id"] for r in stored] == [r["vector_id"] for r in live]
             assert [r["score"] for r in stored] == pytest.approx([r["score"] for r in live])
+    textindex.build_index(vectors, path + "-7", buckets=4, version=7)
+    assert textindex.index_top(spark, path + "-7", "delta", 5, version=7).count() > 0
+    for stale in (None, 8):
+        with pytest.raises(ValueError, match="version 7"):
+            textindex.index_top(spark, path + "-7", "delta", 5, version=stale)
     q = [1.0, 0.2, 0.0]
     live = hybrid.hybrid_search(vectors, q, "gamma beta", 5).collect()
     stored = hybrid.hybrid_search(vectors, q, "gamma beta", 5, text_index=path).collect()

@@ -63,12 +63,15 @@ def test_bulk_delete_and_compaction(spark, vectors, tmp_path):
     alive = spark.createDataFrame([(1, "nothing")], "id long, source_url string")
     now = dt.datetime(2024, 1, 1)
     assert store.compact(alive, 3, last_load=now, now=now)["ok"] is False
-    assert store.compact(alive, 3) == {"ok": True, "deleted": 3} and set(held(store)) == {"z"}
+    assert store.compact(alive)["ok"] is False  # the store itself was written just now
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=2)
+    assert store.compact(alive, 3, now=later) == {"ok": True, "deleted": 3} and set(held(store)) == {"z"}
 
 
 def test_restore(spark, vectors, tmp_path):
     store = VectorStore(spark, str(tmp_path / "s"), buckets=2)
-    store.upsert(rows(spark, ("a1", "default", "other text"), ("own", "default", "stays")))
+    own = rows(spark, ("a1", "default", "other text"), ("own", "default", "stays"))
+    store.upsert(own.withColumn("embedding", F.array(F.lit(1.0), F.lit(2.0), F.lit(0.0))))
     write_vectors(vectors, str(tmp_path / "backup"))
     assert store.restore(str(tmp_path / "backup")) == 7
     assert held(store)["a1"] == ("default", "alpha beta") and "own" in held(store) and len(held(store)) == 8
@@ -86,7 +89,49 @@ def test_version_conflict(spark, tmp_path):
     store = VectorStore(spark, str(tmp_path / "s"))
     store.upsert(rows(spark, ("a", "t", "1")))
     with pytest.raises(RuntimeError, match="someone else"):
-        store._publish(1, {})
+        store._publish(1, 1, {})
+
+
+def test_interleaved_writers_lose_nothing(spark, tmp_path):
+    """Another writer publishes between this one's data and its version: this one fails, the other's rows stay."""
+    store, other = (VectorStore(spark, str(tmp_path / "s"), buckets=1) for _ in range(2))
+    store.upsert(rows(spark, ("a", "t", "1")))
+    publish = store._publish
+
+    def late(*args):
+        other.upsert(rows(spark, ("b", "t", "theirs")))
+        publish(*args)
+
+    store._publish = late
+    with pytest.raises(RuntimeError, match="someone else"):
+        store.upsert(rows(spark, ("c", "t", "mine")))
+    store._publish = publish
+    assert set(held(store)) == {"a", "b"}
+    store.upsert(rows(spark, ("c", "t", "mine")))
+    assert set(held(store)) == {"a", "b", "c"}
+
+
+def test_dimension_of_the_store(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "s"), buckets=2)
+    store.upsert(rows(spark, ("a", "t", "1")))
+    two = rows(spark, ("b", "t", "2")).withColumn("embedding", F.array(F.lit(1.0), F.lit(2.0)))
+    for write in (store.upsert, lambda r: store.apply_changes(r.withColumn("op", F.lit("upsert")).withColumn("seq", F.lit(1)))):
+        with pytest.raises(ValueError, match="dimension"):
+            write(two)
+    with pytest.raises(ValueError, match="dimension"):
+        store.upsert(rows(spark, ("c", "t", "1")).unionByName(two))
+    assert set(held(store)) == {"a"} and store.versions() == [1]
+
+
+def test_a_write_reads_only_its_buckets(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "s"), buckets=64)
+    store.upsert(rows(spark, *[(f"v{i}", f"t{i % 3}", "1") for i in range(200)]))
+    one_id = rows(spark, ("v7", "t1", "2"))
+    files = store.around(one_id).inputFiles()
+    assert 0 < len(files) <= 3 and len({f.split("bucket=")[1].split("/")[0] for f in files}) == 1
+    for i in range(4):
+        store.upsert(rows(spark, (f"v{i}", "t0", "3")))
+    assert store.read()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_int8_store(spark, tmp_path):
@@ -117,7 +162,7 @@ def test_stream_ignores_replays_and_older_rows(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
-        live.stream_kb(stream, store, 1, str(tmp_path / "c")).awaitTermination()
+        live.stream_kb(stream, store, 1, str(tmp_path / "c"), str(tmp_path / "rejects")).awaitTermination()
 
     kb_batch(spark, source, (1, "u", "new", day + dt.timedelta(hours=2)), (2, "", "only", day), (1, "u", "old", day))
     run()
@@ -126,6 +171,13 @@ def test_stream_ignores_replays_and_older_rows(spark, tmp_path):
     kb_batch(spark, source, (1, "u", "newest", day + dt.timedelta(hours=3)))
     run()
     assert sorted(c for _, c in held(store).values()) == ["newest", "same time"]
+    # A row of another length is set aside; the others of its batch arrive.
+    kb_batch(spark, source, (3, "", "three", day))
+    bad = spark.read.parquet(source).limit(1).withColumn("embedding_vector", F.lit("a:2:{i:0;d:1;i:1;d:1;}"))
+    bad.withColumn("id", F.lit(9).cast("long")).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert "three" in {c for _, c in held(store).values()}
+    assert [r["source_row"] for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == [9]
 
 
 def requests(spark, path, n=600, files=4):
@@ -159,15 +211,15 @@ def test_windows_equal_batch(spark, tmp_path, build):
     assert want.count() > 5 and same(spark.read.schema(windows.schema).parquet(out), want)
 
 
-def test_rolling_percentiles_over_several_batches(spark, tmp_path, monkeypatch):
+def test_rolling_percentiles_over_several_batches(spark, tmp_path):
     df, stream = requests(spark, str(tmp_path / "in"), n=4000)
     out = str(tmp_path / "out")
     latency.write_samples(latency.rolling_samples(stream), out, str(tmp_path / "c")).awaitTermination()
     got = {r["namespace"]: tuple(r)[1:] for r in latency.rolling_percentiles(spark.read.parquet(out)).collect()}
     data = df.collect()
+    assert len(list((tmp_path / "out").glob("snapshot=*"))) <= 2
     for namespace in range(4):
-        newest = sorted((r["ts"], r["event_id"], r["latency_ms"]) for r in data if r["namespace"] == namespace)[-500:]
-        v = sorted(x[2] for x in newest)
+        v = sorted(r["latency_ms"] for r in data if r["namespace"] == namespace)
         n = len(v)
         assert got[namespace] == (v[int(n * .5)], v[min(n - 1, int(n * .95))], v[min(n - 1, int(n * .99))], n)
 
@@ -185,7 +237,46 @@ def test_stream_changes(spark, tmp_path):
     stream = spark.readStream.schema(log.schema).parquet(source)
     live.stream_changes(stream, store, F.col("ok"), dead, str(tmp_path / "c")).awaitTermination()
     assert held(store) == {"a": ("t", "2")}
-    failed = {r["vector_id"]: (r["state"], r["retries"]) for r in spark.read.parquet(dead).collect()}
+    failed = {r["vector_id"]: (s, r["retries"]) for s in ("retry", "quarantine")
+              for r in spark.read.parquet(f"{dead}/{s}").collect()}
     assert failed == {"c": ("retry", 1), "d": ("quarantine", 10)}
     assert replicate.latest_changes(log).count() == 4
     assert conform(store.read()).count() == 1
+
+
+def changes(spark, path, *data):
+    df = spark.createDataFrame(list(data), "seq long, vector_id string, op string, content string, retries int, ok boolean")
+    whole = df.select("*", F.lit("t").alias("bot_id"), F.array(F.lit(1.0)).alias("embedding"), F.lit("p").alias("payload"),
+                      F.col("seq").alias("queued_at"))
+    whole.coalesce(1).write.mode("append").parquet(path)
+    return whole.schema
+
+
+def test_older_changes_that_arrive_late_are_skipped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "MERGE_EVERY", 2)
+    store, source, dead = VectorStore(spark, str(tmp_path / "s"), buckets=2), str(tmp_path / "in"), str(tmp_path / "dead")
+
+    def run(*data):
+        schema = changes(spark, source, *data)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        live.stream_changes(stream, store, F.col("ok"), dead, str(tmp_path / "c")).awaitTermination()
+
+    run((9, "a", "upsert", "new", 0, True), (8, "b", "delete", "", 0, True))
+    run((3, "a", "upsert", "old", 0, True), (4, "b", "upsert", "old", 0, True))
+    assert held(store) == {"a": ("t", "new")}
+    run((5, "a", "upsert", "old", 0, True), (10, "c", "upsert", "c", 0, True))
+    run((2, "c", "delete", "", 0, True), (7, "b", "upsert", "old", 0, True), (11, "b", "upsert", "again", 0, True))
+    assert held(store) == {"a": ("t", "new"), "b": ("t", "again"), "c": ("t", "c")}
+
+
+def test_failed_changes_are_tried_until_they_are_set_aside(spark, tmp_path):
+    store, source, dead = VectorStore(spark, str(tmp_path / "s"), buckets=1), str(tmp_path / "in"), str(tmp_path / "dead")
+    seen = []
+    for i in range(4):
+        schema = changes(spark, source, *([(1, "a", "upsert", "x", 7, False)] if i == 0 else [(i + 1, "b", "upsert", str(i), 0, True)]))
+        stream = spark.readStream.schema(schema).parquet(source)
+        live.stream_changes(stream, store, F.col("ok"), dead, str(tmp_path / "c")).awaitTermination()
+        waiting = [r["retries"] for r in spark.read.schema(schema).parquet(f"{dead}/retry/batch={i}").collect()]
+        aside = [r["retries"] for r in spark.read.schema(schema).parquet(f"{dead}/quarantine/batch={i}").collect()]
+        seen.append((waiting, aside))
+    assert seen == [([8], []), ([9], []), ([], [10]), ([], [])] and held(store) == {"b": ("t", "3")}
