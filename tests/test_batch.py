@@ -188,8 +188,7 @@ def test_ann_recall_grows_to_one(spark, tmp_path):
     exact = batch.search_batch(df, as_queries(df), 5)
     wide = ann.HyperplaneHash(8, tables=12, bits=2)
     ann.build_index(df, wide, str(tmp_path / "index"))
-    index = spark.read.parquet(str(tmp_path / "index"))
-    found = ann.ann_search(index, as_queries(df), wide, 5)
+    found = ann.ann_search(str(tmp_path / "index"), as_queries(df), wide, 5)
     assert found.groupBy("query_id", "vector_id").count().filter("count > 1").count() == 0
     assert ann.recall(found, exact).agg(F.avg("recall")).first()[0] > 0.95
 

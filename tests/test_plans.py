@@ -47,8 +47,17 @@ def test_ann_reads_only_its_buckets(spark, vectors, tmp_path):
     hashing = ann.HyperplaneHash(3, tables=2, bits=2)
     ann.build_index(vectors, hashing, str(tmp_path / "i"))
     asked = vectors.limit(1).withColumnRenamed("vector_id", "query_id")
-    text = plan(ann.ann_search(spark.read.parquet(str(tmp_path / "i")), asked, hashing, 2))
-    assert "dynamicpruning" in text.lower() and "CartesianProduct" not in text
+    found = ann.ann_search(str(tmp_path / "i"), asked, hashing, 2)
+    assert found.count() > 0 and "CartesianProduct" not in plan(found)
+    stored = spark.read.parquet(str(tmp_path / "i/vectors"))
+    assert stored.count() == vectors.filter("embedding is not null").count()  # each vector once
+    assert "embedding" not in spark.read.parquet(str(tmp_path / "i/postings")).columns
+    assert ann.HyperplaneHash.for_rows(3, 10).bits == 1 and ann.HyperplaneHash.for_rows(3, 256 << 10).bits == 10
+
+
+def test_tenant_search_reads_one_folder(spark):
+    text = plan(search_queries.knn_tenant(spark, SF))
+    assert "PartitionFilters: [isnotnull(bot_id" in text
 
 
 def test_signature_is_aggregated_before_the_shuffle(spark, vectors):
