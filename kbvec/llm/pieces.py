@@ -39,7 +39,7 @@ MARK = 0x2581
 LITERAL_MARK = 0x110000 + MARK
 NEWLINE, SPACE = 10, 32
 #: Edges of lattices that a worker keeps, and lattice positions that are filtered at a time.
-KEPT_EDGES, FILTERED = 8_000_000, 50_000
+KEPT_EDGES, FILTERED = 4_000_000, 25_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -117,8 +117,8 @@ class Lattices:
         self.node0 = np.zeros(0, np.int64)
         self.nodes = self.units = 0
         self.edge0 = np.zeros(0, np.int64)
-        self.edge_share = np.zeros(0, np.float64)
-        self.edge_len = np.zeros(0, np.int32)
+        self.edge_share = np.zeros(0, np.float32)
+        self.edge_len = np.zeros(0, np.uint8)
         self.edge_piece = np.zeros(0, np.int32)
 
     def _filtered(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -154,9 +154,9 @@ class Lattices:
         shares = np.cumsum(np.exp(weight[:, :, ::-1]), axis=2)
         there = piece[:, :, ::-1] >= 0
         count = there.sum(axis=2).ravel()
-        share = shares[there]
+        share = shares[there].astype(np.float32)
         share[np.cumsum(count) - 1] = 2.0
-        size = np.broadcast_to(np.arange(width, 0, -1, dtype=np.int32), there.shape)[there]
+        size = np.broadcast_to(np.arange(width, 0, -1, dtype=np.uint8), there.shape)[there]
         return count, share, size, piece[:, :, ::-1][there]
 
     def add(self, keys: np.ndarray, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
