@@ -21,9 +21,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines that repeat an earlier one; n_chars follows the text."""
+    """Without lines that repeat an earlier one; n_chars follows the text where there is one."""
     left = linededup.apply(docs)
-    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,8 +43,8 @@ from kbvec.session import is_small, materialize
 WORDS = 5
 #: Rows of the table of common shingles that orders the index; more or fewer change costs, not links.
 COMMON_ROWS = 1 << 18
-#: A shingle counts as common when so many texts of one Arrow batch hold it.
-COMMON_IN_BATCH = 3
+#: A shingle counts as common when so many of the texts that a task counts together (up to so many shingles) hold it.
+COMMON_TEXTS, COUNTED_TOGETHER = 3, 1 << 21
 #: A set is compared with the leader of its lists when they share this part of its size at least there; whom that
 #: leaves out, the last step compares.
 LEADER_SHARE = 0.04
@@ -75,10 +75,21 @@ def _digests(row: np.ndarray, value: np.ndarray, n_rows: int) -> tuple[np.ndarra
     return size, sums[0], sums[1]
 
 
+def _common(values: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows (id null, hash in d1, count in n) for the shingles that several of these texts hold."""
+    value, count = np.unique(np.concatenate(values), return_counts=True)
+    value, count = value[count >= COMMON_TEXTS], count[count >= COMMON_TEXTS]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(value), bool)), pa.nulls(len(value), pa.int64()), pa.array(count.astype(np.int64)),
+         pa.array(value.view(np.int64)), pa.array(np.zeros(len(value), np.int64))],
+        names=["common", "doc_id", "n", "d1", "d2"])
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every document, and rows (id null, hash in d1, count in n) for the shingles common in a batch."""
+    """A row for every document, and rows for the shingles that are common among texts seen together."""
+    seen: list[np.ndarray] = []
     for batch in batches:
-        ids, seen = batch.column(0), []
+        ids = batch.column(0)
         for at, data, offsets in text_pieces(batch):
             row, value = _sets(data, offsets)
             size, d1, d2 = _digests(row, value, len(offsets) - 1)
@@ -86,12 +97,11 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(size), bool)), ids.slice(at, len(size)), pa.array(size), pa.array(d1),
                  pa.array(d2)], names=["common", "doc_id", "n", "d1", "d2"])
-        value, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64),) * 2
-        value, count = value[count >= COMMON_IN_BATCH], count[count >= COMMON_IN_BATCH]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(value), bool)), pa.nulls(len(value), pa.int64()), pa.array(count.astype(np.int64)),
-             pa.array(value.view(np.int64)), pa.array(np.zeros(len(value), np.int64))],
-            names=["common", "doc_id", "n", "d1", "d2"])
+            if sum(map(len, seen)) >= COUNTED_TOGETHER:
+                yield _common(seen)
+                seen = []
+    if seen:
+        yield _common(seen)
 
 
 def _prefixes(common):

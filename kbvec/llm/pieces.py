@@ -39,7 +39,9 @@ MARK = 0x2581
 LITERAL_MARK = 0x110000 + MARK
 NEWLINE, SPACE = 10, 32
 #: Edges of lattices that a worker keeps, and lattice positions that are filtered at a time.
-KEPT_EDGES, FILTERED = 4_000_000, 25_000
+KEPT_EDGES, FILTERED = 2_000_000, 10_000
+#: Bytes of text that are drawn together.
+TEXT_BYTES = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -292,7 +294,7 @@ def _encode(model, name: tuple, key: str, text: str):
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index(key)).cast(pa.int64()).fill_null(0).to_numpy().view(np.uint64)
             there = batch.column(batch.schema.get_field_index(text)).is_valid().to_numpy(zero_copy_only=False)
-            for at, data, offsets in text_pieces(batch, text):
+            for at, data, offsets in text_pieces(batch, text, TEXT_BYTES):
                 rows = len(offsets) - 1
                 ids, bounds = own.encode(data, offsets, keys[at:at + rows])
                 back, back_at = own.decode(ids, bounds)

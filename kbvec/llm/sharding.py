@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kbvec.session import materialize
+
 SLOTS = 4096
 RECORD_OVERHEAD = 16
 KEEP_SHARE = 0.9
@@ -114,7 +116,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, version_path: str | None
     ``version_path`` keeps both versions of the map (columns version, vslot, shard) as Parquet.
     """
     spark = docs.sparkSession
-    rows = records(docs)
+    # Narrow rows, written once: the texts are read a single time.
+    rows = materialize(records(docs), "records")
     first = initial_map(spark, shards)
     balanced = rebalance(first, slot_bytes(rows), shards)
     if version_path:

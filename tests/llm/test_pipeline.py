@@ -80,3 +80,24 @@ def test_sentencepiece(spark, outputs):
 def test_run(spark, outputs):
     got = corpus_pipeline.run(spark, SF).toPandas()
     assert set(got["doc_id"]) == set(outputs[-1][2]["doc_id"])
+
+
+LONG = "many different words stand in this one line of the text"
+ODD = [(1, LONG, "en", "s", 10), (2, None, None, None, None), (3, "", "", "", 0), (None, LONG, "en", "s", 1), (1, LONG, "en", "s", 10),
+       (4, "word " * 30_000, "en", "s", 5), (5, f"{LONG} again\nthe second line is not like any other", None, "s", 2), (6, " \n\t", "x", "y", 3)]
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_odd_rows_and_clashing_columns(spark, number):
+    names = ("rep", "row", "gone", "scraps", "pieces", "component_id", "label", "hash")
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in ODD],
+                                 "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"{n} int" for n in names))
+    stage = corpus_pipeline.STAGES[number][1]
+    got = stage(spark, docs, SF)
+    if number < 4:
+        assert got.columns == docs.columns
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect())
+    everything = sorted((r[0] is None, r[0] or 0) for r in ODD)
+    assert kept == everything or number == 0
+    assert stage(spark, docs.limit(0), SF).collect() == []
