@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kbvec.llm.tables import text_batches
 from kbvec.llm.textarrays import ASCII_SPACE, codes, mix, running, spans, stretch, text_pieces
 from kbvec.session import is_small, materialize
 
@@ -170,6 +171,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows of the item that are covered and that it has, and whether all slots hold the item's
     own values, for every contaminated document and item."""
     spark = docs.sparkSession
+    text_batches(spark)
     items = materialize(benchmark.filter("item_id is not null").select("item_id", "text").distinct().mapInArrow(
         _window_rows(range(1, WINDOW + 1), True, None), SCHEMA).distinct(), "items")
     sizes = sorted(r[0] for r in items.select("words").distinct().collect())

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kbvec.llm.components import components
+from kbvec.llm.tables import text_batches
 from kbvec.llm.textarrays import ASCII_SPACE, codes, mix, running, spans, stretch, text_pieces, windows
 from kbvec.session import is_small, materialize
 
@@ -241,6 +242,7 @@ def _block_pairs(entries: DataFrame) -> DataFrame:
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and class_id (smallest id with an equal set) of every row of ``docs``."""
     spark = docs.sparkSession
+    text_batches(spark)
     texts = docs.select("doc_id", "text")
     described = materialize(texts.mapInArrow(
         _describe, "common boolean, doc_id long, n long, d1 long, d2 long"), "described")

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kbvec.llm.tables import text_batches
 from kbvec.llm.textarrays import ASCII_SPACE, codes, mix, running, spans, stretch, text_pieces
 from kbvec.session import is_small, materialize
 
@@ -180,6 +181,7 @@ def _one_edit(a, b):
 
 
 def _all_lines(docs: DataFrame) -> DataFrame:
+    text_batches(docs.sparkSession)
     return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(
         _described, "doc_id long, line int, n int, h1 long, h2 long, anchors array<long>")
 

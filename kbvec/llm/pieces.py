@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kbvec.llm.tables import text_batches
 from kbvec.llm.textarrays import mix, text_pieces
 
 MARK = 0x2581
@@ -317,6 +318,7 @@ def _encode(model, name: tuple, key: str, text: str):
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", sharpness: float = 1.0) -> DataFrame:
     """``docs`` with pieces (ids), n_pieces, and whether decoding them has given back the text."""
+    text_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(load_model(path, sharpness))
     rows = docs.drop("pieces", "n_pieces", "exact")
     schema = T.StructType([*rows.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType())),

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kbvec.llm.tables import text_batches
 from kbvec.llm.textarrays import ASCII_SPACE, codes, running, spans, stretch, text_pieces
 from kbvec.session import broadcast_if_small, is_small, materialize
 
@@ -164,10 +165,12 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, top: int = 2) -> Ordinal:
     """A model from at most about ``rows`` labelled texts."""
+    text_batches(docs.sparkSession)
     rated = grades(labels)
     total = rated.count()
+    nothing = fit(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), top)
     if not total:
-        return fit(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), top)
+        return nothing
     part = min(1.0, rows / total)
     sample = rated.filter(F.pmod(F.xxhash64("doc_id", F.lit(41)), F.lit(1 << 20)) < F.lit(int(part * (1 << 20)) + 1))
     sample = F.broadcast(sample) if is_small(sample, 4 * FIT_ROWS) else sample
@@ -178,6 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, top: int = 2
         F.min("doc_id").alias("doc_id"), F.any_value("features").alias("features")).select("doc_id", "grade", "features"), "texts")
     each = texts.select("doc_id", "grade", F.explode("features").alias("feature"))
     held = {r["grade"]: r["count"] for r in texts.groupBy("grade").count().collect()}
+    if not held:
+        return nothing
     # Only what ``fit`` gives a weight reaches the driver.
     chosen = broadcast_if_small(materialize(_telling(each, held, top), "features"))
     pairs = each.join(chosen, "feature").select("doc_id", "feature").orderBy("doc_id", "feature").toArrow()
@@ -215,6 +220,7 @@ def _scored(model):
 
 def score(docs: DataFrame, model: Ordinal) -> DataFrame:
     """doc_id, expected_grade, P(grade > 0), P(top grade) and keep, for every row."""
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select("doc_id", "text").mapInArrow(
         _scored(sent), "doc_id long, expected_grade double, p_not_lowest double, p_top double, keep boolean")
@@ -222,6 +228,7 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
 
 def kept(docs: DataFrame, model: Ordinal) -> DataFrame:
     """The rows of ``docs`` that the model keeps, with their own columns."""
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from kbvec.llm.tables import text_batches
+
 #: Pieces whose counts a worker keeps, and the longest such piece.
 KEPT_PIECES, KEPT_CHARS = 1_000_000, 48
 #: Characters above which the pieces of a text are not held together.
@@ -126,6 +128,7 @@ def _counts(vocabulary, name: str, limit: int):
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     """doc_id, n_bytes, n_tokens and whether the text is over ``limit`` tokens, for every row."""
+    text_batches(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
     return docs.select("doc_id", "text").mapInArrow(
         _counts(vocabulary, path, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
