@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kbvec.operators.batch import best_per_query, search_batch
-from kbvec.operators.bm25 import bm25_batch, bm25_top, leg_size
+from kbvec.operators.bm25 import bm25_batch, leg_size
 from kbvec.operators.filters import tenant_rows
 from kbvec.operators.search import Rerank, dedup_sources, overfetch, scored, search, take_top
 from kbvec.operators.textindex import index_top
@@ -66,8 +66,9 @@ def hybrid_search(vectors: DataFrame, query: Sequence[float], text: str, k: int
         if text_index:
             words_leg = index_top(vectors.sparkSession, text_index, text, leg_size(fetch), tenant, spec, version)
         else:
-            words_leg = bm25_top(vectors.select("vector_id", "content"), text, leg_size(fetch),
-                                 own.select("vector_id", "content"))
+            asked = vectors.sparkSession.createDataFrame(
+                [("0", tenant, text)], "query_id string, bot_id string, query_text string")
+            words_leg = bm25_batch(vectors, asked, leg_size(fetch), spec=spec)
         leg = blend(leg.select(one, "*"), words_leg.select(one, "vector_id", "score"), alpha).drop("query_id")
     found = take_top(leg, fetch)
     if dedup:
