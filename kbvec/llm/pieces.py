@@ -42,7 +42,7 @@ NEWLINE, SPACE = 10, 32
 #: Edges of lattices that a worker keeps, and lattice positions that are filtered at a time.
 KEPT_EDGES, FILTERED = 2_000_000, 10_000
 #: Bytes of text that are drawn together.
-TEXT_BYTES = 1 << 17
+TEXT_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
