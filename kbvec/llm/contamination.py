@@ -8,7 +8,10 @@ that is when equal values in the item stand for equal values in the document. A
 when the occurrences cover at least three windows of it (all, if it has fewer).
 
 A number is a word that begins with a digit; a unit is a word of ``UNITS`` behind a number; a name is a word with a
-capital that does not begin a sentence and is not all capitals. A window needs words of its own: at least half of
+capital that is not all capitals. Whether a capital marks a name or only a sentence or a title cannot be known, so such a
+word is read both as a name and as itself: by itself in an item, and in a document together with the other capitals of
+its window that begin sentences, or with those that do not. The first word of an item's sentence is read as a name
+without a capital too, but then the document's word must be the same. A window needs words of its own: at least half of
 its tokens are literal, or it is not used.
 
 The documents' windows are sifted by a bitmap of fixed size (``CELLS`` bits) before they leave a task, and joined
@@ -59,11 +62,18 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = np.sort(_hash_words(UNITS))
 
 
+LITERAL, SLOT, NAME, START, LOWER_START = range(5)
+
+
 def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """row, template token, word hash and whether it is a slot, for all words of a piece of texts."""
+    """row, template token, word hash and kind for all words of a piece of texts.
+
+    Tokens are placeholders for numbers and units only; the kinds tell which words can be read as names as well: those
+    with a capital inside a sentence (``NAME``) or at its start (``START``). ``LOWER_START`` begins one without it.
+    """
     starts, ends, rows = spans(~ASCII_SPACE[data], offsets)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
     n = len(data)
     # General punctuation (quotes, dashes, dots of three bytes) goes like that of one byte.
     kept = _KEPT[data].copy()
@@ -77,7 +87,7 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     has = total[ends] > total[starts]
     starts, ends, rows = starts[has], ends[has], rows[has]
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
     word = stretch(running(_CODES[plain]), total[starts], total[ends])
     place = np.flatnonzero(kept)
     first = place[total[starts]]
@@ -93,67 +103,105 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     begins = np.ones(len(starts), bool)
     begins[1:] = (rows[1:] != rows[:-1]) | (stops[first[1:]] > stops[last[:-1]])
     number = _DIGIT[data[first]]
-    name = capital & ~shout & ~begins & ~number
     before = np.r_[False, number[:-1] & (rows[1:] == rows[:-1])]
     at = np.minimum(np.searchsorted(_UNIT_HASHES, word), len(_UNIT_HASHES) - 1)
     unit = before & (_UNIT_HASHES[at] == word) & ~number
-    token = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, word)))
-    return rows, token, word, number | name | unit
+    token = np.where(number, _NUMBER, np.where(unit, _UNIT, word))
+    kind = np.where(begins, np.where(capital & ~shout, START, LOWER_START), np.where(capital & ~shout, NAME, LITERAL))
+    return rows, token, word, np.where(number | unit, SLOT, kind).astype(np.int8)
 
 
-def _windows(rows, token, slot, size: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first word of the usable windows of ``size`` words; with ``whole``, only of texts of just that size."""
-    n = len(token) - size + 1
+def _places(rows, size: int, whole: bool) -> np.ndarray:
+    """First words of the windows of ``size`` words; with ``whole``, only of texts of just that size."""
+    n = len(rows) - size + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    slots = np.r_[0, np.cumsum(slot)]
-    fine = (rows[:n] == rows[size - 1:]) & (2 * (slots[size:] - slots[:n]) <= size)
+        return np.zeros(0, np.int64)
+    fine = rows[:n] == rows[size - 1:]
     if whole:
-        count = np.bincount(rows)
-        fine &= count[rows[:n]] == size
-    at = np.flatnonzero(fine)
-    value = np.full(len(at), size, np.uint64)
-    for k in range(size):
-        value += token[at + k] * _FACTORS[k]
-    return mix(value), at
+        fine &= np.bincount(rows)[rows[:n]] == size
+    return np.flatnonzero(fine)
+
+
+def _holds(mark, size: int, at) -> np.ndarray:
+    """How many words with a mark the windows at ``at`` have."""
+    total = np.r_[0, np.cumsum(mark)]
+    return total[at + size] - total[at]
+
+
+def _readings(rows, token, kind, size: int):
+    """first words, names among the words (for all windows one row) and whether it is the usual one, for every reading of
+    the documents' windows: the capitals inside sentences and those at starts are all names or all words."""
+    at = _places(rows, size, False)
+    inner, start = _holds(kind == NAME, size, at), _holds(kind == START, size, at)
+    slots = _holds(kind == SLOT, size, at)
+    for names, has in (((NAME,), True), ((NAME, START), start > 0), ((), inner > 0), ((START,), (inner > 0) & (start > 0))):
+        held = slots + inner * (NAME in names) + start * (START in names)
+        use = at[has & (2 * held <= size)]
+        yield use, np.isin(kind, names)[use[:, None] + np.arange(size)], np.full(len(use), names == (NAME,))
+
+
+def _all_readings(rows, token, kind, size: int):
+    """The same for an item's windows, where every word that can be a name is read both ways by itself."""
+    at = _places(rows, size, size < WINDOW)
+    grid = at[:, None] + np.arange(size)
+    bit = 1 << np.arange(size)
+    open_, usual = ((kind[grid] >= NAME) * bit).sum(axis=1), ((kind[grid] == NAME) * bit).sum(axis=1)
+    slots = (kind[grid] == SLOT).sum(axis=1)
+    for names in range(1 << size):
+        use = (open_ & names == names) & (2 * (slots + names.bit_count()) <= size)
+        if use.any():
+            yield at[use], np.broadcast_to((names & bit) > 0, (int(use.sum()), size)), usual[use] == names
+
+
+def _hashes(tokens: np.ndarray) -> np.ndarray:
+    value = np.full(len(tokens), tokens.shape[1], np.uint64)
+    for k in range(tokens.shape[1]):
+        value += tokens[:, k] * _FACTORS[k]
+    return mix(value)
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values, kind))
 
 
-SCHEMA = "id long, hash long, pos int, words int, slots array<int>, vals array<long>"
+SCHEMA = "id long, hash long, pos int, words int, vals array<long>, fixed array<boolean>, usual boolean, light boolean"
 
 
 def _window_rows(sizes, items: bool, cells):
-    """Windows as rows; of the benchmark all (``items``), of documents those in the bitmap ``cells``."""
+    """Windows as rows; of the benchmark all (``items``), of documents those in the bitmap ``cells``.
+
+    ``vals`` are the words in slots; those ``fixed`` must be equal in a document. ``usual`` is the reading by which only
+    capitals inside sentences are names, ``light`` tells that a window is usable by it.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = None if cells is None else np.unpackbits(cells.value.view(np.uint8), bitorder="little").view(bool)
         for batch in batches:
             ids = batch.column(0)
             for at, data, offsets in text_pieces(batch):
-                rows, token, word, slot = templates(data, offsets)
+                rows, token, word, kind = templates(data, offsets)
                 if not len(rows):
                     continue
                 first = np.searchsorted(rows, np.arange(len(offsets)))
                 for size in sizes:
-                    value, start = _windows(rows, token, slot, size, items and size < WINDOW)
-                    if wanted is not None:
-                        hit = wanted[value & np.uint64(CELLS - 1)]
-                        value, start = value[hit], start[hit]
-                    if not len(value):
-                        continue
-                    grid = start[:, None] + np.arange(size)
-                    is_slot = slot[grid]
-                    of, offset = np.nonzero(is_slot)
-                    counts = is_slot.sum(axis=1)
-                    row = rows[start]
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(at + row)), pa.array(value.view(np.int64)),
-                         pa.array((start - first[row]).astype(np.int32)), pa.array(np.full(len(start), size, np.int32)),
-                         _lists(offset.astype(np.int32), counts, pa.int32()),
-                         _lists(word[grid][is_slot].view(np.int64), counts, pa.int64())],
-                        names=["id", "hash", "pos", "words", "slots", "vals"])
+                    for start, names, usual in (_all_readings if items else _readings)(rows, token, kind, size):
+                        grid = start[:, None] + np.arange(size)
+                        value = _hashes(np.where(names, _NAME, token[grid]))
+                        if wanted is not None:
+                            hit = wanted[value & np.uint64(CELLS - 1)]
+                            value, start, names, usual, grid = value[hit], start[hit], names[hit], usual[hit], grid[hit]
+                        if not len(value):
+                            continue
+                        is_slot = names | (kind[grid] == SLOT)
+                        counts = is_slot.sum(axis=1)
+                        light = 2 * ((kind[grid] == SLOT) | (kind[grid] == NAME)).sum(axis=1) <= size
+                        row = rows[start]
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.take(pa.array(at + row)), pa.array(value.view(np.int64)),
+                             pa.array((start - first[row]).astype(np.int32)), pa.array(np.full(len(start), size, np.int32)),
+                             _lists(word[grid][is_slot].view(np.int64), counts, pa.int64()),
+                             _lists((kind[grid] == LOWER_START)[is_slot], counts, pa.bool_()),
+                             pa.array(usual), pa.array(light)],
+                            names=["id", "hash", "pos", "words", "vals", "fixed", "usual", "light"])
     return run
 
 
@@ -178,22 +226,38 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     cells = spark.sparkContext.broadcast(_bitmap(items))
     found = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(
         _window_rows(sizes, False, cells), SCHEMA)
-    theirs = items.select(F.col("id").alias("item_id"), "hash", F.col("pos").alias("item_pos"),
-                          F.col("vals").alias("item_vals"))
+    theirs = items.select(F.col("id").alias("item_id"), "hash", F.col("pos").alias("item_pos"), "light", "fixed",
+                          F.col("usual").alias("item_usual"), F.col("vals").alias("item_vals"))
     theirs = F.broadcast(theirs) if is_small(theirs) else theirs
-    met = found.join(theirs, "hash").select(
-        F.col("id").alias("doc_id"), "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos",
-        F.zip_with("item_vals", "vals", lambda a, b: F.struct(a.alias("item"), b.alias("doc"))).alias("slots"))
+    found = found.select("id", "hash", "pos", "vals", "usual")
+    slots = F.zip_with("item_vals", "vals", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    equal = F.forall(F.arrays_zip("item_vals", "vals", "fixed"), lambda s: ~s["fixed"] | (s["item_vals"] == s["vals"]))
+    met = found.join(theirs, "hash").filter(equal).select(
+        F.col("id").alias("doc_id"), "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"),
+        F.struct("item_pos", "light").alias("at"), (F.col("usual") & F.col("item_usual")).alias("usual"), slots.alias("slots"))
+
+    def gathered(when):
+        return F.struct(F.collect_set(F.when(when, F.col("at"))).alias("at"),
+                        F.array_distinct(F.flatten(F.collect_list(F.when(when, F.col("slots"))))).alias("slots"))
+
+    def consistent(of):
+        return F.size(F.array_distinct(F.transform(of["slots"], lambda s: s["item"]))) == F.size(of["slots"])
+
+    # Words that need not be names can make slots inconsistent; then the usual readings stand by themselves.
     occurrence = met.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
-    values = F.array_distinct(F.transform("slots", lambda s: s["item"]))
-    consistent = occurrence.filter(F.size(values) == F.size("slots")).withColumn(
-        "same", F.forall("slots", lambda s: s["item"] == s["doc"]))
-    covered = consistent.groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("windows"), F.bool_and("same").alias("exact"))
-    have = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("pos").alias("item_windows"))
+        gathered(F.lit(True)).alias("any"), gathered(F.col("usual")).alias("usual"))
+    occurrence = occurrence.withColumn("of", F.when(consistent(F.col("any")), F.col("any")).when(
+        consistent(F.col("usual")), F.col("usual"))).filter(F.size("of.at") > 0).withColumn(
+        "same", F.forall("of.slots", lambda s: s["item"] == s["doc"]))
+    covered = occurrence.groupBy("doc_id", "item_id").agg(
+        F.array_distinct(F.flatten(F.collect_list("of.at"))).alias("at"), F.bool_and("same").alias("exact")).select(
+        "doc_id", "item_id", F.size("at").alias("windows"), F.size(F.filter("at", lambda x: x["light"])).alias("light"), "exact")
+    have = items.groupBy(F.col("id").alias("item_id")).agg(
+        F.countDistinct("pos").alias("item_windows"), F.countDistinct(F.when(F.col("light"), F.col("pos"))).alias("item_light"))
     have = F.broadcast(have) if is_small(have) else have
-    return covered.join(have, "item_id").filter(F.col("windows") >= F.least(F.lit(COVERED), F.col("item_windows"))).select(
+    enough = (F.col("windows") >= F.least(F.lit(COVERED), F.col("item_windows"))) | (
+        (F.col("light") > 0) & (F.col("light") >= F.least(F.lit(COVERED), F.col("item_light"))))
+    return covered.join(have, "item_id").filter(enough).select(
         "doc_id", "item_id", F.col("windows").cast("long"), F.col("item_windows").cast("long"), "exact")
 
 

@@ -66,3 +66,14 @@ def test_clean_and_empty_tables(spark):
     assert left.columns == docs.columns and {r["windows"] for r in left.collect()} == {"b", "c", "d"}
     assert contamination.contaminated(docs.limit(0), items).collect() == []
     assert contamination.contaminated(docs, items.limit(0)).collect() == []
+
+
+def test_first_word_in_any_place_and_case(spark):
+    items = [(1, "What is the boiling point of water at sea level"), (2, "Sarah reads 20 pages a day for 6 days"),
+             (3, "which river did Anna cross with Bob that cold night")]
+    docs = [(1, "1) What is the boiling point of water at sea level"), (2, "(What is the boiling point of water at sea level)"),
+            (3, "they asked What is the boiling point of water at sea level and left"), (4, "so what is the boiling point of water at sea level"),
+            (5, "Tom reads 30 pages a day for 8 days"), (6, "and Tom reads 30 pages a day for 8 days"),
+            (7, "asked Which river did Eve cross with Tim that cold night"), (8, "Which river did Eve cross with Tim that cold night"),
+            (9, "asked Whose river did Eve cross with Tim that cold night"), (10, "What is the freezing point of water at sea level")]
+    assert set(run(spark, docs, items)) == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2), (7, 3), (8, 3)}
