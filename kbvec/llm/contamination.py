@@ -12,13 +12,13 @@ capital that is not all capitals. Whether a capital marks a name or only a sente
 word is read both as a name and as itself: by itself in an item, and in a document together with the other capitals of
 its window that begin sentences, or with those that do not. The first word of an item's sentence is read as a name
 without a capital too, but then the document's word must be the same. A window needs words of its own: at least half of
-its tokens are literal, or it is not used.
+its tokens are literal, or it matches only windows of just the same words.
 
 The documents' windows are sifted by a bitmap of fixed size (``CELLS`` bits) before they leave a task, and joined
 with the benchmark's windows by hash; that side is sent to all tasks only when it was measured to be small.
 
 Defined cases: null and blank texts have no windows; an item shorter than a window is one window of all its tokens;
-an item without a usable window cannot be matched; rows without an id are not reported; rows with one id are one
+an item of mere placeholders is matched by copies only; rows without an id are not reported; rows with one id are one
 document; equal items are each reported; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -153,8 +153,14 @@ def _all_readings(rows, token, kind, size: int):
             yield at[use], np.broadcast_to((names & bit) > 0, (int(use.sum()), size)), usual[use] == names
 
 
-def _hashes(tokens: np.ndarray) -> np.ndarray:
-    value = np.full(len(tokens), tokens.shape[1], np.uint64)
+def _heavy(rows, kind, size: int, whole: bool) -> np.ndarray:
+    """First words of the windows that more than half slots can make unusable as templates."""
+    at = _places(rows, size, whole)
+    return at[2 * _holds((kind == SLOT) | (kind == NAME) | (kind == START), size, at) > size]
+
+
+def _hashes(tokens: np.ndarray, copies: bool = False) -> np.ndarray:
+    value = np.full(len(tokens), tokens.shape[1] + 2 * WINDOW * copies, np.uint64)
     for k in range(tokens.shape[1]):
         value += tokens[:, k] * _FACTORS[k]
     return mix(value)
@@ -182,26 +188,34 @@ def _window_rows(sizes, items: bool, cells):
                 if not len(rows):
                     continue
                 first = np.searchsorted(rows, np.arange(len(offsets)))
+
+                def out(start, value, size, is_slot, usual):
+                    if wanted is not None:
+                        hit = wanted[value & np.uint64(CELLS - 1)]
+                        start, value, is_slot, usual = start[hit], value[hit], is_slot[hit], usual[hit]
+                    if not len(value):
+                        return
+                    grid = start[:, None] + np.arange(size)
+                    counts = is_slot.sum(axis=1)
+                    light = 2 * ((kind[grid] == SLOT) | (kind[grid] == NAME)).sum(axis=1) <= size
+                    row = rows[start]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(at + row)), pa.array(value.view(np.int64)),
+                         pa.array((start - first[row]).astype(np.int32)), pa.array(np.full(len(start), size, np.int32)),
+                         _lists(word[grid][is_slot].view(np.int64), counts, pa.int64()),
+                         _lists((kind[grid] == LOWER_START)[is_slot], counts, pa.bool_()),
+                         pa.array(usual), pa.array(light)],
+                        names=["id", "hash", "pos", "words", "vals", "fixed", "usual", "light"])
+
                 for size in sizes:
                     for start, names, usual in (_all_readings if items else _readings)(rows, token, kind, size):
                         grid = start[:, None] + np.arange(size)
-                        value = _hashes(np.where(names, _NAME, token[grid]))
-                        if wanted is not None:
-                            hit = wanted[value & np.uint64(CELLS - 1)]
-                            value, start, names, usual, grid = value[hit], start[hit], names[hit], usual[hit], grid[hit]
-                        if not len(value):
-                            continue
-                        is_slot = names | (kind[grid] == SLOT)
-                        counts = is_slot.sum(axis=1)
-                        light = 2 * ((kind[grid] == SLOT) | (kind[grid] == NAME)).sum(axis=1) <= size
-                        row = rows[start]
-                        yield pa.RecordBatch.from_arrays(
-                            [ids.take(pa.array(at + row)), pa.array(value.view(np.int64)),
-                             pa.array((start - first[row]).astype(np.int32)), pa.array(np.full(len(start), size, np.int32)),
-                             _lists(word[grid][is_slot].view(np.int64), counts, pa.int64()),
-                             _lists((kind[grid] == LOWER_START)[is_slot], counts, pa.bool_()),
-                             pa.array(usual), pa.array(light)],
-                            names=["id", "hash", "pos", "words", "vals", "fixed", "usual", "light"])
+                        yield from out(start, _hashes(np.where(names, _NAME, token[grid])), size,
+                                       names | (kind[grid] == SLOT), usual)
+                    # Copies only: all words are in the hash, and all of them are slots that hold the item's own values.
+                    start = _heavy(rows, kind, size, items and size < WINDOW)
+                    every = np.ones((len(start), size), bool)
+                    yield from out(start, _hashes(word[start[:, None] + np.arange(size)], True), size, every, every[:, 0] & False)
     return run
 
 

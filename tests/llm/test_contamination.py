@@ -77,3 +77,16 @@ def test_first_word_in_any_place_and_case(spark):
             (7, "asked Which river did Eve cross with Tim that cold night"), (8, "Which river did Eve cross with Tim that cold night"),
             (9, "asked Whose river did Eve cross with Tim that cold night"), (10, "What is the freezing point of water at sea level")]
     assert set(run(spark, docs, items)) == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2), (7, 3), (8, 3)}
+
+
+def test_copies_of_items_of_mere_placeholders(spark):
+    items = [(1, "What is 12 + 7 * 3 - 4?"), (2, "Anna Bob 12 Carl Dora 13 Emil Fritz 14 Gustav 15 16"), (3, "12 7 9 1 4 8 3 6 2 5"),
+             (4, "Ulm 1 Bonn 2 Kiel 3 Rome 4 then add all of these figures")]
+    docs = [(1, "Q: what is 12 + 7 * 3 - 4? A: 29"), (2, "asked What is 12 + 7 * 3 - 4 and left"), (3, "What is 13 + 7 * 3 - 4?"),
+            (4, "and Anna Bob 12 Carl Dora 13 Emil Fritz 14 Gustav 15 16 too"), (5, "Anna Bob 12 Carl Dora 13 Emil Fritz 14 Gustav 15 17"),
+            (6, "Hans Ina 12 Jan Kai 13 Lea Mia 14 Nils 15 16"), (7, "table\n0 12 7 9 1 4 8 3 6 2 5 11"), (8, "12 7 9 1 4 8 3 6 2 6"),
+            (9, "Oslo 5 Bern 6 Lyon 7 Nice 8 then add all of these figures")]
+    got = run(spark, docs, items)
+    # In document 5 the last number differs, which the names of that window carry as a template.
+    assert set(got) == {(1, 1), (2, 1), (4, 2), (5, 2), (7, 3), (9, 4)}
+    assert {k for k, r in got.items() if r["exact"]} == {(1, 1), (2, 1), (4, 2), (7, 3)}
