@@ -4,8 +4,8 @@ Base findings are the leftmost non-overlapping matches of three patterns (``KIND
 short are dropped. The method adds candidates: runs of letters, digits and ``+/_=-`` that hold a digit and a letter.
 A window of fixed width slides over a candidate; its entropy follows from two counts a step, that of the character
 that enters and that of the one that leaves. A candidate is reported when the largest entropy of its windows reaches
-the bound of its character class (hexadecimal, letters of one case with digits, or all). Candidates that the
-allow-list matches are not reported; base findings stay.
+the bound of its character class (hexadecimal, letters of one case with digits, or all); a path in lower case is
+reported when one of its segments is. Candidates that the allow-list matches are not reported; base findings stay.
 
 All of it is DataFrame functions, row by row: there is no shuffle. Positions come from the lengths of what stands
 between the matches, in code points, end exclusive.
@@ -33,9 +33,11 @@ CANDIDATE = rf"(?<![{_RUN}])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[{_RUN
 WINDOW = 20
 #: Bits of entropy at which a candidate is reported, by character class, in the order in which classes are tried.
 CLASSES = ((r"^[0-9a-fA-F]+$", 3.2), (r"^([a-z0-9_=-]+|[A-Z0-9_=-]+)$", 3.6), (r"", 3.8))
-#: Strings that look random and are not secret: examples, UUIDs, paths, runs of the alphabet or of digits.
-ALLOWED = (r"(?i)example|placeholder|changeme|xxxx|test_?key|0123456789|abcdefghij"
-           r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[a-z-]+(/[a-z0-9_-]+)+$")
+#: Strings that look random and are not secret: examples, runs of the alphabet or of digits, UUIDs.
+ALLOWED = (r"(?i:example|placeholder|changeme|xxxx|test_?key|0123456789|abcdefghij)"
+           r"|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
+#: Paths in lower case are judged by their segments.
+PATH = r"^[a-z-]+(/[a-z0-9_-]+)+$"
 
 _SPANS = "array<struct<start:bigint,kind:int,end:bigint,hit:string>>"
 
@@ -84,12 +86,18 @@ def window_entropy(string: Column, width: int = WINDOW) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.char_length(string)), start, step, lambda s: s["best"])
 
 
-def _random(span: Column) -> Column:
-    """True for a candidate that the allow-list does not match and whose entropy reaches its class's bound."""
+def _reaches(string: Column) -> Column:
+    """True when the entropy of ``string`` reaches the bound of its class."""
     bound = F.when(F.lit(False), 0.0)
     for pattern, bits in CLASSES:
-        bound = bound.when(span["hit"].rlike(pattern), bits)
-    return ~span["hit"].rlike(ALLOWED) & (window_entropy(span["hit"]) >= bound)
+        bound = bound.when(string.rlike(pattern), bits)
+    return window_entropy(string) >= bound
+
+
+def _random(span: Column) -> Column:
+    """True for a candidate that the allow-list does not match and that reaches its bound, or of a path any segment."""
+    hit = span["hit"]
+    return ~hit.rlike(ALLOWED) & F.when(hit.rlike(PATH), F.exists(F.split(hit, "/"), _reaches)).otherwise(_reaches(hit))
 
 
 def _long_enough(span: Column) -> Column:
