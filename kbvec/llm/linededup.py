@@ -17,8 +17,8 @@ their documents' removals when these are applied.
 
 Defined cases: null and blank texts have no lines; shorter lines never repeat anything; rows without an id keep all
 their lines; rows with one id are one document; an empty table gives an empty result; ``apply`` keeps all columns of
-its input, whatever their names, and drops a document when every line that takes part was a repeat (what is left of
-it are scraps).
+its input, whatever their names, and drops a document of which lines went when every line that is left is blank or
+a short one that stands in an earlier place too (whose first place stays, so no such line is lost).
 """
 
 from __future__ import annotations
@@ -45,8 +45,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
                  for b in (_BASE, _INVERSE))
 
 
-def _lines(data: np.ndarray, offsets: np.ndarray):
-    """For the lines of a piece that take part: row, place, first word and end word; and the hashes of all words."""
+def _lines(data: np.ndarray, offsets: np.ndarray, short: bool = False):
+    """For the lines of a piece that take part: row, place, first word and end word; and the hashes of all words.
+
+    With ``short``, for those non-blank lines that have too few words to take part.
+    """
     ends_line = data == 10
     starts, ends, rows = spans(~ASCII_SPACE[data], offsets)
     none = np.zeros(0, np.int64)
@@ -57,7 +60,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray):
     place = breaks[starts] - breaks[offsets[rows]]
     first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (place[1:] != place[:-1])])
     end = np.r_[first[1:], len(rows)]
-    use = end - first >= LEAST_WORDS
+    use = (end - first >= LEAST_WORDS) != short
     return rows[first[use]], place[first[use]], first[use], end[use], word
 
 
@@ -102,6 +105,18 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "line", "n", "h1", "h2", "anchors"])
 
 
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column(0)
+        for at, data, offsets in text_pieces(batch):
+            row, place, a, b, word = _lines(data, offsets, short=True)
+            own, second = _Sums(word).run(a, b), _Sums(mix(word ^ np.uint64(0x14057B7EF767814F))).run(a, b)
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(at + row)), pa.array(place.astype(np.int32)),
+                 pa.array((mix(own) + (b - a).astype(np.uint64)).view(np.int64)), pa.array(mix(second).view(np.int64))],
+                names=["doc_id", "line", "h1", "h2"])
+
+
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """hash and place of the deleted word (-1: the line itself) for lines given as text."""
     for batch in batches:
@@ -206,12 +221,23 @@ def repeats(docs: DataFrame) -> DataFrame:
                       F.when(F.col("kept") == F.col("first"), 0).otherwise(1).alias("edits")).distinct()
 
 
+def _with_new_short_lines(docs: DataFrame) -> DataFrame:
+    """doc_id of every document with a short line that stands in no earlier place."""
+    lines = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(
+        _short, "doc_id long, line int, h1 long, h2 long")
+    return lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("first")).select(
+        "first.doc_id").distinct()
+
+
 def apply(docs: DataFrame) -> DataFrame:
-    """``docs`` with the lines that go taken out of ``text``, without documents of which only scraps are left."""
+    """``docs`` with the lines that go taken out of ``text``, without documents of which nothing new is left."""
     gone = repeats(docs).groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("gone"))
     took_part = _all_lines(docs).select("doc_id", "line").distinct().groupBy("doc_id").agg(F.count("*").alias("lines"))
     gone = materialize(gone.join(took_part, "doc_id").select("doc_id", "gone", (F.size("gone") == F.col("lines")).alias(
-        "scraps")), "gone")
+        "all_gone")), "gone")
+    scraps = gone.filter("all_gone").select("doc_id").join(_with_new_short_lines(docs), "doc_id", "left_anti")
+    gone = materialize(gone.join(_hinted(materialize(scraps.withColumn("scraps", F.lit(True)), "scraps")), "doc_id", "left").select(
+        "doc_id", "gone", "scraps"), "gone_or_scraps")
     # The columns of a document travel in one, where no name of theirs can clash.
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("doc_id"))
     joined = whole.join(_hinted(gone), "doc_id", "left").filter(~F.coalesce("scraps", F.lit(False)))

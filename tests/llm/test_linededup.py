@@ -63,3 +63,11 @@ def test_apply(spark):
     empty = docs.limit(0)
     assert linededup.apply(empty).collect() == [] and linededup.repeats(empty).collect() == []
     assert linededup.apply(docs).columns == docs.columns
+
+
+def test_apply_keeps_documents_with_new_short_lines(spark):
+    notice = "this notice stands in every one of them"
+    rows = [(1, f"{notice}\nfirst words"), (2, f"{notice}\nRoses are red\nViolets are blue\n\nSugar"), (3, f"Sugar\n{notice}\n \nRoses are red"),
+            (4, f"{notice}\nfirst words\nlast"), (5, notice), (6, f"{notice}\n\n"), (7, "Sugar"), (8, f"last\n{notice}\nnew\nnew")]
+    got = {r["doc_id"]: r["text"] for r in linededup.apply(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "Roses are red\nViolets are blue\n\nSugar", 4: "first words\nlast", 7: "Sugar", 8: "last\nnew\nnew"}
