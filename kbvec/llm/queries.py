@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbvec.llm import chat, contamination, jaccard, linededup, neighbours, pieces, quality, secrets, sharding, tokencounts
+from kbvec.llm import (chat, contamination, jaccard, linededup, neighbours, pieces, quality, secrets, sharding, signatures,
+                       spelling, tokencounts)
 from kbvec.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +131,61 @@ SELECT doc_id, CAST(line AS INTEGER) AS line, kept_doc_id, CAST(kept_line AS INT
   SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY kept_doc_id, kept_line, edits) AS r FROM near) WHERE r = 1""")
 def op7(spark, sf_dir):
     return linededup.repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op11_spelling_variants", r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS w FROM documents),
+d AS (SELECT id, w, count(*) AS n, hex(encode(id || ':' || w)) AS b FROM r WHERE length(w) >= 6 GROUP BY id, w),
+h AS (
+  SELECT w, n, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(length(b) // 2),
+    lambda i: CAST('0x' || b[2 * i + 1:2 * i + 2] AS BIGINT)),
+    lambda c, x: xor(crc.t[(xor(c, x) & 255) + 1], c >> 8))) AS h FROM d, crc),
+v AS (
+  SELECT w AS word, CAST(sum(n) AS BIGINT) AS n, length(w) AS len FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS w FROM h)
+  WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+x AS (
+  SELECT word, n, p, word[1:p - 1] || word[p + 1:] AS cut FROM (SELECT *, unnest(range(1, len + 1)) AS p FROM v)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM x a JOIN x b ON a.cut = b.cut AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM x a JOIN v b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM x a JOIN v b ON a.cut = b.word),
+c AS (
+  SELECT v.word, any_value(v.n) AS n, count(other) AS n_near, max(near.n) AS most FROM v LEFT JOIN near USING (word) GROUP BY v.word),
+f AS (
+  SELECT c.word, c.n, c.n_near, CASE WHEN most >= 5 * c.n THEN most END AS form_n,
+    CASE WHEN most >= 5 * c.n THEN (SELECT min(other) FROM near WHERE near.word = c.word AND near.n = c.most) END AS form FROM c),
+walk(word, root) AS (SELECT word, word FROM f UNION SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, walk.root
+FROM f JOIN walk USING (word) JOIN f AS last ON last.word = walk.root AND last.form IS NULL""")
+def op11(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@register("op13_ranked_search", r"""
+WITH t AS (
+  SELECT doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS row FROM documents)),
+p AS (SELECT doc_id, row, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY row),
+s AS (SELECT count(*) AS n, CAST(sum(n) AS BIGINT) AS l FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(s.n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, s WHERE term IN (SELECT term FROM q) GROUP BY term),
+r AS (
+  SELECT q.item_id, p.row, p.doc_id,
+    CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (100 - 50 + (50 * d.n * s.n) // s.l)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (row), s GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r WHERE score > 0)
+WHERE rank <= 50""")
+def op13(spark, sf_dir):
+    return signatures.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
