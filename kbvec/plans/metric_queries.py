@@ -9,10 +9,10 @@ from kbvec.plans import fixtures as fx
 from kbvec.plans.registry import HAS_VECTOR, kb_sql, register, vector_sql
 from kbvec.plans.table_queries import APPLIED, CHANGED, LOG, _digest
 from kbvec.schema import conform
-from kbvec.session import scratch_path
+from kbvec.session import materialize, scratch_path
 from kbvec.sources.store import VectorStore
 from kbvec.streaming import ingest as live
-from kbvec.streaming import latency
+from kbvec.streaming import changes, latency
 
 REQUESTS = """rq AS (SELECT event_id, ts, user_id % 4 AS namespace, floor(value)::BIGINT AS latency_ms,
   CASE event_type WHEN 'error' THEN 'errors' WHEN 'view' THEN 'query_cache_hit' ELSE 'searches' END AS op FROM events)"""
@@ -139,15 +139,23 @@ def stream_quota(spark, sf):
 
 
 @register("stream_latency_stateful", f"""WITH {REQUESTS}, s AS (
-  SELECT 'ns ' || namespace AS namespace, list(latency_ms ORDER BY latency_ms) AS v FROM rq WHERE op = 'searches' GROUP BY ALL)
+  SELECT 'ns ' || namespace AS namespace, list(greatest(0, latency_ms) ORDER BY latency_ms) AS v FROM rq WHERE op = 'searches'
+    AND floor(epoch(ts)) >= floor(epoch((SELECT max(ts) FROM rq))) - 3600 GROUP BY ALL)
 SELECT namespace, v[floor(len(v) * 0.5)::INTEGER + 1] AS p50_ms, v[least(len(v) - 1, floor(len(v) * 0.95))::INTEGER + 1] AS p95_ms,
   v[least(len(v) - 1, floor(len(v) * 0.99))::INTEGER + 1] AS p99_ms, len(v) AS sample_count FROM s""")
 def stream_latency_stateful(spark, sf):
-    log = fx.request_log(spark, sf, stream=True).filter(F.col("op") == metrics.SEARCH)
-    log = log.withColumn("namespace", F.concat(F.lit("ns "), F.col("namespace").cast("string")))
-    out, checkpoint = scratch_path(spark, "samples"), scratch_path(spark, "samples-checkpoint")
-    latency.write_samples(latency.rolling_samples(log), out, checkpoint).awaitTermination()
-    return latency.rolling_percentiles(spark.read.parquet(out))
+    """The log, of a month, arrives in three parts, in order of time; the stream starts again from its checkpoint for
+    each. What is left of it is the last hour."""
+    log = fx.request_log(spark, sf)
+    low, high = log.agg(F.min("ts"), F.max("ts")).first()
+    named = log.withColumn("namespace", F.concat(F.lit("ns "), F.col("namespace").cast("string")))
+    part = F.floor(3 * (F.unix_seconds(F.col("ts").cast("timestamp")) - int(low.timestamp())) / ((high - low).total_seconds() + 1))
+    source, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "rolling-checkpoint")
+    for i in range(3):
+        named.filter(part == i).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(named.schema).parquet(source).filter(F.col("op") == metrics.SEARCH)
+        latency.run_rolling(stream, checkpoint).awaitTermination()
+    return latency.rolling_percentiles(spark, checkpoint, _now(log))
 
 
 @register("stream_kb_ingest", kb_sql(f"""
@@ -170,7 +178,7 @@ def stream_kb_ingest(spark, sf):
                                *fx.vector_digest())
 
 
-# Three files, the newest changes first: an entry of file f fails in every batch from f on.
+# Three parts, the newest changes first: an entry of part p fails when it arrives and in every later run.
 FAILED = "lg.retries + 1 + seq % 3"
 
 
@@ -180,22 +188,23 @@ UNION ALL BY NAME SELECT seq::VARCHAR AS vector_id, CASE WHEN {FAILED} >= 10 THE
   least(10, {FAILED}) AS retries FROM lg WHERE value >= 50""",
     LOG, CHANGED.format("(SELECT * FROM lg WHERE value >= 5 AND value < 50)")))
 def stream_apply_changes(spark, sf):
-    """The change log as a stream of three files, out of order, into a replica.
+    """The change log as a stream in three parts, out of order, into a replica; it starts again from its checkpoint for
+    each part.
 
     Older entries that arrive late do not overwrite newer ones; entries that fail are tried again with every batch
-    and come back with their state and tries.
+    and come back with their state and tries, which are read from the stream's own state.
     """
     vectors = fx.kb_vectors(spark, sf)
-    log = fx.change_log(vectors, fx.table(spark, sf, "events"))
+    log = materialize(fx.change_log(vectors, fx.table(spark, sf, "events")), "log")
     source, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "changes-checkpoint")
-    for third in (2, 1, 0):
-        log.filter(F.col("seq") % 3 == third).coalesce(1).write.mode("append").parquet(source)
-    store, dead = VectorStore(spark, scratch_path(spark, "replica"), buckets=4), scratch_path(spark, "dead")
+    store, aside = VectorStore(spark, scratch_path(spark, "replica"), buckets=4), scratch_path(spark, "quarantine")
     store.upsert(conform(vectors))
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    live.stream_changes(stream, store, F.col("ok"), dead, checkpoint).awaitTermination()
+    for third in (2, 1, 0):
+        log.filter(F.col("seq") % 3 == third).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(log.schema).parquet(source)
+        changes.stream_changes(stream, store, F.col("ok"), aside, checkpoint).awaitTermination()
     rows = _digest(store.read()).withColumns({"state": F.lit(None).cast("string"), "retries": F.lit(None).cast("long")})
-    given_up = spark.read.schema(log.schema).parquet(f"{dead}/quarantine/batch=*").withColumn("state", F.lit("quarantine"))
-    waiting = spark.read.schema(log.schema).parquet(f"{dead}/retry/batch=2").withColumn("state", F.lit("retry"))
+    given_up = spark.read.schema(log.schema).parquet(f"{aside}/batch=*").withColumn("state", F.lit("quarantine"))
+    waiting = changes.waiting(spark, checkpoint, log.schema).withColumn("state", F.lit("retry"))
     failed = given_up.unionByName(waiting).select(F.col("seq").cast("string").alias("vector_id"), "state", "retries")
     return rows.unionByName(failed, allowMissingColumns=True)

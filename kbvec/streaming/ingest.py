@@ -1,20 +1,16 @@
-"""Streaming forms of the polling loads: knowledge-base rows and change logs into a store."""
+"""The streaming form of the polling load: knowledge-base rows into a store."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kbvec.operators.ingest import kb_to_vectors, validate
 from kbvec.operators.mutate import last_per_id
-from kbvec.operators.replicate import drain_step
 from kbvec.session import broadcast_if_small, materialize
 from kbvec.sources.store import VectorStore
 
-#: Batches after which the list of applied changes is merged into one folder.
-MERGE_EVERY = 50
-
 
 def newer_than_stored(rows: DataFrame, store: VectorStore) -> DataFrame:
     """Rows at least as recent as the stored row of their id; a replay or an overlap thus does no harm."""
@@ -41,71 +37,3 @@ def stream_kb(rows: DataFrame, store: VectorStore, dim: int, checkpoint: str, re
 
     return (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
-
-
-class ChangeLedger:
-    """Which change was last applied to an id (deletes too), as folders of a batch each."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self._path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
-        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _batches(self, before: int) -> list[int]:
-        folder = self._path(self.path)
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
-        return sorted(b for b in (int(n[6:]) for n in names if n.startswith("batch=")) if b < before)
-
-    def _read(self, batches: list[int]) -> DataFrame:
-        return self.spark.read.schema("vector_id string, seq long").parquet(
-            *[f"{self.path}/batch={b}" for b in batches])
-
-    def newer(self, changes: DataFrame, batch_id: int) -> DataFrame:
-        """``changes`` without those that an applied change of their id has overtaken."""
-        held = self._batches(batch_id)
-        if not held:
-            return changes
-        ids = broadcast_if_small(changes.select("vector_id"))
-        known = self._read(held).join(ids, "vector_id", "left_semi").groupBy("vector_id").agg(F.max("seq").alias("_seq"))
-        return changes.join(known, "vector_id", "left").filter(
-            F.col("_seq").isNull() | (F.col("seq") > F.col("_seq"))).drop("_seq")
-
-    def add(self, changes: DataFrame, batch_id: int) -> None:
-        """Note applied changes; a repeated batch replaces its own folder."""
-        noted = changes.groupBy("vector_id").agg(F.max("seq").cast("long").alias("seq"))
-        held = self._batches(batch_id)
-        if len(held) < MERGE_EVERY:
-            noted.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-            return
-        merged = self._read(held).unionByName(noted).groupBy("vector_id").agg(F.max("seq").alias("seq"))
-        merged.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-        for b in held:
-            self._fs.delete(self._path(f"{self.path}/batch={b}"), True)
-
-
-def stream_changes(log: DataFrame, store: VectorStore, ok: Column, dead_letters: str,
-                   checkpoint: str) -> StreamingQuery:
-    """Apply a stream of change entries to a replica.
-
-    An entry that fails is tried again with the next batch, until its tries are used up; then it is put into
-    quarantine. ``dead_letters`` holds ``retry`` (by batch; the newest waits for the next batch or run), ``quarantine``
-    (by batch) and ``applied`` (the last change of every id, by which an older entry that arrives late is skipped).
-    Folders are named by batch, so a repeated batch replaces its own.
-    """
-    spark = log.sparkSession
-    ledger = ChangeLedger(spark, f"{dead_letters}/applied")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        waiting = f"{dead_letters}/retry/batch={batch_id - 1}"
-        if batch_id and ledger._fs.exists(ledger._path(waiting)):
-            batch = batch.unionByName(spark.read.schema(batch.schema).parquet(waiting))
-        drained = materialize(drain_step(batch, ok), "drained")
-        for state in ("retry", "quarantine"):
-            (drained.filter(F.col("state") == state).select(*batch.columns)
-             .write.mode("overwrite").parquet(f"{dead_letters}/{state}/batch={batch_id}"))
-        done = ledger.newer(drained.filter(F.col("state") == "done"), batch_id)
-        store.apply_changes(done)
-        ledger.add(done, batch_id)
-
-    return (log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())

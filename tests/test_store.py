@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from kbvec.operators import replicate
 from kbvec.schema import conform
 from kbvec.sources.store import VectorStore
 from kbvec.sources.tables import read_vectors, write_vectors
@@ -209,74 +208,3 @@ def test_windows_equal_batch(spark, tmp_path, build):
     end = F.col("window_start") + F.expr("INTERVAL 1 HOUR")
     want = build(df).filter(end <= F.lit(closed).cast("timestamp_ntz"))
     assert want.count() > 5 and same(spark.read.schema(windows.schema).parquet(out), want)
-
-
-def test_rolling_percentiles_over_several_batches(spark, tmp_path):
-    df, stream = requests(spark, str(tmp_path / "in"), n=4000)
-    out = str(tmp_path / "out")
-    latency.write_samples(latency.rolling_samples(stream), out, str(tmp_path / "c")).awaitTermination()
-    got = {r["namespace"]: tuple(r)[1:] for r in latency.rolling_percentiles(spark.read.parquet(out)).collect()}
-    data = df.collect()
-    assert len(list((tmp_path / "out").glob("snapshot=*"))) <= 2
-    for namespace in range(4):
-        v = sorted(r["latency_ms"] for r in data if r["namespace"] == namespace)
-        n = len(v)
-        assert got[namespace] == (v[int(n * .5)], v[min(n - 1, int(n * .95))], v[min(n - 1, int(n * .99))], n)
-
-
-def test_stream_changes(spark, tmp_path):
-    store = VectorStore(spark, str(tmp_path / "s"), buckets=1)
-    store.upsert(rows(spark, ("a", "t", "1"), ("b", "t", "1")))
-    log = rows(spark, ("a", "t", "2"), ("b", "t", "x"), ("c", "t", "2"), ("d", "t", "2")).withColumn(
-        "seq", F.monotonically_increasing_id()).select(
-        "*", F.when(F.col("vector_id") == "b", "delete").otherwise("upsert").alias("op"),
-        F.lit("p").alias("payload"), F.lit(1).alias("queued_at"),
-        F.when(F.col("vector_id") == "d", 9).otherwise(0).alias("retries"), (F.col("vector_id") < "c").alias("ok"))
-    source, dead = str(tmp_path / "in"), str(tmp_path / "dead")
-    log.write.parquet(source)
-    stream = spark.readStream.schema(log.schema).parquet(source)
-    live.stream_changes(stream, store, F.col("ok"), dead, str(tmp_path / "c")).awaitTermination()
-    assert held(store) == {"a": ("t", "2")}
-    failed = {r["vector_id"]: (s, r["retries"]) for s in ("retry", "quarantine")
-              for r in spark.read.parquet(f"{dead}/{s}").collect()}
-    assert failed == {"c": ("retry", 1), "d": ("quarantine", 10)}
-    assert replicate.latest_changes(log).count() == 4
-    assert conform(store.read()).count() == 1
-
-
-def changes(spark, path, *data):
-    df = spark.createDataFrame(list(data), "seq long, vector_id string, op string, content string, retries int, ok boolean")
-    whole = df.select("*", F.lit("t").alias("bot_id"), F.array(F.lit(1.0)).alias("embedding"), F.lit("p").alias("payload"),
-                      F.col("seq").alias("queued_at"))
-    whole.coalesce(1).write.mode("append").parquet(path)
-    return whole.schema
-
-
-def test_older_changes_that_arrive_late_are_skipped(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(live, "MERGE_EVERY", 2)
-    store, source, dead = VectorStore(spark, str(tmp_path / "s"), buckets=2), str(tmp_path / "in"), str(tmp_path / "dead")
-
-    def run(*data):
-        schema = changes(spark, source, *data)
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-        live.stream_changes(stream, store, F.col("ok"), dead, str(tmp_path / "c")).awaitTermination()
-
-    run((9, "a", "upsert", "new", 0, True), (8, "b", "delete", "", 0, True))
-    run((3, "a", "upsert", "old", 0, True), (4, "b", "upsert", "old", 0, True))
-    assert held(store) == {"a": ("t", "new")}
-    run((5, "a", "upsert", "old", 0, True), (10, "c", "upsert", "c", 0, True))
-    run((2, "c", "delete", "", 0, True), (7, "b", "upsert", "old", 0, True), (11, "b", "upsert", "again", 0, True))
-    assert held(store) == {"a": ("t", "new"), "b": ("t", "again"), "c": ("t", "c")}
-
-
-def test_failed_changes_are_tried_until_they_are_set_aside(spark, tmp_path):
-    store, source, dead = VectorStore(spark, str(tmp_path / "s"), buckets=1), str(tmp_path / "in"), str(tmp_path / "dead")
-    seen = []
-    for i in range(4):
-        schema = changes(spark, source, *([(1, "a", "upsert", "x", 7, False)] if i == 0 else [(i + 1, "b", "upsert", str(i), 0, True)]))
-        stream = spark.readStream.schema(schema).parquet(source)
-        live.stream_changes(stream, store, F.col("ok"), dead, str(tmp_path / "c")).awaitTermination()
-        waiting = [r["retries"] for r in spark.read.schema(schema).parquet(f"{dead}/retry/batch={i}").collect()]
-        aside = [r["retries"] for r in spark.read.schema(schema).parquet(f"{dead}/quarantine/batch={i}").collect()]
-        seen.append((waiting, aside))
-    assert seen == [([8], []), ([9], []), ([], [10]), ([], [])] and held(store) == {"b": ("t", "3")}
