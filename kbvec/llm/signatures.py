@@ -1,8 +1,8 @@
 r"""Ranked lexical search over bit-sliced Bloom signatures.
 
 Documents of about one size form a block. A block has rows of bits, one bit for each document; a term of a document
-sets that document's bit in three rows picked by hashing. The bits of a term in all documents of a block are the *and*
-of its three rows: never too few, sometimes too many. A term that occurs tf times is entered once for every level of
+sets that document's bit in eight rows picked by hashing. The bits of a term in all documents of a block are the *and*
+of its rows: never too few, sometimes too many. A term that occurs tf times is entered once for every level of
 ``LEVELS`` up to tf, so the same rows bound how often it occurs.
 
 1. One scan of the texts writes the blocks with the length of each document, and counts the documents of each query
@@ -39,7 +39,7 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE, ONE, PER_LENGTH, BASE_LENGTH, LENGTH_PART = 1_000_000_000, 1_000, 20, 50, 50
 #: Counts from which a term is entered once more.
 LEVELS = np.array([1, 2, 3, 4, 5, 6, 8, 10, 13, 17, 24, 36, 60, 120, 300, 1000])
-ROWS_PER_ENTRY, HASHES = 10, 3
+ROWS_PER_ENTRY, HASHES = 24, 8
 #: Entries and documents of a block, at most (one document may have more entries).
 BLOCK_ENTRIES, BLOCK_DOCS = 100_000, 1_024
 #: Queries of one pass.
