@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbvec.llm import (chat, contamination, jaccard, linededup, neighbours, pieces, quality, secrets, sharding, signatures,
-                       spelling, tokencounts)
+                       spelling, tokencounts, toxicity)
 from kbvec.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,9 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
 WHERE rank <= 50""")
 def op13(spark, sf_dir):
     return signatures.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@register("op12_toxicity")
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
