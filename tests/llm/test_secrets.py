@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 from kbvec.llm import secrets
 
@@ -80,3 +81,62 @@ def test_secrets_with_slashes(spark):
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
     got = {r["doc_id"]: r["spans"] for r in secrets.digest(docs).collect()}
     assert got == {i: want for i, (_, want) in enumerate(rows)}
+
+
+# Fixed values, by hand: nothing of the operator's own constants.
+WORDS = re.compile("example|placeholder|changeme|xxxx|test_?key|0123456789|abcdefghij", re.I)
+UUID = re.compile("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+
+
+def by_hand(text):
+    """Spans as text, from rules written out here."""
+    found = []
+    for m in re.finditer(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        found += [(m.start(), 0, "assign", m.end())] if len(m[1]) >= 8 else []
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+
+    def random_looking(part):
+        if len(part) < 20:
+            return False
+        best = max(entropy(part[i:i + 20]) for i in range(len(part) - 19))
+        plain = set(part) - set("0123456789_=-")
+        least = 3.2 if set(part) <= set("0123456789abcdefABCDEF") else 3.6 if all("a" <= c <= "z" for c in plain) or all(
+            "A" <= c <= "Z" for c in plain) else 3.8
+        return best >= least - 1e-9
+
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+        run = m[0]
+        parts = run.split("/")
+        path = len(parts) > 1 and all(parts) and set(parts[0]) <= set("abcdefghijklmnopqrstuvwxyz-") and set(run) <= set(
+            "abcdefghijklmnopqrstuvwxyz0123456789_-/")
+        if (len(run) >= 20 and re.search("[0-9]", run) and re.search("[A-Za-z]", run) and not WORDS.search(run)
+                and not UUID.fullmatch(run) and any(map(random_looking, parts if path else [run]))):
+            found.append((m.start(), 3, "entropy", m.end()))
+    return ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found))
+
+
+def test_against_rules_by_hand(spark):
+    rng = random.Random(8)
+    kinds = ["ab01", "abcdef0123456789", "abcdefghijklmnopqrstuvwxyz0123456789_-/", "ABCXYZ0189=-", "aZ09+/_=-bYcX", "ab/cd/e1"]
+    runs = ["".join(rng.choice(k) for _ in range(rng.choice([5, 19, 20, 21, 40, 90]))) for k in kinds for _ in range(40)]
+    # Pieces of a long candidate: one random stretch across the border of two pieces, and none at all.
+    quiet = "ab0" * 3000
+    runs += [quiet, quiet[:4086] + "Zx8Kq2Wm7Rt4Yp1Vn6Bc" + quiet, quiet[:4095] + "Zx8Kq2Wm7Rt4Yp1Vn6Bc", "a/" * 4000 + "b1c2"]
+    rows = [(i, " ".join(rng.sample(runs[:240], 3)) + " é " + runs[i]) for i in range(len(runs))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(docs).select("doc_id", "spans").collect()}
+    assert got == {i: by_hand(t) for i, t in rows}
+    assert sum("entropy" in s for s in got.values()) > 50
+
+
+def test_long_candidates_and_many_matches(spark):
+    rng = random.Random(9)
+    encoded = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWYZabcdefghijklmnopqrstuvwyz0123456789+/") for _ in range(1_000_000))
+    quiet, many = "ab0" * 400_000, " ".join(["d41d8cd98f00b204e9800998ecf8427e"] * 100_000)
+    docs = spark.createDataFrame([(1, encoded), (2, quiet), (3, many)], "doc_id long, text string")
+    start = time.time()
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(docs).collect()}
+    assert time.time() - start < 90
+    assert got[1] == "entropy:0:1000000" and got[2] == ""
+    assert got[3].count("hex") == got[3].count("entropy") == 100_000 and got[3].endswith("hex:3299967:3299999,entropy:3299967:3299999")
