@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kbvec.operators import metrics, replicate
+from kbvec.operators import metrics, replicate, sketches
 from kbvec.plans import fixtures as fx
 from kbvec.plans.registry import HAS_VECTOR, kb_sql, register, vector_sql
 from kbvec.plans.table_queries import APPLIED, CHANGED, LOG, _digest
@@ -38,6 +38,31 @@ def metric_counters(spark, sf):
     return metrics.metric_counters(fx.request_log(spark, sf))
 
 
+@register("latency_sketches", f"""WITH {REQUESTS}
+SELECT namespace, count(*) AS samples, true AS within, count(DISTINCT date_trunc('hour', ts)) AS minutes FROM rq GROUP BY namespace""")
+def latency_sketches(spark, sf):
+    """Quantiles of all requests from one sketch an hour (the log is sparse), stored in two loads and merged.
+
+    ``within``: the exact rank of each quantile is off by less than a hundredth of the samples.
+    """
+    log, path = fx.request_log(spark, sf), scratch_path(spark, "sketches")
+    loads = [sketches.sketch_minutes(log.filter(F.col("event_id") % 2 == i), unit="hour") for i in (0, 1)]
+    sketches.add_sketches(*loads).write.parquet(path)
+    stored = spark.read.schema(loads[0].schema).parquet(path)
+    errors = sketches.rank_errors(materialize(sketches.latency_quantiles(stored), "quantiles"), log)
+    within = (F.col("rank_error") < sketches.RANK_ERROR).alias("within")
+    return errors.select("namespace", "samples", within).join(
+        stored.groupBy("namespace").agg(F.count("*").alias("minutes")), "namespace")
+
+
+@register("busy_minutes", f"""WITH {REQUESTS}
+SELECT namespace, date_trunc('hour', ts) AS minute, count(*) AS requests, count(*) - 3 AS refused FROM rq
+GROUP BY ALL HAVING count(*) > 3""")
+def busy_minutes(spark, sf):
+    """Hours over quota, read from the sketches' own counts."""
+    return sketches.busy_minutes(sketches.sketch_minutes(fx.request_log(spark, sf), unit="hour"), 3)
+
+
 HITS = """(SELECT count(*) FILTER (op = 'searches') AS searches, count(*) FILTER (op = 'query_cache_hit') AS cache_hits FROM rq)"""
 RATE = "CASE WHEN searches > 0 THEN round(cache_hits / greatest(1, searches + cache_hits), 3) ELSE 0.0 END"
 
