@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kbvec.functions.vectors import dequantize_int8, quantize_int8, roundtrip_cosine
-from kbvec.operators import ann, batch, bm25, hybrid, textindex
+from kbvec.operators import ann, batch, bm25, hybrid, pq, textindex
 from kbvec.operators.search import boost, overfetch, scored, search, to_matches
 from kbvec.plans import fixtures as fx
 from kbvec.plans.registry import ASKED, kb_sql, register, words_sql
-from kbvec.session import scratch_path
+from kbvec.session import materialize, scratch_path
 
 K = 10
 COSINE = "list_cosine_similarity(kb.embedding, qe)"
@@ -333,7 +333,7 @@ def query_batch_collapse(spark, sf):
     return found.select(F.col("query_id").alias("request"), "vector_id", "rank", r6())
 
 
-HASH = ann.HyperplaneHash(fx.DIM, tables=8, bits=4)
+HASH = ann.HyperplaneHash(fx.DIM, tables=16, bits=3)
 
 
 def _hash_ctes(hashing: ann.HyperplaneHash) -> list[str]:
@@ -367,6 +367,25 @@ def ann_topk_recall(spark, sf):
     return ann.recall(found, batch.search_batch(rows, asked, K))
 
 
+#: Share of lists that a query probes, and rows by codes for each row asked for.
+PROBE = {"probe": 0.75, "keep": 5}
+
+
+@register("pq_topk_recall", kb_sql("""
+SELECT count(*) AS queries, true AS mean_reached, true AS least_reached, true AS fewer_bytes FROM (
+  SELECT DISTINCT bot_id, label FROM kb)"""))
+def pq_topk_recall(spark, sf):
+    """The label means against an index of codes: a mean recall of 0.95 and a least one of 0.9, for fewer bytes."""
+    rows, path = _plain(spark, sf), scratch_path(spark, "pq")
+    quantiser = pq.build_index(rows, path, list_rows=250)
+    asked = materialize(fx.centroids(rows), "asked")
+    found = pq.search(path, asked, quantiser, K, **PROBE)
+    read = pq.read_bytes(quantiser, rows.count(), K, **PROBE)
+    return pq.report(found, batch.search_batch(rows, asked, K)).select(
+        "queries", (F.col("mean_recall") >= 0.95).alias("mean_reached"), (F.col("least_recall") >= 0.9).alias("least_reached"),
+        F.lit(read["codes"] + read["vectors"] < read["exact"]).alias("fewer_bytes"))
+
+
 # --- quantisation ------------------------------------------------------------------------------
 
 QUANTIZED = ("list_transform(embedding, lambda x: greatest(-128.0, least(127.0, round(x * 127.0)))::INTEGER)")
