@@ -119,14 +119,14 @@ WITH w AS (
   SELECT doc_id, i - 1 AS line, list_filter(string_split_regex(string_split(text, chr(10))[i], '[\x20\x09-\x0D]+'),
     lambda x: x <> '') AS words
   FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
-l AS (SELECT doc_id, line, words, len(words) AS n FROM w WHERE len(words) >= 5),
+l AS (SELECT doc_id, line, words, len(words) AS n FROM w WHERE len(words) > 0),
 v AS (
   SELECT doc_id, line, words, n, p, CASE WHEN p = 0 THEN words ELSE words[1:p - 1] || words[p + 1:n] END AS variant
-  FROM (SELECT *, unnest(range(CASE WHEN n >= 10 THEN n + 1 ELSE 1 END)) AS p FROM l)),
+  FROM (SELECT *, unnest(range(CASE WHEN n >= 5 THEN n + 1 ELSE 1 END)) AS p FROM l)),
 near AS (
   SELECT a.doc_id, a.line, b.doc_id AS kept_doc_id, b.line AS kept_line, CASE WHEN a.words = b.words THEN 0 ELSE 1 END AS edits
   FROM v a JOIN v b ON a.variant = b.variant AND (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.line < a.line)
-    AND (a.p = b.p OR a.p = 0 AND a.n >= 10 AND b.n >= 10 OR b.p = 0 AND a.n >= 10 AND b.n >= 10))
+    AND (a.p = b.p OR a.p = 0 AND a.n >= 5 AND b.n >= 5 OR b.p = 0 AND a.n >= 5 AND b.n >= 5))
 SELECT doc_id, CAST(line AS INTEGER) AS line, kept_doc_id, CAST(kept_line AS INTEGER) AS kept_line, edits FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY kept_doc_id, kept_line, edits) AS r FROM near) WHERE r = 1""")
 def op7(spark, sf_dir):
