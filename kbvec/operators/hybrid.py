@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kbvec.operators.batch import best_per_query, search_batch
-from kbvec.operators.bm25 import bm25_batch, leg_size
+from kbvec.operators.bm25 import bm25_batch, bm25_scores, leg_size, query_terms
 from kbvec.operators.filters import tenant_rows
 from kbvec.operators.search import Rerank, dedup_sources, overfetch, scored, search, take_top
 from kbvec.operators.textindex import index_top
@@ -18,6 +18,8 @@ from kbvec.session import broadcast_if_small, materialize
 
 # Fixed value: weight of the vector leg.
 DEFAULT_ALPHA = 0.7
+#: By how much the legs grow when dedup leaves too few sources.
+GROWTH = 4
 
 
 def normalize(scores: DataFrame, by: str = "query_id") -> DataFrame:
@@ -54,25 +56,35 @@ def hybrid_search(vectors: DataFrame, query: Sequence[float], text: str, k: int
 
     The text leg scores live text, or reads the index at ``text_index``, which must be of the table's ``version`` and
     only touches the postings of the query's words. With ``text_available=False`` (no text leg can be computed) raw
-    vector scores come back, deduped as a list when asked for.
+    vector scores come back, deduped as a list when asked for. Where one source fills the legs so that fewer than ``k``
+    sources are left, both legs are taken ``GROWTH`` times as long (and normalised anew) until there are enough.
     """
     if not text:
         return search(vectors, query, k, tenant, spec, metric, dim, dedup, rerank)
-    fetch = overfetch(k) if dedup else k
     own = tenant_rows(vectors, tenant, spec)
-    leg = take_top(scored(own, query, metric, dim), leg_size(fetch))
-    if text_available:
-        one = F.lit(0).alias("query_id")
+    terms = query_terms(vectors.sparkSession, text) if text_available and not text_index else []
+
+    def blended(rows: int) -> DataFrame:
+        leg = take_top(scored(own, query, metric, dim), rows)
+        if not text_available:
+            return leg
         if text_index:
-            words_leg = index_top(vectors.sparkSession, text_index, text, leg_size(fetch), tenant, spec, version)
+            words_leg = index_top(vectors.sparkSession, text_index, text, rows, tenant, spec, version)
         else:
-            asked = vectors.sparkSession.createDataFrame(
-                [("0", tenant, text)], "query_id string, bot_id string, query_text string")
-            words_leg = bm25_batch(vectors, asked, leg_size(fetch), spec=spec)
-        leg = blend(leg.select(one, "*"), words_leg.select(one, "vector_id", "score"), alpha).drop("query_id")
-    found = take_top(leg, fetch)
-    if dedup:
-        found = dedup_sources(found, k)
+            words_leg = take_top(bm25_scores(vectors, terms, own), rows)
+        one = F.lit(0).alias("query_id")
+        return blend(leg.select(one, "*"), words_leg.select(one, "vector_id", "score"), alpha).drop("query_id")
+
+    if not dedup:
+        found = take_top(blended(leg_size(k)), k)
+    else:
+        rows = leg_size(overfetch(k))
+        while True:
+            leg = materialize(blended(rows), "blended")
+            found = dedup_sources(leg, k)
+            if found.count() >= k or leg.count() < rows:
+                break
+            rows *= GROWTH
     return rerank(found) if rerank else found
 
 
@@ -83,17 +95,31 @@ def hybrid_batch(vectors: DataFrame, queries: DataFrame, k: int = 50, alpha: flo
     Both legs are computed for all queries at once; each query is blended and deduped like a single one. Queries
     without a text are plain vector searches.
     """
-    fetch = overfetch(k) if dedup else k
     blank = F.coalesce("query_text", F.lit("")) == ""
-    with_text = queries.filter(~blank)
-    leg = search_batch(vectors, with_text, leg_size(fetch), metric, spec).drop("rank")
-    text = bm25_batch(vectors, with_text, leg_size(fetch), spec=spec).drop("rank")
-    mixed = blend(materialize(leg, "vector-leg"), materialize(text, "text-leg"), alpha)
-    best = best_per_query(mixed, fetch)
-    if dedup:
-        urls = vectors.select("vector_id", "source_url").join(
-            broadcast_if_small(materialize(best.drop("rank"), "blended")), "vector_id")
-        best = best_per_query(dedup_sources(urls, k, by=["query_id"]).drop("source_url"), k)
-    plain = search_batch(vectors, queries.filter(blank), k, metric, spec, dedup)
     columns = ["query_id", "vector_id", "score", "rank"]
-    return best.select(*columns).unionByName(plain.select(*columns))
+    plain = search_batch(vectors, queries.filter(blank), k, metric, spec, dedup).select(*columns)
+    asked, rows = queries.filter(~blank), leg_size(overfetch(k) if dedup else k)
+    if not dedup:
+        return best_per_query(_blended_batch(vectors, asked, rows, alpha, metric, spec), k).select(*columns).unionByName(plain)
+    done = plain
+    while True:
+        # Legs hold a fixed number of rows for each query.
+        leg = materialize(_blended_batch(vectors, asked, rows, alpha, metric, spec), "blended")
+        urls = vectors.select("vector_id", "source_url").join(broadcast_if_small(leg), "vector_id")
+        found = materialize(best_per_query(dedup_sources(urls, k, by=["query_id"]).drop("source_url"), k).select(*columns), "found")
+        full = leg.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= rows)
+        short = full.join(found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k), "query_id", "left_anti")
+        short = materialize(short.select("query_id"), "short")
+        done = done.unionByName(found.join(broadcast_if_small(short), "query_id", "left_anti"))
+        if short.isEmpty():
+            return done
+        again = short.withColumnRenamed("query_id", "_id")
+        asked = asked.join(broadcast_if_small(again), F.col("query_id").cast("string") == F.col("_id"), "left_semi")
+        rows *= GROWTH
+
+
+def _blended_batch(vectors: DataFrame, queries: DataFrame, rows: int, alpha: float, metric: str,
+                   spec: Mapping[str, Any] | None) -> DataFrame:
+    leg = search_batch(vectors, queries, rows, metric, spec).drop("rank")
+    text = bm25_batch(vectors, queries, rows, spec=spec).drop("rank")
+    return blend(materialize(leg, "vector-leg"), materialize(text, "text-leg"), alpha)

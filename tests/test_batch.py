@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kbvec.operators import ann, batch, bm25, hybrid, textindex
 from kbvec.operators.filters import tenant_rows
 from kbvec.operators.search import rerank_groups
+from kbvec.schema import conform
 
 
 def make(spark, n=400, dim=8, seed=3):
@@ -278,3 +279,21 @@ def test_hybrid_invariants(vectors):
     # Rows found by text only are no candidates of the vector leg's tenant and filter.
     assert "b" not in ids(hybrid.hybrid_search(vectors, q, "gamma", 5, spec={"type": {"$eq": "post"}}))
     assert len([u for u in hybrid.hybrid_search(vectors, q, "alpha", 5, dedup=True).collect() if u["source_url"] == "u/a"]) == 1
+
+
+def test_hybrid_dedup_is_complete(spark):
+    """One source fills the legs many times over; the other sources come all the same."""
+    near = [(f"a{i:04d}", [1.0, i / 1e6], "alpha beta", "u/a") for i in range(900)]
+    far = [(f"b{i}", [0.5 - i / 100, 1.0], "alpha gamma", f"u/b{i}") for i in range(6)]
+    rows = conform(spark.createDataFrame([(v, "default", e, c, u) for v, e, c, u in near + far],
+                                         "vector_id string, bot_id string, embedding array<double>, content string, source_url string"))
+    got = hybrid.hybrid_search(rows, [1.0, 0.0], "alpha", 5, dedup=True).collect()
+    assert [r["source_url"] for r in got] == ["u/a", "u/b0", "u/b1", "u/b2", "u/b3"]
+    assert [r["source_url"] for r in hybrid.hybrid_search(rows, [1.0, 0.0], "alpha", 9, dedup=True).collect()] == [
+        "u/a", *[f"u/b{i}" for i in range(6)]]
+    asked = spark.createDataFrame([("q", "default", [1.0, 0.0], "alpha"), ("r", "default", [0.0, 1.0], "gamma"), ("s", "default", [1.0, 0.0], "")],
+                                  "query_id string, bot_id string, embedding array<double>, query_text string")
+    found = {}
+    for r in hybrid.hybrid_batch(rows, asked, 5, dedup=True).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vector_id"])
+    assert found["q"] == [r["vector_id"] for r in got] and found["r"][0] == "b5" and {len(v) for v in found.values()} == {5}
