@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kbvec.llm import (chat, contamination, jaccard, linededup, neighbours, pieces, quality, secrets, sharding, signatures,
                        spelling, tokencounts, toxicity)
 from kbvec.llm.tables import table
+from kbvec.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,7 +48,7 @@ def op1(spark, sf_dir):
 
 @register("op3_sharding")
 def op3(spark, sf_dir):
-    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40, version_path=scratch_path(spark, "slot-map"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "vslot")
 

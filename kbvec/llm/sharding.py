@@ -15,6 +15,7 @@ unedited map; a column of the input that carries the name of a result column is
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +28,12 @@ KEEP_SHARE = 0.9
 BUCKET_ROWS = 50_000
 
 
-def records(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, size, checksum and virtual slot of every record."""
+def records(docs: DataFrame, *carry: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, size, checksum and virtual slot of every record, and the columns ``carry``."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"),
                        (F.octet_length(body) + RECORD_OVERHEAD).cast("long").alias("size"),
-                       F.crc32(body).cast("long").alias("text_crc32"))
+                       F.crc32(body).cast("long").alias("text_crc32"), *carry)
     hashed = F.xxhash64("doc_id", "text_crc32", "size")
     return rows.select("*", F.pmod(hashed, F.lit(SLOTS)).cast("int").alias("vslot"),
                        F.shiftrightunsigned(hashed, 32).alias("spread"))
@@ -76,7 +77,9 @@ def rebalance(slot_map: DataFrame, measured: DataFrame, shards: int, keep_share:
     heavy_first = Window.partitionBy("shard").orderBy(F.col("bytes").desc(), "vslot")
     even = F.sum("bytes").over(Window.partitionBy(F.lit(0))) / F.lit(shards)
     kept = (F.sum("bytes").over(heavy_first.rowsBetween(Window.unboundedPreceding, 0)) <= even * F.lit(keep_share))
-    judged = loaded.select("version", "vslot", "shard", "bytes", (kept & (F.col("shard") < shards)).alias("stays"))
+    # A slot without records stays too, as moving it evens out nothing.
+    stays = (kept | (F.col("bytes") == 0)) & (F.col("shard") < shards)
+    judged = loaded.select("version", "vslot", "shard", "bytes", stays.alias("stays"))
     one = judged.agg(
         F.max("version").alias("version"),
         F.sort_array(F.collect_list(F.when(F.col("stays"), F.struct("vslot", "shard")))).alias("staying"),
@@ -91,8 +94,8 @@ def rebalance(slot_map: DataFrame, measured: DataFrame, shards: int, keep_share:
             .select("version", "to.vslot", "to.shard"))
 
 
-def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
-    """shard and, within it, a gapless position for every record.
+def place(rows: DataFrame, slot_map: DataFrame, *carry: str) -> DataFrame:
+    """shard and, within it, a gapless position for every record, and the columns ``carry``.
 
     Positions come from row counts of buckets (a slot, divided further where slots are large) and the rank inside one
     bucket, so no task sorts a whole shard.
@@ -107,25 +110,48 @@ def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("vslot", "part").orderBy("doc_id", "text_crc32", "size"))
     return placed.withColumn("rank", rank).join(starts, ["vslot", "part"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("rank") - 1).cast("long").alias("slot"),
-        "vslot")
+        "vslot", *carry)
+
+
+def stored_map(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest version of the map below ``path``; None where there is none yet."""
+    try:
+        kept = spark.read.schema("vslot int, shard int, version int").parquet(path)
+        newest = kept.agg(F.max("version")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return kept.filter(F.col("version") == newest).select("version", "vslot", "shard") if newest is not None else None
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, version_path: str | None = None) -> DataFrame:
     """Place all ``docs``: shards of nearly equal bytes (law ``bytes``).
 
-    ``version_path`` keeps both versions of the map (columns version, vslot, shard) as Parquet.
+    ``version_path`` keeps the map as Parquet (version, vslot, shard): its newest version is read, edited for these
+    documents and number of shards, and the next version is added; without any, slots dealt out in turn are the first.
+    A version is a folder of its own and no older one is touched; one writer at a time.
     """
     spark = docs.sparkSession
     # Narrow rows, written once: the texts are read a single time.
     rows = materialize(records(docs), "records")
-    first = initial_map(spark, shards)
+    before = stored_map(spark, version_path) if version_path else None
+    first = initial_map(spark, shards) if before is None else before
     balanced = rebalance(first, slot_bytes(rows), shards)
     if version_path:
-        first.unionByName(balanced).write.mode("overwrite").partitionBy("version").parquet(version_path)
-        balanced = spark.read.parquet(version_path).filter("version = 2").select("vslot", "shard")
+        added = first.unionByName(balanced) if before is None else balanced
+        added.write.mode("append").partitionBy("version").parquet(version_path)
+        balanced = stored_map(spark, version_path)
     return place(rows, balanced)
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Records as Parquet, one folder for each shard; the tasks of a shard write files of their own."""
-    docs.join(placed.select("doc_id", "shard", "slot"), "doc_id").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, slot_map: DataFrame, path: str) -> None:
+    """Records as Parquet with their shard and slot, one folder for each shard; the tasks of a shard write files of
+    their own. Columns of ``docs`` by those two names are replaced.
+
+    A record's shard follows from its own hash, so repeated rows and rows without an id are written once each.
+    """
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    placed = place(records(whole, "_row"), slot_map, "_row")
+    columns = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    placed.select(*columns, "slot", "shard").write.partitionBy("shard").parquet(path)

@@ -47,3 +47,30 @@ def test_empty_table_and_plan(spark, docs):
     assert "Python" not in sharding.shard_documents(docs)._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         sharding.initial_map(spark, 0)
+
+
+def test_a_stored_map_is_edited(spark, docs, tmp_path):
+    """The next documents are placed by the newest version, of which most slots stay where they are."""
+    path = str(tmp_path / "map")
+    sharding.shard_documents(docs, shards=6, version_path=path)
+    second = {r["vslot"]: r["shard"] for r in sharding.stored_map(spark, path).collect()}
+    placed = sharding.shard_documents(docs.unionByName(docs.limit(300)), shards=7, version_path=path)
+    newest = sharding.stored_map(spark, path)
+    third = {r["vslot"]: r["shard"] for r in newest.collect()}
+    assert newest.first()["version"] == 3 and spark.read.parquet(path).count() == 3 * sharding.SLOTS
+    assert {r["shard"] for r in placed.collect()} == set(range(7))
+    stayed = sum(second[v] == third[v] for v in second)
+    assert stayed > 0.6 * sharding.SLOTS and all(third[v] == s for v, s in {r["vslot"]: r["shard"] for r in placed.collect()}.items())
+    assert sharding.stored_map(spark, str(tmp_path / "none")) is None
+
+
+def test_written_shards_hold_every_row_once(spark, docs, tmp_path):
+    sharding.shard_documents(docs, shards=5, version_path=str(tmp_path / "map"))
+    out = str(tmp_path / "out")
+    sharding.write_shards(docs, sharding.stored_map(spark, str(tmp_path / "map")), out)
+    got = spark.read.parquet(out)
+    assert sorted(map(str, got.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
+    places = {}
+    for r in got.collect():
+        places.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(places) == list(range(5)) and all(sorted(v) == list(range(len(v))) for v in places.values())
