@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kbvec.operators import lookup, mutate, replicate
+from kbvec.operators import digests, lookup, mutate, replicate
 from kbvec.plans import fixtures as fx
 from kbvec.plans.registry import kb_sql, register, vector_sql
 from kbvec.schema import conform
@@ -253,3 +253,16 @@ WHERE r.vector_id IS NULL OR k.vector_id IS NULL OR k.content <> r.content""", R
 def row_diff(spark, sf):
     vectors = fx.kb_vectors(spark, sf)
     return replicate.row_diff(vectors, fx.replica(vectors))
+
+
+@register("row_diff_tree", kb_sql("""
+SELECT coalesce(k.vector_id, r.vector_id) AS vector_id,
+  CASE WHEN r.vector_id IS NULL THEN 'missing' WHEN k.vector_id IS NULL THEN 'extra' ELSE 'changed' END AS change
+FROM kb k FULL JOIN rp r ON k.vector_id = r.vector_id
+WHERE r.vector_id IS NULL OR k.vector_id IS NULL OR k.content <> r.content""", REPLICA))
+def row_diff_tree(spark, sf):
+    """The same difference between stored copies, found from their digests; equal leaves are not read."""
+    vectors, paths = fx.kb_vectors(spark, sf), [scratch_path(spark, "copy") for _ in range(2)]
+    for rows, path in zip((vectors, fx.replica(vectors)), paths):
+        digests.write_copy(rows, path)
+    return digests.tree_diff(spark, *paths)
