@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kbvec.functions.vectors import dequantize_int8, quantize_int8, roundtrip_cosine
-from kbvec.operators import ann, batch, bm25, hybrid, pq, textindex
+from kbvec.operators import ann, batch, bm25, codedjoin, hybrid, pq, textindex
 from kbvec.operators.search import boost, overfetch, scored, search, to_matches
 from kbvec.plans import fixtures as fx
 from kbvec.plans.registry import ASKED, kb_sql, register, words_sql
@@ -315,6 +315,13 @@ def knn_selfjoin(spark, sf):
     return found.select("query_id", "vector_id", r6(), "rank")
 
 
+@register("knn_selfjoin_coded", _per_query_sql(K, "SELECT vector_id AS query_id, bot_id, embedding AS qe FROM kb"))
+def knn_selfjoin_coded(spark, sf):
+    """The same join over int8 codes with bounds, in chunks of a size that cuts every tenant."""
+    found = codedjoin.coded_self_join(_plain(spark, sf), K, chunk_bytes=SELF_JOIN_BYTES // 16)
+    return found.select("query_id", "vector_id", r6(), "rank")
+
+
 @register("query_batch_collapse", kb_sql("""
 SELECT e.event_id AS request, t.vector_id, t.rank, round(t.s, 6) AS score
 FROM events e JOIN top t ON t.asker = e.user_id""", """top AS (
