@@ -9,6 +9,7 @@ from kbvec.plans import fixtures as fx
 from kbvec.plans.registry import kb_sql, register, vector_sql
 from kbvec.schema import conform
 from kbvec.session import scratch_path
+from kbvec.sources import clustered
 from kbvec.sources.store import VectorStore
 
 
@@ -140,6 +141,30 @@ def fetch_by_ids(spark, sf):
                        "metadata.chunk_index", "metadata.is_chunked")
 
 
+BUSIEST = 40
+
+
+@register("fetch_by_ids_clustered", kb_sql(f"""
+SELECT vector_id AS id, md5(content) AS text_md5, source_url, content_type AS type, updated_at::VARCHAR AS updated_at
+FROM kb WHERE bot_id = 'support_en' AND (kb_id IN (
+    SELECT user_id FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT {BUSIEST})
+  OR source_url = (SELECT max(source_url) FROM kb WHERE bot_id = 'support_en'))"""))
+def fetch_by_ids_clustered(spark, sf):
+    """From the whole table, sorted by id and with bloom filters: the rows of the busiest users, and those of the last URL."""
+    vectors, path = fx.kb_vectors(spark, sf), scratch_path(spark, "clustered")
+    clustered.write(vectors, path)
+    stored = clustered.read(spark, path, vectors)
+    busiest = fx.table(spark, sf, "events").groupBy(F.col("user_id").alias("kb_id")).count().orderBy(
+        F.desc("count"), "kb_id").limit(BUSIEST)
+    # At most one id for each of the users.
+    ids = [r["vector_id"] for r in stored.join(F.broadcast(busiest), "kb_id").select("vector_id").collect()]
+    last = stored.filter("bot_id = 'support_en'").agg(F.max("source_url")).first()[0]
+    found = clustered.by_ids(stored, ids, "support_en").unionByName(clustered.by_url(stored, last or "", "support_en"))
+    return found.dropDuplicates(["vector_id"]).select(
+        F.col("vector_id").alias("id"), F.md5("content").alias("text_md5"), "source_url",
+        F.col("content_type").alias("type"), F.col("updated_at").cast("string").alias("updated_at"))
+
+
 @register("chunk_reassembly", kb_sql("""
 SELECT bot_id, source_url, count(*) AS chunks,
   md5(string_agg(content, chr(10) ORDER BY chunk_index)) AS text_md5
