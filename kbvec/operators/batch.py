@@ -14,7 +14,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +147,9 @@ def with_matches(found: DataFrame, vectors: DataFrame) -> DataFrame:
 #: Bytes of vectors of one side that a task holds, on average at most; queries it compares at a time.
 CHUNK_BYTES = 64 * 1024 * 1024
 QUERIES_AT_ONCE = 512
+#: Chunks of a tenant's rows and of its queries, at most, while they stay within ``CHUNK_BYTES``. Each is copied once for
+#: each chunk of the other side, and a query has ``k`` results for each chunk of rows.
+MOST_ROW_CHUNKS, MOST_QUERY_CHUNKS = 16, 16
 
 
 def _compact(df: DataFrame) -> DataFrame:
@@ -155,11 +158,17 @@ def _compact(df: DataFrame) -> DataFrame:
     return pack(df) if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else df
 
 
-def _chunks(df: DataFrame, chunk_bytes: int, name: str) -> DataFrame:
-    """Per tenant, into how many chunks of at most about ``chunk_bytes`` its vectors go."""
+def chunk_count(total: Column, chunk_bytes: int, most: int | None = None, bound: int = CHUNK_BYTES) -> Column:
+    """Chunks of about ``chunk_bytes``; larger ones, up to ``bound``, where there would be more than ``most``."""
+    n = F.ceil(total / chunk_bytes)
+    return (n if most is None else F.least(n, F.greatest(F.lit(most), F.ceil(total / bound)))).cast("int")
+
+
+def _chunks(df: DataFrame, chunk_bytes: int, name: str, most: int | None = None) -> DataFrame:
+    """Per tenant, into how many chunks its vectors go."""
     packed = isinstance(df.schema["embedding"].dataType, T.BinaryType)
     width = F.octet_length("embedding") if packed else F.size("embedding") * 8
-    return df.groupBy("bot_id").agg(F.ceil(F.sum(width.cast("long")) / chunk_bytes).cast("int").alias(name))
+    return df.groupBy("bot_id").agg(chunk_count(F.sum(width.cast("long")), chunk_bytes, most).alias(name))
 
 
 def knn_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
@@ -169,12 +178,15 @@ def knn_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosi
     The rows and the queries of a tenant are each cut into chunks of bounded bytes by id hash, packed and written
     once; a task compares one chunk with one other and ships ``k`` rows per query. A hot tenant or a pile of equal
     vectors is thus many tasks of bounded size, whatever the table's, and a side is shuffled once for each chunk of
-    the other.
+    the other. Chunks of ``chunk_bytes`` grow up to ``CHUNK_BYTES`` before there are more than ``MOST_ROW_CHUNKS`` or
+    ``MOST_QUERY_CHUNKS`` of them, so what is shuffled for a row does not grow with the table until a tenant's
+    vectors fill these chunks.
     """
     rows = materialize(_compact(_candidates(vectors, metric, spec, dedup)), "knn-rows")
     asked = materialize(_compact(_asked(queries)), "knn-queries")
     plan = broadcast_if_small(materialize(
-        _chunks(rows, chunk_bytes, "v_chunks").join(_chunks(asked, chunk_bytes, "q_chunks"), "bot_id"), "knn-chunks"))
+        _chunks(rows, chunk_bytes, "v_chunks", MOST_ROW_CHUNKS).join(
+            _chunks(asked, chunk_bytes, "q_chunks", MOST_QUERY_CHUNKS), "bot_id"), "knn-chunks"))
 
     def keyed(df, id_col, own, other):
         """Own chunk by id hash, one copy per chunk of the other side."""
