@@ -4,8 +4,9 @@ A vector is stored as bytes with a scale of its own, and with the length of what
 inequality of Cauchy and Schwarz that length bounds the score of a pair from both sides. Tasks compare chunks of codes
 and keep, for a query, the pairs whose upper bound reaches its k-th largest lower bound; only those meet their floats.
 Codes are a quarter of packed floats, so a chunk of the same bytes holds four times the rows and each side is copied to a
-quarter of the chunks: about a sixteenth of the bytes that ``knn_join`` shuffles. A self join visits each unordered
-pair of chunks once, for half of that again.
+quarter of the chunks. A self join visits each unordered pair of chunks once. Chunks grow up to ``CODE_BYTES`` before a
+tenant has more than ``MOST_CHUNKS``, so codes and open pairs shuffled for a row do not grow with the table until its codes
+fill these. Classes go by short numbers and bounds in single precision, rounded outwards.
 
 Equal vectors of a tenant are one class: the join runs over classes, and a class stands for its k smallest ids. A query
 whose bounds leave more than ``crowded`` pairs within one pair of chunks (vectors closer together than their rounding) is
@@ -28,18 +29,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kbvec.functions.topk import as_matrix, strings
-from kbvec.operators.batch import (CHUNK_BYTES, _asked, _candidates, _compact, _prepared, best_per_query, knn_join)
+from kbvec.operators.batch import (CHUNK_BYTES, _asked, _candidates, _compact, _prepared, best_per_query, chunk_count,
+                                   knn_join)
 from kbvec.session import broadcast_if_small, materialize
 
 #: Vectors of either side that are multiplied at a time.
 BLOCK_ROWS = 1024
+#: Chunks of a tenant's codes, at most, while they stay within so many bytes: a code is copied, and a query has pairs, once
+#: for each chunk of the other side.
+MOST_CHUNKS, CODE_BYTES = 4, 8 * 1024 * 1024
 #: Pairs of one query that a task may keep, for each row asked for; beyond it the query goes through ``knn_join``.
 CROWDED = 32
 #: Added to every bound: scores that differ by less count as ties, and products are rounded.
 MARGIN = 2e-9
 
 CODED = "bot_id string, class string, code binary, scale double, size double, lost double"
-BOUNDED = "bot_id string, q string, v string, low double, high double"
+BOUNDED = "bot_id string, q string, v string, low float, high float"
 
 
 def _finite(df: DataFrame) -> DataFrame:
@@ -61,6 +66,16 @@ def _classes(members: DataFrame, name: str) -> DataFrame:
     return materialize(members.groupBy("bot_id", "class").agg(F.any_value("embedding").alias("embedding")), name)
 
 
+def _numbered(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Members and classes, with short numbers for the classes: pairs of them are most of what is shuffled."""
+    members = _members(df, name)
+    classes = materialize(_classes(members, f"{name}-classes").withColumn(
+        "number", F.monotonically_increasing_id().cast("string")), f"{name}-numbered")
+    known = broadcast_if_small(classes.select("bot_id", "class", "number"))
+    return (materialize(members.join(known, ["bot_id", "class"]).drop("class").withColumnRenamed("number", "class"), name),
+            classes.drop("class").withColumnRenamed("number", "class"))
+
+
 def _encode(classes: DataFrame, metric: str) -> DataFrame:
     """Codes, their scale, the length of the coded vector and of what it lost."""
     def code(batches):
@@ -117,6 +132,13 @@ def _bounds(a: _Codes, i: slice, b: _Codes, j: slice, metric: str) -> tuple[np.n
     return product - lost, product + lost
 
 
+def _single(x: np.ndarray, to: float) -> np.ndarray:
+    """Single precision, rounded towards ``to``."""
+    with np.errstate(over="ignore"):
+        y = x.astype(np.float32)
+        return np.where((y < x) if to > 0 else (y > x), np.nextafter(y, np.float32(to)), y)
+
+
 class _Survivors:
     """Pairs of a block of queries that the bounds leave open, over a sequence of blocks of rows."""
 
@@ -150,13 +172,13 @@ class _Survivors:
         lost = np.flatnonzero(self.crowded)
         q = queries.take(pa.array(np.r_[self.q, lost]))
         v = pa.concat_arrays([rows.take(pa.array(self.v)), pa.nulls(len(lost), pa.string())])
-        none = np.zeros(len(lost))
-        return pa.table([pa.array([tenant] * len(q), pa.string()), q, v, pa.array(np.r_[self.low, none]),
-                         pa.array(np.r_[self.high, none])], names=["bot_id", "q", "v", "low", "high"])
+        none = np.zeros(len(lost), np.float32)
+        return pa.table([pa.array([tenant] * len(q), pa.string()), q, v, pa.array(np.r_[_single(self.low, -np.inf), none]),
+                         pa.array(np.r_[_single(self.high, np.inf), none])], names=["bot_id", "q", "v", "low", "high"])
 
 
 def _none() -> pa.Table:
-    return pa.table({c: pa.array([], pa.float64() if c in ("low", "high") else pa.string())
+    return pa.table({c: pa.array([], pa.float32() if c in ("low", "high") else pa.string())
                      for c in ("bot_id", "q", "v", "low", "high")})
 
 
@@ -168,7 +190,7 @@ def _one_width(*sides: _Codes) -> None:
 def _parts(coded: DataFrame, chunk_bytes: int, name: str) -> DataFrame:
     """Per tenant, into how many chunks its codes go."""
     size = F.sum(F.octet_length("code").cast("long"))
-    return coded.groupBy("bot_id").agg(F.ceil(size / chunk_bytes).cast("int").alias(name))
+    return coded.groupBy("bot_id").agg(chunk_count(size, chunk_bytes, MOST_CHUNKS, CODE_BYTES).alias(name))
 
 
 def _chunk(of: str):
@@ -230,12 +252,11 @@ def _one_sided(rows: DataFrame, k: int, metric: str, chunk_bytes: int, most: int
 
 def _still_open(bounded: DataFrame, k: int) -> DataFrame:
     """The pairs that can be among the best ``k`` of their query over all chunks."""
-    pairs = bounded.filter(F.col("v").isNotNull())
-    w = Window.partitionBy("bot_id", "q").orderBy(F.col("low").desc())
-    floors = (pairs.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k)
-              .groupBy("bot_id", "q").agg(F.count("*").alias("n"), F.min("low").alias("floor")).filter(F.col("n") == k))
-    return (pairs.join(floors.drop("n"), ["bot_id", "q"], "left")
-            .filter(F.col("floor").isNull() | (F.col("high") >= F.col("floor"))).select("bot_id", "q", "v"))
+    w = Window.partitionBy("bot_id", "q").orderBy(F.col("low").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    # Null where a query has fewer pairs.
+    pairs = bounded.filter(F.col("v").isNotNull()).withColumn("floor", F.nth_value("low", k).over(w))
+    return pairs.filter(F.col("floor").isNull() | (F.col("high") >= F.col("floor"))).select("bot_id", "q", "v")
 
 
 def _exact(pairs: DataFrame, rows: DataFrame, asked: DataFrame, metric: str) -> DataFrame:
@@ -287,9 +308,8 @@ def _joined(bounded: DataFrame, codes: DataFrame, rows: DataFrame, asked: DataFr
 def coded_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
                spec: Mapping[str, Any] | None = None, chunk_bytes: int = CHUNK_BYTES, crowded: int = CROWDED) -> DataFrame:
     """``query_id, vector_id, score, rank``: exact top ``k`` of each query's tenant, as ``knn_join`` gives them."""
-    row_ids = _members(_candidates(vectors, metric, spec, False).withColumnRenamed("vector_id", "id"), "coded-rows")
-    query_ids = _members(_asked(queries).withColumnRenamed("query_id", "id"), "coded-queries")
-    rows, asked = _classes(row_ids, "row-classes"), _classes(query_ids, "query-classes")
+    row_ids, rows = _numbered(_candidates(vectors, metric, spec, False).withColumnRenamed("vector_id", "id"), "coded-rows")
+    query_ids, asked = _numbered(_asked(queries).withColumnRenamed("query_id", "id"), "coded-queries")
     codes = [materialize(_encode(df, metric), "codes") for df in (rows, asked)]
     return _joined(_two_sided(*codes, k, metric, chunk_bytes, crowded * k), codes[0], rows, asked, row_ids, query_ids, k,
                    metric)
@@ -298,7 +318,6 @@ def coded_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "co
 def coded_self_join(vectors: DataFrame, k: int, metric: str = "cosine", chunk_bytes: int = CHUNK_BYTES,
                     crowded: int = CROWDED) -> DataFrame:
     """``query_id, vector_id, score, rank``: every row against its tenant, itself included."""
-    ids = _members(_candidates(vectors, metric, None, False).withColumnRenamed("vector_id", "id"), "coded-rows")
-    rows = _classes(ids, "row-classes")
+    ids, rows = _numbered(_candidates(vectors, metric, None, False).withColumnRenamed("vector_id", "id"), "coded-rows")
     codes = materialize(_encode(rows, metric), "codes")
     return _joined(_one_sided(codes, k, metric, chunk_bytes, crowded * k), codes, rows, rows, ids, ids, k, metric)

@@ -93,3 +93,20 @@ def test_fewer_bytes_are_shuffled(spark):
     left = codedjoin._still_open(codedjoin._one_sided(codes, k, "cosine", chunk, 32 * k), k).count()
     assert n * k <= left < 4 * n * k
     rows.unpersist()
+
+
+def test_shuffle_follows_the_rows(spark):
+    """Twice the rows, of a size that cuts them into many chunks: about twice the bytes, for both joins."""
+    plain, coded = [], []
+    for n in (800, 1600):
+        rng = np.random.RandomState(n)
+        df = spark.createDataFrame([(f"v{i:04d}", "t", [float(x) for x in rng.standard_normal(32).astype(np.float32)])
+                                    for i in range(n)], "vector_id string, bot_id string, embedding array<float>").cache()
+        df.count()
+        for used, run in ((plain, lambda: batch.knn_join(df, as_queries(df), 3, chunk_bytes=2048)),
+                          (coded, lambda: codedjoin.coded_self_join(df, 3, chunk_bytes=512))):
+            start = shuffled(spark)
+            run().collect()
+            used.append(shuffled(spark) - start)
+        df.unpersist()
+    assert plain[1] < 2.7 * plain[0] and coded[1] < 2.7 * coded[0], (plain, coded)
