@@ -4,6 +4,9 @@
 hash and sorted by word; ``words`` holds the number of rows per word; ``totals`` the table's row count
 and mean length, and the version of the table it was built from. A reader that names another version is
 refused, so a stale index is never served unnoticed.
+
+A task counts ``WORDS_AT_ONCE`` words at a time and sorts the postings of about ``PART_BYTES`` of text, whatever the table's
+size: a bucket is cut into as many parts, by row id, as its share of the texts asks for.
 """
 
 from __future__ import annotations
@@ -22,9 +25,12 @@ from kbvec.operators.bm25 import K1, B, query_terms
 from kbvec.operators.filters import tenant_rows
 from kbvec.operators.search import take_top
 from kbvec.schema import DEFAULT_TENANT
+from kbvec.session import materialize
 
 CARRIED = ("vector_id", "bot_id", "content_type", "role_restriction", "source_url", "chunk_index")
 BUCKETS = 64
+#: Text whose postings one task sorts (some 30 bytes for each byte of prose); words that are counted at a time.
+PART_BYTES, WORDS_AT_ONCE = 8 * 1024 * 1024, 1 << 18
 
 
 def _bucket(word, buckets: int):
@@ -35,8 +41,19 @@ def count_words(vectors: DataFrame) -> DataFrame:
     """One row per (row, distinct word) with its count and the row's length; counted where the text is."""
     source = vectors.select(*CARRIED, words(F.col("content")).alias("w"))
 
-    def count(batches):
+    def pieces(batches):
+        """Rows of ``WORDS_AT_ONCE`` words together, or a single one."""
         for batch in batches:
+            ends = np.cumsum(np.asarray(pc.list_value_length(batch.column("w")), dtype=np.int64))
+            at = 0
+            while at < len(ends):
+                before = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, "right")))
+                yield batch.slice(at, to - at)
+                at = to
+
+    def count(batches):
+        for batch in pieces(batches):
             w = batch.column("w")
             lengths = np.asarray(pc.list_value_length(w), dtype=np.int64)
             coded = w.flatten().cast(pa.string()).dictionary_encode()
@@ -55,8 +72,12 @@ def count_words(vectors: DataFrame) -> DataFrame:
 def build_index(vectors: DataFrame, path: str, buckets: int = BUCKETS, version: int | None = None) -> None:
     """Write the index of a table (of its ``version``); a frequent word's postings are spread over several files."""
     spark = vectors.sparkSession
+    vectors = materialize(vectors.select(*CARRIED, "content"), "index-texts")
+    size = vectors.agg(F.coalesce(F.sum(F.octet_length("content").cast("long")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // (PART_BYTES * buckets)))
+    part = F.col("bucket") * parts + F.pmod(F.xxhash64("vector_id"), F.lit(parts)).cast("int")
     (count_words(vectors).withColumn("bucket", _bucket("word", buckets))
-     .hint("rebalance", "bucket").sortWithinPartitions("bucket", "word")
+     .repartitionById(buckets * parts, part).sortWithinPartitions("bucket", "word")
      .write.option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/postings"))
     postings = spark.read.parquet(f"{path}/postings")
     (postings.groupBy("bucket", "word").agg(F.count("*").alias("df"))

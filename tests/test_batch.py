@@ -297,3 +297,22 @@ def test_hybrid_dedup_is_complete(spark):
     for r in hybrid.hybrid_batch(rows, asked, 5, dedup=True).orderBy("query_id", "rank").collect():
         found.setdefault(r["query_id"], []).append(r["vector_id"])
     assert found["q"] == [r["vector_id"] for r in got] and found["r"][0] == "b5" and {len(v) for v in found.values()} == {5}
+
+
+def test_text_index_parts_follow_the_texts(spark, tmp_path, monkeypatch):
+    """More text is more files of a bucket, counted some words at a time; scores stay those of the whole table."""
+    monkeypatch.setattr(textindex, "PART_BYTES", 200)
+    monkeypatch.setattr(textindex, "WORDS_AT_ONCE", 7)
+    files, found = [], []
+    for n in (40, 160):
+        rows = [(f"v{i:03d}", "default", f"alpha w{i % 9} w{i % 5} " + "beta " * (i % 4), f"u/{i}", "public", "post", None)
+                for i in range(n)] + [("none", "default", None, "", "public", "post", None)]
+        df = spark.createDataFrame(rows, "vector_id string, bot_id string, content string, source_url string, "
+                                   "role_restriction string, content_type string, chunk_index int")
+        path = f"{tmp_path}/{n}"
+        textindex.build_index(df, path, buckets=2)
+        files.append(len(list((tmp_path / str(n)).glob("postings/*/*.parquet"))))
+        stored = textindex.index_top(spark, path, "beta w3", 8).collect()
+        live = bm25.bm25_top(df, "beta w3", 8).select("vector_id", F.round("score", 9).alias("score")).collect()
+        found.append([(r["vector_id"], round(r["score"], 8)) for r in stored] == [(r["vector_id"], round(r["score"], 8)) for r in live])
+    assert all(found) and files[0] > 2 and files[1] > 2 * files[0], (files, found)
