@@ -41,6 +41,8 @@ LITERAL_MARK = 0x110000 + MARK
 NEWLINE, SPACE = 10, 32
 #: Edges of lattices that a worker keeps, and lattice positions that are filtered at a time.
 KEPT_EDGES, FILTERED = 2_000_000, 10_000
+#: Leading bits of a hash by which stretches that are no piece are told before the search among the pieces.
+SIFT_BITS = 18
 #: Bytes of text that are drawn together.
 TEXT_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -90,6 +92,10 @@ def _char_codes(chars: np.ndarray) -> np.ndarray:
     return mix(chars.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.uint64(17))
 
 
+def _sift(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SIFT_BITS)).astype(np.intp)
+
+
 class Lattices:
     """Filtered lattices of units, for one model; flat arrays over nodes (a unit's characters) and edges."""
 
@@ -105,7 +111,10 @@ class Lattices:
         self.tables = {}
         for n, found in by_length.items():
             found.sort()
-            self.tables[n] = (np.array([v for v, _ in found], np.uint64), np.array([i for _, i in found], np.int32))
+            values, ids = np.array([v for v, _ in found], np.uint64), np.array([i for _, i in found], np.int32)
+            seen = np.zeros(1 << SIFT_BITS, bool)
+            seen[_sift(values)] = True
+            self.tables[n] = (values, ids, seen)
         self.longest = max(self.tables)
         self.fallback = float(model.weight[model.normal].min()) - 10.0
         lengths = np.array([len(s) for s in model.surface])
@@ -133,14 +142,23 @@ class Lattices:
         sums = np.zeros((m, n + 1), np.uint64)
         np.cumsum(_char_codes(chars) * self.up[:n], axis=1, out=sums[:, 1:])
         piece = np.full((m, n, width), -1, np.int32)
+        weight = np.full((m, n, width), -np.inf)
+        found = 1
         for size in range(1, width + 1):
             if size not in self.tables:
                 continue
-            values, ids = self.tables[size]
+            values, ids, seen = self.tables[size]
             part = (sums[:, size:] - sums[:, :-size]) * self.down[:n - size + 1]
+            row, start = np.nonzero(seen[_sift(part)])
+            part = part[row, start]
             at = np.minimum(np.searchsorted(values, part), len(values) - 1)
-            piece[:, size - 1:, size - 1] = np.where(values[at] == part, ids[at], -1)
-        weight = np.where(piece >= 0, self.model.weight[piece], -np.inf)
+            hit = np.flatnonzero(values[at] == part)
+            if len(hit):
+                row, end, own, found = row[hit], start[hit] + size - 1, ids[at[hit]], size
+                piece[row, end, size - 1] = own
+                weight[row, end, size - 1] = self.model.weight[own]
+        # Longer stretches are pieces in none of the units.
+        width, piece, weight = found, piece[:, :, :found], weight[:, :, :found]
         bare = piece[:, :, 0] < 0
         piece[:, :, 0][bare] = len(self.model.surface) + chars[bare].astype(np.int32)
         weight[:, :, 0][bare] = self.fallback
@@ -154,8 +172,10 @@ class Lattices:
             total[:, end] = top + np.log(np.exp(reach - top[:, None]).sum(axis=1))
             weight[:, end - 1, :k] = reach - total[:, end][:, None]
         # Edges of a node from the longest piece down; the last share is above every draw.
-        shares = np.cumsum(np.exp(weight[:, :, ::-1]), axis=2)
         there = piece[:, :, ::-1] >= 0
+        shares = np.zeros(there.shape)
+        shares[there] = np.exp(weight[:, :, ::-1][there])
+        np.cumsum(shares, axis=2, out=shares)
         count = there.sum(axis=2).ravel()
         share = shares[there].astype(np.float32)
         share[np.cumsum(count) - 1] = 2.0

@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -97,3 +98,11 @@ def test_sharpness(spark):
     docs = spark.range(200).selectExpr("id as doc_id", "'international relations' as text")
     assert len({tuple(r["pieces"]) for r in pieces.encode(docs, SPM, sharpness=60.0).collect()}) == 1
     assert len({tuple(r["pieces"]) for r in pieces.encode(docs, SPM, sharpness=0.0).collect()}) > 150
+
+
+def test_few_stretches_are_searched():
+    """The sift lets every piece pass and nearly no other stretch."""
+    lattices = pieces.Lattices(pieces.load_model(SPM))
+    other = np.random.RandomState(4).randint(0, 1 << 63, 20_000).astype(np.uint64) * np.uint64(2)
+    for values, _, seen in lattices.tables.values():
+        assert seen[pieces._sift(values)].all() and seen[pieces._sift(other)].mean() < 0.05
